@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.llm import conversations
+from chatloom.llm import conversations, language
 from chatloom.session import table
 
 
@@ -15,5 +15,33 @@ def p1_found(spark: SparkSession, directory: str) -> DataFrame:
     return turns.select("conv_row", "turn", "msg_row", "speaker")
 
 
-QUERIES = {"p1_found": p1_found}
+def p1_messages(spark: SparkSession, directory: str) -> DataFrame:
+    """The turns of every sound conversation with their links, texts and roles."""
+    messages = table(spark, directory, "messages")
+    turns = conversations.conversations(messages, table(spark, directory, "export_state"))
+    texts = messages.select(F.col("msg_row").alias("_row"), "content", "author_name")
+    role = F.when(F.col("speaker") == 1, F.lit("asker")).otherwise(F.lit("replier"))
+    return turns.join(texts, F.col("msg_row") == F.col("_row")).drop("_row").withColumn("role", role)
+
+
+def _language_model(spark: SparkSession, directory: str) -> language.Model:
+    messages, documents = table(spark, directory, "messages"), table(spark, directory, "documents")
+    return language.fit_tables([(messages, "msg_row", "lang", "content"), (documents, "doc_id", "lang", "text")])
+
+
+def p2_found(spark: SparkSession, directory: str) -> DataFrame:
+    """Lines and languages of the rows whose label is missing or wrong or whose text mixes languages."""
+    model = _language_model(spark, directory)
+    found = language.mislabelled(table(spark, directory, "messages"), "messages", "msg_row", "lang", "content", model)
+    return found.unionByName(language.mislabelled(table(spark, directory, "documents"), "documents", "doc_id", "lang", "text", model))
+
+
+def p2_spans(spark: SparkSession, directory: str) -> DataFrame:
+    """Every language span of messages and documents with its confidence."""
+    model = _language_model(spark, directory)
+    found = language.spans(table(spark, directory, "messages"), "messages", "msg_row", "lang", "content", model)
+    return found.unionByName(language.spans(table(spark, directory, "documents"), "documents", "doc_id", "lang", "text", model))
+
+
+QUERIES = {"p1_found": p1_found, "p1_messages": p1_messages, "p2_found": p2_found, "p2_spans": p2_spans}
 ORACLE: dict[str, str] = {}
