@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.llm import conversations, language
+from chatloom.llm import conversations, language, pii
 from chatloom.session import table
 
 
@@ -43,5 +43,21 @@ def p2_spans(spark: SparkSession, directory: str) -> DataFrame:
     return found.unionByName(language.spans(table(spark, directory, "documents"), "documents", "doc_id", "lang", "text", model))
 
 
-QUERIES = {"p1_found": p1_found, "p1_messages": p1_messages, "p2_found": p2_found, "p2_spans": p2_spans}
+def _name_lexicon(spark: SparkSession, directory: str) -> pii.Names:
+    return pii.fit_lexicon([(table(spark, directory, "messages"), "author_name"), (table(spark, directory, "users"), "display_name")])
+
+
+def p3_found(spark: SparkSession, directory: str) -> DataFrame:
+    """Every item of personal information in the texts and author names of messages."""
+    lexicon = _name_lexicon(spark, directory)
+    return pii.items(table(spark, directory, "messages"), "msg_row", ("content", "author_name"), lexicon).drop("end_pos")
+
+
+def p3_redacted(spark: SparkSession, directory: str) -> DataFrame:
+    """The messages with typed placeholders in place of personal information."""
+    clean = pii.redacted(table(spark, directory, "messages"), ("content", "author_name"), _name_lexicon(spark, directory))
+    return clean.select("msg_row", "content", "author_name")
+
+
+QUERIES = {"p1_found": p1_found, "p1_messages": p1_messages, "p2_found": p2_found, "p2_spans": p2_spans, "p3_found": p3_found, "p3_redacted": p3_redacted}
 ORACLE: dict[str, str] = {}
