@@ -44,7 +44,8 @@ def p2_spans(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def _name_lexicon(spark: SparkSession, directory: str) -> pii.Names:
-    return pii.fit_lexicon([(table(spark, directory, "messages"), "author_name"), (table(spark, directory, "users"), "display_name")])
+    messages = table(spark, directory, "messages")
+    return pii.fit_lexicon([(messages, "author_name"), (table(spark, directory, "users"), "display_name")], (messages, "content"))
 
 
 def p3_found(spark: SparkSession, directory: str) -> DataFrame:
