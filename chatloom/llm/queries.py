@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.llm import conversations, language, pii
+from chatloom.llm import conversations, language, leakage, mixture, pii
 from chatloom.session import table
 
 
@@ -60,5 +60,52 @@ def p3_redacted(spark: SparkSession, directory: str) -> DataFrame:
     return clean.select("msg_row", "content", "author_name")
 
 
-QUERIES = {"p1_found": p1_found, "p1_messages": p1_messages, "p2_found": p2_found, "p2_spans": p2_spans, "p3_found": p3_found, "p3_redacted": p3_redacted}
-ORACLE: dict[str, str] = {}
+def p8_found(spark: SparkSession, directory: str) -> DataFrame:
+    """Documents that hold twelve consecutive words of a benchmark item, with the items."""
+    return leakage.leaked(table(spark, directory, "documents"), table(spark, directory, "benchmark")).select("doc_id", "item_id")
+
+
+def p8_clean(spark: SparkSession, directory: str) -> DataFrame:
+    """The corpus without leaking documents."""
+    return leakage.cleaned(table(spark, directory, "documents"), table(spark, directory, "benchmark")).select("doc_id", "source", "n_chars")
+
+
+def _sized(spark: SparkSession, directory: str) -> DataFrame:
+    documents = table(spark, directory, "documents").select("doc_id", "source", "text")
+    return documents.select("doc_id", "source", mixture.count_tokens(F.col("text")).alias("n_tokens"))
+
+
+def p9_found(spark: SparkSession, directory: str) -> DataFrame:
+    """Sources that can't reach their share even with all repeats."""
+    planned = mixture.plan(mixture.source_sizes(_sized(spark, directory)), table(spark, directory, "mix_targets"))
+    return planned.where(~F.col("reachable")).select("source")
+
+
+def p9_mixture(spark: SparkSession, directory: str) -> DataFrame:
+    """The mixture, a row per copy of a document."""
+    return mixture.mix(_sized(spark, directory), table(spark, directory, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, directory: str) -> DataFrame:
+    """Target and actual share of each source in the mixture."""
+    targets = table(spark, directory, "mix_targets")
+    return mixture.reached(mixture.mix(_sized(spark, directory), targets), targets)
+
+
+QUERIES = {
+    "p1_found": p1_found, "p1_messages": p1_messages, "p2_found": p2_found, "p2_spans": p2_spans, "p3_found": p3_found, "p3_redacted": p3_redacted,
+    "p8_found": p8_found, "p8_clean": p8_clean, "p9_found": p9_found, "p9_mixture": p9_mixture, "p9_shares": p9_shares,
+}
+_WORDS = """iw AS (SELECT item_id, list_transform(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+'), lambda w: w) AS w FROM benchmark),
+dw AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents),
+ig AS (SELECT DISTINCT item_id, array_to_string(w[k : k + 11], ' ') AS g FROM iw, unnest(range(1, len(w) - 10)) AS r(k)),
+dg AS (SELECT DISTINCT doc_id, array_to_string(w[k : k + 11], ' ') AS g FROM dw, unnest(range(1, len(w) - 10)) AS r(k)),
+hits AS (SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g))"""
+
+ORACLE = {
+    "p8_found": f"WITH {_WORDS} SELECT doc_id, item_id FROM hits",
+    "p8_clean": f"WITH {_WORDS} SELECT doc_id, source, n_chars FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM hits)",
+    # The choice of tokenizer doesn't change this list; SQL takes the bytes of the text as its size.
+    "p9_found": """WITH s AS (SELECT source, sum(strlen(text)) AS own FROM documents GROUP BY source)
+SELECT t.source FROM mix_targets t LEFT JOIN s USING (source) WHERE coalesce(own, 0) * max_repeats < target_share * (SELECT sum(own) FROM s)""",
+}
