@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.llm import conversations, language, leakage, mixture, pii
+from chatloom.llm import conversations, language, leakage, mixture, pii, subjects
 from chatloom.session import table
 
 
@@ -92,9 +92,36 @@ def p9_shares(spark: SparkSession, directory: str) -> DataFrame:
     return mixture.reached(mixture.mix(_sized(spark, directory), targets), targets)
 
 
+def _subject_model(spark: SparkSession, directory: str) -> subjects.Model:
+    named = table(spark, directory, "subjects").select("subject").where(F.col("subject").isNotNull()).distinct().orderBy("subject")
+    names = [r["subject"] for r in named.limit(1_000).collect()]  # a fixed list of a few areas
+    return subjects.train(table(spark, directory, "documents"), table(spark, directory, "subject_labels"), names)
+
+
+def p10_found(spark: SparkSession, directory: str) -> DataFrame:
+    """Documents with the subjects to which at least two of their sentences are devoted."""
+    return subjects.areas(table(spark, directory, "documents"), _subject_model(spark, directory)).select("doc_id", "subject")
+
+
+def p10_areas(spark: SparkSession, directory: str) -> DataFrame:
+    """The same with sentence counts and calibrated posteriors."""
+    documents = table(spark, directory, "documents")
+    model = subjects.calibrate(_subject_model(spark, directory), documents, table(spark, directory, "subject_labels"))
+    return subjects.areas(documents, model)
+
+
+def p10_composition(spark: SparkSession, directory: str) -> DataFrame:
+    """Documents of each source by subject."""
+    documents = table(spark, directory, "documents")
+    found = subjects.areas(documents, _subject_model(spark, directory)).withColumnRenamed("doc_id", "_doc")
+    joined = documents.select("doc_id", "source").join(found, F.col("doc_id") == F.col("_doc"))
+    return joined.groupBy("source", "subject").agg(F.count(F.lit(1)).alias("n_documents"), F.sum("n_sentences").alias("n_sentences"))
+
+
 QUERIES = {
     "p1_found": p1_found, "p1_messages": p1_messages, "p2_found": p2_found, "p2_spans": p2_spans, "p3_found": p3_found, "p3_redacted": p3_redacted,
     "p8_found": p8_found, "p8_clean": p8_clean, "p9_found": p9_found, "p9_mixture": p9_mixture, "p9_shares": p9_shares,
+    "p10_found": p10_found, "p10_areas": p10_areas, "p10_composition": p10_composition,
 }
 _WORDS = """iw AS (SELECT item_id, list_transform(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+'), lambda w: w) AS w FROM benchmark),
 dw AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents),
