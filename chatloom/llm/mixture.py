@@ -15,6 +15,8 @@ import os
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chatloom.plans.lineage import Cuts
+
 #: Vocabulary file of the tokenizer; the folder can be set by CHATLOOM_TOKENIZERS.
 TOKENIZER = os.path.join(os.environ.get("CHATLOOM_TOKENIZERS", "/opt/tokenizers"), "byte_bpe_50k.json")
 
@@ -80,9 +82,10 @@ def capped_mean(rate: float, cap: int) -> float:
 
 
 def source_sizes(sized: DataFrame, source: str = "source", tokens: str = "n_tokens") -> DataFrame:
-    """Tokens of each source, and of the whole corpus in every row. Sums are made before the shuffle."""
+    """Tokens of each source, summed before the shuffle. The few rows are written to the shared folder,
+    so the corpus is tokenised once however often they are read."""
     sizes = sized.groupBy(F.col(source).alias("source")).agg(F.sum(tokens).alias("own"))
-    return sizes
+    return Cuts(sized.sparkSession, "sizes").cut(sizes)[0]
 
 
 def plan(sizes: DataFrame, targets: DataFrame) -> DataFrame:
@@ -122,9 +125,11 @@ def copies(key: Column, lam: Column, cap: Column, most: int, seed: int = 42) ->
 def mix(sized: DataFrame, targets: DataFrame, doc: str = "doc_id", source: str = "source", tokens: str = "n_tokens", seed: int = 42) -> DataFrame:
     """The mixture: `sized` with `copy_no` (0, 1, ...), a row per copy, in the order of a hash shuffle.
 
-    Sources without a target are left out. The table of targets is small by nature (a row a source)
+    `sized` is written to the shared folder once, as both the sizes and the mixture read it; keep it
+    narrow (ids, source, tokens) and join the texts afterwards. Sources without a target are left out. The table of targets is small by nature (a row a source)
     and is collected to solve the means; more than 10 000 rows are refused. Null sources match no target.
     """
+    sized, _ = Cuts(sized.sparkSession, "sized").cut(sized)
     rows = plan(source_sizes(sized, source, tokens), targets).limit(10_001).collect()
     if len(rows) > 10_000:
         raise ValueError("more than 10 000 sources")
