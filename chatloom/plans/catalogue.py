@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from chatloom.plans import quality
+from chatloom.plans import quality, views
 
-QUERIES = {**quality.QUERIES}
-ORACLE = {**quality.ORACLE}
+QUERIES = {**quality.QUERIES, **views.QUERIES}
+ORACLE = {**quality.ORACLE, **views.ORACLE}

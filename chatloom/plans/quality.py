@@ -25,7 +25,7 @@ def p4_author_activity(spark: SparkSession, directory: str) -> DataFrame:
     ]
     final = [
         F.sum("n").alias("n_rows"), F.sum("chars").alias("n_chars"), F.min("first_row").alias("first_row"),
-        F.max("last_delivery").alias("last_delivery"),
+        F.unix_micros(F.max("last_delivery")).alias("last_delivery"),
     ]
     return skew.aggregate_by_key(messages, "author_id", partial, final, share=0.005)
 
@@ -124,7 +124,7 @@ flat AS (SELECT record_id, container, message_pos, m,
 ORACLE = {
     "p4_found": "SELECT author_id FROM messages WHERE author_id <> '' GROUP BY author_id HAVING count(*) >= 0.02 * (SELECT count(*) FROM messages)",
     "p4_author_activity": """SELECT author_id, count(*) AS n_rows, CAST(sum(coalesce(length(content), 0)) AS BIGINT) AS n_chars, min(msg_row) AS first_row,
-max(delivered_at) AS last_delivery FROM messages GROUP BY author_id""",
+epoch_us(max(delivered_at)) AS last_delivery FROM messages GROUP BY author_id""",
     "p5_found": f"""WITH {_RAW}, listed AS (SELECT *, unnest(range(CAST(json_array_length(m, '$.reactions') AS BIGINT))) AS reaction_pos
   FROM flat WHERE json_type(m, '$.reactions') = 'ARRAY'), r AS (SELECT *, json_extract(m -> '$.reactions', reaction_pos) AS e FROM listed)
 SELECT record_id, message_pos, reaction_pos, message_id, author_key, coalesce(nullif(e ->> '$.emoji.name', ''),
