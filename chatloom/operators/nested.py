@@ -1,7 +1,8 @@
 """Flat, linked tables from deeply nested JSON records (p5), by shared inlining.
 
-The schema graph is read from the data: schema_of_variant_agg merges the types of all records in one
-distributed aggregate. Elements that occur at most once under their parent are inlined as columns of
+The schema graph is read from the data: each task notes the different paths and kinds of value it
+meets, and these sets are united. A place may hold several kinds (an object here, text there); each
+is followed. Elements that occur at most once under their parent are inlined as columns of
 the nearest table above; elements that repeat (arrays), are shared (the same element name under
 several parents) or recur (an element below itself) get a table of their own. A table's rows are
 identified by the record key and the positions along their path, so a child's foreign key is a prefix
@@ -10,6 +11,7 @@ of its own key and no join or shuffle is needed to fill it.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -20,59 +22,19 @@ from pyspark.sql import functions as F
 class Node:
     """An element of the schema graph."""
 
-    kind: str  #: object, array, scalar
-    type: str = "VARIANT"
-    children: dict[str, "Node"] = field(default_factory=dict)  #: an array's element under "[]"
-
-
-def parse_type(text: str) -> Node:
-    """The schema graph of a type as schema_of_variant writes it, e.g. OBJECT<a: ARRAY<BIGINT>>."""
-    at = 0
-
-    def name() -> str:
-        nonlocal at
-        if text[at] == "`":
-            out = ""
-            at += 1
-            while True:
-                end = text.index("`", at)
-                out += text[at:end]
-                at = end + 1
-                if at < len(text) and text[at] == "`":
-                    out += "`"
-                    at += 1
-                else:
-                    return out
-        start = at
-        while text[at] != ":":
-            at += 1
-        return text[start:at]
-
-    def node() -> Node:
-        nonlocal at
-        if text.startswith("OBJECT<", at):
-            at += 7
-            out = Node("object")
-            while text[at] != ">":
-                key = name()
-                at += 2  # ": "
-                out.children[key] = node()
-                if text.startswith(", ", at):
-                    at += 2
-            at += 1
-            return out
-        if text.startswith("ARRAY<", at):
-            at += 6
-            out = Node("array", children={"[]": node()})
-            at += 1
-            return out
-        start, depth = at, 0
-        while at < len(text) and not (depth == 0 and text[at] in ",>"):
-            depth += {"(": 1, ")": -1}.get(text[at], 0)
-            at += 1
-        return Node("scalar", text[start:at])
-
-    return node()
+    kinds: set[str] = field(default_factory=set)  #: of object, array, scalar
+    children: dict[str, "Node"] = field(default_factory=dict)  #: by key; an array's element under "[]"
+
+
+def build_graph(found: Iterable[tuple[Sequence[str], str]]) -> Node:
+    """The graph of (path, kind) pairs; paths are object keys with "[]" for array elements."""
+    root = Node()
+    for path, kind in sorted((tuple(p), k) for p, k in found):
+        at = root
+        for step_ in path:
+            at = at.children.setdefault(step_, Node())
+        at.kinds.add(kind)
+    return root
 
 
 def whole_json(payload: Column) -> Column:
@@ -103,83 +65,102 @@ def inline(graph: Node, names: dict[tuple[str, ...], str] | None = None) -> dict
     """Tables of a schema graph.
 
     Elements with the same name share a table whatever parent they stand under; `names` renames the
-    array at a path, so that several containers of the same element can be put together. Paths are
-    tuples of object keys with "[]" for array elements.
+    array at a path, so that several containers of the same element can be put together.
     """
     tables: dict[str, Table] = {}
     names = names or {}
 
     def columns(node: Node, prefix: str, path: str, out: dict[str, str], at: tuple[str, ...], chain: tuple[str, ...]) -> None:
         for key, child in node.children.items():
+            if key == "[]":
+                continue
             here = f"{prefix}_{key}" if prefix else key
-            if child.kind == "object":
+            if "scalar" in child.kinds:
+                out[here] = path + step(key)
+            if "object" in child.kinds:
                 columns(child, here, path + step(key), out, at + (key,), chain)
-            elif child.kind == "array":
+            if "array" in child.kinds:
                 walk_array(child, at + (key,), key, chain)
-            else:
-                out[here] = path + step(key)
 
     def walk_array(node: Node, at: tuple[str, ...], name: str, chain: tuple[str, ...]) -> None:
         label = names.get(at, name)
         target = tables.setdefault(label, Table(label, []))
         target.recursive |= label in chain
-        element = node.children["[]"]
+        element = node.children.get("[]", Node())
         inlined: dict[str, str] = {}
         target.paths.append((at + ("[]",), inlined))
-        if element.kind == "object":
+        if "scalar" in element.kinds:
+            inlined["value"] = "$"
+        if "object" in element.kinds:
             columns(element, "", "$", inlined, at + ("[]",), chain + (label,))
-        elif element.kind == "array":
+        if "array" in element.kinds:
             walk_array(element, at + ("[]",), label + "_item", chain + (label,))
-        else:
-            inlined["value"] = "$"
 
-    if graph.kind == "array":
+    if "array" in graph.kinds:
         walk_array(graph, (), "record", ())
-    elif graph.kind == "object":
+    if "object" in graph.kinds:
         top: dict[str, str] = {}
-        tables["record"] = Table("record", [((), top)])
+        tables.setdefault("record", Table("record", [])).paths.append(((), top))
         columns(graph, "", "$", top, (), ("record",))
     return tables
 
 
-def schema_graphs(df: DataFrame, payload: str) -> list[Node]:
-    """The merged schema graphs of a JSON text column, one of the objects and one of the arrays in it.
+def schema_graph(df: DataFrame, payload: str, most: int = 100_000) -> Node:
+    """The schema graph of a JSON text column; without children for an empty table or one without JSON.
 
-    An empty table, or one without objects and arrays, gives an empty list.
+    More than `most` different paths (data used as keys) are refused rather than made into columns.
     """
-    value = df.select(whole_json(F.col(payload)).alias("v")).withColumn("k", F.schema_of_variant("v"))
-    kinds = [F.schema_of_variant_agg(F.when(F.col("k").startswith(k), F.col("v"))).alias(k) for k in ("OBJECT", "ARRAY")]
-    merged = value.select(*kinds).first()
-    return [g for g in (parse_type(t or "VOID") for t in merged) if g.kind != "scalar"]
-
-
-def inline_all(graphs: list[Node], names: dict[tuple[str, ...], str] | None = None) -> dict[str, Table]:
-    """Tables of several graphs; elements with the same name are put together."""
-    out: dict[str, Table] = {}
-    for graph in graphs:
-        for name, spec in inline(graph, names).items():
-            have = out.setdefault(name, Table(name, []))
-            have.paths += spec.paths
-            have.recursive |= spec.recursive
-    return out
+
+    def paths(batches):
+        import json
+
+        import pyarrow as pa
+
+        met: set[tuple[tuple[str, ...], str]] = set()
+
+        def walk(value, at: tuple[str, ...]) -> None:
+            if isinstance(value, dict):
+                met.add((at, "object"))
+                for k, v in value.items():
+                    walk(v, at + (k,))
+            elif isinstance(value, list):
+                met.add((at, "array"))
+                for v in value:
+                    walk(v, at + ("[]",))
+            else:
+                met.add((at, "scalar"))
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                try:
+                    walk(json.loads(text), ())
+                except (TypeError, ValueError, RecursionError):
+                    continue
+        rows = list(met)
+        yield pa.RecordBatch.from_arrays([pa.array([list(p) for p, _ in rows], pa.list_(pa.string())), pa.array([k for _, k in rows], pa.string())], names=["p", "k"])
+
+    found = df.select(payload).mapInArrow(paths, "p array<string>, k string").distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} different paths")
+    return build_graph((r["p"], r["k"]) for r in found)
 
 
-def shred(df: DataFrame, key: str, payload: str, graphs: list[Node] | None = None, names: dict[tuple[str, ...], str] | None = None) -> dict[str, DataFrame]:
+def shred(df: DataFrame, key: str, payload: str, graph: Node | None = None, names: dict[tuple[str, ...], str] | None = None) -> dict[str, DataFrame]:
     """Flat tables of a column of JSON texts, by element name.
 
     Each table has `key` (the record), `path` (where the element stood), `keys` (positions along the
     path, the last its own; the row's identity within the record), `parent_keys` (all but the last:
     the parent's identity, the foreign key) and one STRING column per inlined descendant. Texts that
     aren't one JSON value, null ones and elements of another type than an object or array at that
-    place give no rows. Object keys that differ only in case share a column. `graphs` may be given to
-    keep the schema fixed over runs; they are read from all rows otherwise. Where a place holds an
+    place give no rows. Object keys that differ only in case share a column. `graph` may be given to
+    keep the schema fixed over runs; it is read from all rows otherwise. Where a place holds an
     object in one record and a scalar in another, its column has the scalar or the object's JSON text. Column names that clash with
     the four above get a trailing underscore.
     """
-    graphs = schema_graphs(df, payload) if graphs is None else graphs
+    graph = schema_graph(df, payload) if graph is None else graph
     source = df.select(F.col(key).alias("_k"), whole_json(F.col(payload)).alias("_v")).where(F.col("_v").isNotNull())
     out: dict[str, DataFrame] = {}
-    for name, spec in inline_all(graphs, names).items():
+    for name, spec in inline(graph, names).items():
         wanted: dict[str, str] = {}
         for _, inlined in spec.paths:
             for column in inlined:
@@ -187,6 +168,8 @@ def shred(df: DataFrame, key: str, payload: str, graphs: list[Node] | None = Non
         part = None
         for path, inlined in spec.paths:
             rows = source.select("_k", F.array().cast("array<int>").alias("_p"), "_v")
+            if not path:
+                rows = rows.where(F.schema_of_variant("_v").startswith("OBJECT"))
             pending = "$"
             for piece in path:
                 if piece != "[]":
@@ -200,7 +183,7 @@ def shred(df: DataFrame, key: str, payload: str, graphs: list[Node] | None = Non
             for low, column in wanted.items():
                 shown = column + "_" if low in {key.lower(), "path", "keys", "parent_keys"} else column
                 at = f"_v, \"{lowered[low]}\"" if low in lowered else ""
-                cell = F.expr(f"coalesce(try_variant_get({at}, 'string'), to_json(try_variant_get({at}, 'variant')))") if low in lowered else F.lit(None).cast("string")
+                cell = F.expr(f"coalesce(try_variant_get({at}, 'string'), nullif(to_json(try_variant_get({at}, 'variant')), 'null'))") if low in lowered else F.lit(None).cast("string")
                 cells.append(cell.alias(shown))
             flat = rows.select(
                 F.col("_k").alias(key), F.lit("$" + "".join(p if p == "[]" else "." + p for p in path)).alias("path"),
