@@ -121,7 +121,32 @@ flat AS (SELECT record_id, container, message_pos, m,
   coalesce(nullif(m ->> '$.reply_to_message_id', ''), nullif(m ->> '$.reference.messageId', ''), nullif(m ->> '$.thread_ts', ''), nullif(m ->> '$.parent_id', '')) AS reply_to
   FROM msgs WHERE json_type(m) = 'OBJECT')"""
 
+#: Instants in SQL: of rows `v` (tbl, row_no, v, z) the CTE `r` has (tbl, row_no, utc_us).
+INSTANTS = r"""k AS (SELECT *, CASE
+  WHEN regexp_full_match(v, '\d{9,10}(\.\d{1,9})?') THEN 'sec' WHEN regexp_full_match(v, '\d{12,13}') THEN 'ms' WHEN regexp_full_match(v, '\d{15,16}') THEN 'us'
+  WHEN regexp_matches(v, '^\d{4}[-/]\d\d[-/]\d\d[Tt ]\d\d:\d\d') THEN 'ymd' WHEN regexp_matches(v, '^\d\d\.\d\d\.\d{4} ') THEN 'dmy' WHEN regexp_matches(v, '^\d{8}[Tt]\d{6}') THEN 'compact'
+  WHEN regexp_matches(v, '^[A-Z][a-z]{2}, \d\d [A-Z][a-z]{2} \d{4} ') THEN 'mail' WHEN regexp_matches(v, '^[A-Z][a-z]{2} \d{1,2}, \d{4} \d{1,2}:\d\d [AP]M$') THEN 'us12' END AS kind FROM v),
+p AS (SELECT *, CASE kind
+  WHEN 'ymd' THEN replace(substr(v, 1, 10), '/', '-') || ' ' || regexp_extract(v, '(\d\d:\d\d(:\d\d)?)', 1) || CASE WHEN regexp_matches(v, '\d\d:\d\d:\d\d') THEN '' ELSE ':00' END
+  WHEN 'dmy' THEN substr(v, 7, 4) || '-' || substr(v, 4, 2) || '-' || substr(v, 1, 2) || ' ' || substr(v, 12, 8)
+  WHEN 'compact' THEN substr(v, 1, 4) || '-' || substr(v, 5, 2) || '-' || substr(v, 7, 2) || ' ' || substr(v, 10, 2) || ':' || substr(v, 12, 2) || ':' || substr(v, 14, 2)
+  WHEN 'mail' THEN strftime(try_strptime(substr(v, 6, 20), '%d %b %Y %H:%M:%S'), '%Y-%m-%d %H:%M:%S')
+  WHEN 'us12' THEN strftime(try_strptime(v, '%b %d, %Y %I:%M %p'), '%Y-%m-%d %H:%M:%S') END AS clock,
+  CASE WHEN kind = 'ymd' THEN rpad(regexp_extract(v, '\.(\d{1,6})', 1), 6, '0') ELSE '0' END AS frac,
+  CASE WHEN kind IN ('ymd', 'mail', 'compact') THEN regexp_extract(v, '([+-]\d\d:?\d\d)(\[.*\])?$', 1) ELSE '' END AS off,
+  CASE WHEN kind IN ('ymd', 'compact') THEN upper(regexp_extract(v, '([A-Za-z]{1,4})$', 1)) ELSE '' END AS ab FROM k),
+n AS (SELECT *, epoch_us(TRY_CAST(clock AS TIMESTAMP)) + TRY_CAST(frac AS BIGINT) AS wall, TRY_CAST(clock AS TIMESTAMP) AS naive FROM p),
+o AS (SELECT *, CASE WHEN off <> '' THEN (CASE WHEN off[1] = '-' THEN -1 ELSE 1 END) * (CAST(off[2:3] AS BIGINT) * 60 + CAST(right(off, 2) AS BIGINT))
+  WHEN ab IN ('Z', 'UTC', 'GMT') THEN 0 WHEN ab IN ('BST', 'CET') THEN 60 WHEN ab = 'CEST' THEN 120 WHEN ab = 'EST' THEN -300 WHEN ab = 'EDT' THEN -240 END AS minutes,
+  epoch_us(timezone(z, naive)) AS u, epoch_us(timezone(z, naive)) - 3600000000 AS e FROM n),
+r AS (SELECT tbl, row_no, CASE kind WHEN 'sec' THEN CAST(CAST(v AS DECIMAL(28, 9)) * 1000000 AS BIGINT) WHEN 'ms' THEN CAST(v AS BIGINT) * 1000 WHEN 'us' THEN CAST(v AS BIGINT)
+  ELSE CASE WHEN minutes IS NOT NULL THEN wall - minutes * 60000000
+    -- a clock time that occurs twice: the hour before shows the same time
+    WHEN timezone(z, make_timestamptz(e)) = naive THEN e + CAST(frac AS BIGINT) ELSE u + CAST(frac AS BIGINT) END END AS utc_us FROM o)"""
+
 ORACLE = {
+    "p7_found": f"""WITH v AS (SELECT 'messages' AS tbl, msg_row AS row_no, trim(ts) AS v, tz_name AS z FROM messages LEFT JOIN export_state USING (export_key)
+UNION ALL SELECT 'pages', page_id, trim(create_time), tz_name FROM pages LEFT JOIN export_state USING (export_key)), {INSTANTS} SELECT tbl, row_no, utc_us FROM r WHERE utc_us IS NOT NULL""",
     "p4_found": "SELECT author_id FROM messages WHERE author_id <> '' GROUP BY author_id HAVING count(*) >= 0.02 * (SELECT count(*) FROM messages)",
     "p4_author_activity": """SELECT author_id, count(*) AS n_rows, CAST(sum(coalesce(length(content), 0)) AS BIGINT) AS n_chars, min(msg_row) AS first_row,
 epoch_us(max(delivered_at)) AS last_delivery FROM messages GROUP BY author_id""",
