@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatloom.llm import conversations, language, leakage, mixture, pii, subjects
+from chatloom.plans.quality import INSTANTS
 from chatloom.session import table
 
 
@@ -129,7 +130,19 @@ ig AS (SELECT DISTINCT item_id, array_to_string(w[k : k + 11], ' ') AS g FROM iw
 dg AS (SELECT DISTINCT doc_id, array_to_string(w[k : k + 11], ' ') AS g FROM dw, unnest(range(1, len(w) - 10)) AS r(k)),
 hits AS (SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g))"""
 
+_CONVERSATIONS = f"""WITH RECURSIVE v AS (SELECT 'messages' AS tbl, msg_row AS row_no, trim(ts) AS v, tz_name AS z FROM messages LEFT JOIN export_state USING (export_key)), {INSTANTS},
+m AS (SELECT msg_row, export_key, nullif(trim(message_id), '') AS id, nullif(trim(reply_to_message_id), '') AS rep, nullif(author_id, '') AS author, utc_us,
+  NOT regexp_matches(coalesce(content, ''), '[^\\s\\p{{Z}}\\p{{Cc}}\\p{{Cf}}]') AS blank FROM messages JOIN r ON row_no = msg_row),
+d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY export_key, id ORDER BY msg_row) AS k FROM m) WHERE k = 1 OR id IS NULL),
+c AS (SELECT a.msg_row, b.msg_row AS parent FROM d a JOIN d b ON b.export_key = a.export_key AND b.id = a.rep),
+t(root, msg_row) AS (SELECT msg_row, msg_row FROM d WHERE rep IS NULL UNION ALL SELECT t.root, c.msg_row FROM t JOIN c ON c.parent = t.msg_row),
+g AS (SELECT root FROM t JOIN d USING (msg_row) GROUP BY root HAVING count(DISTINCT author) > 1 AND bool_and(author IS NOT NULL AND utc_us IS NOT NULL AND NOT blank)),
+turns AS (SELECT root, msg_row, author, row_number() OVER (PARTITION BY root ORDER BY utc_us, msg_row) AS turn FROM t JOIN g USING (root) JOIN d USING (msg_row)),
+f AS (SELECT *, min(turn) OVER (PARTITION BY root, author) AS first_turn FROM turns)
+SELECT root AS conv_row, turn, msg_row, dense_rank() OVER (PARTITION BY root ORDER BY first_turn) AS speaker FROM f"""
+
 ORACLE = {
+    "p1_found": _CONVERSATIONS,
     "p8_found": f"WITH {_WORDS} SELECT doc_id, item_id FROM hits",
     "p8_clean": f"WITH {_WORDS} SELECT doc_id, source, n_chars FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM hits)",
     # The choice of tokenizer doesn't change this list; SQL takes the bytes of the text as its size.
