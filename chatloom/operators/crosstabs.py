@@ -35,14 +35,13 @@ def friction_level(labels: Column) -> Column:
 
 def traits(profiles: DataFrame, hours: DataFrame, region: RegionProfile = REGIONS["global"], members: Mapping[str, Mapping[str, frozenset[str]]] = BUCKETS, deep: frozenset[str] = DEEP_FEATURES, now: str | None = None) -> DataFrame:
     """Profiles with the axes of all pivots; `hours` holds each author's modal hour."""
-    latest = profiles.agg(F.max("last_seen").alias("_now"))
-    at = F.lit(now).cast("timestamp") if now else F.col("_now")
+    at = F.lit(now).cast("timestamp") if now else profiles.agg(F.max("last_seen")).scalar()
     clusters = dict(members.get("providers", {}))
     if region.providers:
         clusters["regional_api"] = region.providers
     found = {c: nonzero(F.col("mentions"), c) for c in ("providers", "messaging", "features", "install", "friction", "competitors", "acquisition")}
     overlap = F.arrays_overlap(found["features"], F.array(*[F.lit(d) for d in sorted(deep)])) if deep else F.lit(False)
-    joined = profiles.join(hours.select("author_id", "hour"), "author_id", "left").join(F.broadcast(latest))  # one row
+    joined = profiles.join(hours.select("author_id", "hour"), "author_id", "left")
     return joined.select(
         "author_id", "language_primary",
         buckets(found["providers"], clusters).alias("provider_clusters"), buckets(found["messaging"], members.get("messaging", {})).alias("messaging_buckets"),

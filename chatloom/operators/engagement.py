@@ -31,11 +31,11 @@ def ranked(people: DataFrame, n: int | None = 50) -> DataFrame:
 
     With `n` only the top is ranked, by a distributed top-k, so no task sorts all posters.
     """
-    total = people.agg(F.sum("messages").alias("_total"))
+    total = people.agg(F.sum("messages")).scalar()
     top = people.orderBy(F.desc("messages"), "first_ord")
     top = top.limit(n) if n is not None else top
     rank = F.row_number().over(Window.orderBy(F.desc("messages"), "first_ord")).cast("bigint")
-    return top.withColumn("rank", rank).join(F.broadcast(total)).withColumn("pct", F.try_divide(F.col("messages") * 100.0, "_total")).drop("_total")
+    return top.withColumn("rank", rank).withColumn("pct", F.try_divide(F.col("messages") * 100.0, total))
 
 
 def pareto(people: DataFrame, tops: Sequence[int] = TOPS) -> DataFrame:
@@ -43,8 +43,8 @@ def pareto(people: DataFrame, tops: Sequence[int] = TOPS) -> DataFrame:
     best = people.select("messages", "first_ord").orderBy(F.desc("messages"), "first_ord").limit(max(tops))
     rank = F.row_number().over(Window.orderBy(F.desc("messages"), "first_ord"))
     placed = best.withColumn("k", rank)  # at most max(tops) rows
-    total = people.agg(F.sum("messages").alias("_total"))
-    sums = placed.agg(*[F.coalesce(F.sum(F.when(F.col("k") <= t, F.col("messages"))), F.lit(0)).alias(f"s{t}") for t in tops]).join(F.broadcast(total))
+    total = people.agg(F.sum("messages")).scalar()
+    sums = placed.agg(*[F.coalesce(F.sum(F.when(F.col("k") <= t, F.col("messages"))), F.lit(0)).alias(f"s{t}") for t in tops]).withColumn("_total", total)
     stacked = F.explode(F.array(*[F.struct(F.lit(t).alias("top_n"), F.col(f"s{t}").alias("messages")) for t in tops])).alias("x")
     return sums.select(stacked, "_total").select("x.top_n", "x.messages", F.try_divide(F.col("x.messages") * 100.0, "_total").alias("pct"))
 

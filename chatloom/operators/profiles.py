@@ -111,20 +111,25 @@ def domain_hits(rich: DataFrame, domains: Domains = DOMAINS) -> DataFrame:
 
 def answered_questions(rich: DataFrame, hours: int = 48) -> DataFrame:
     """Question rows with a reply to their id at most `hours` after them; earlier replies and
-    replies by the asker count too. Questions without an id have none."""
-    asked = rich.where("is_question").select("ord", "message_id", "ts", "lang_class", "author_id", "channel")
-    replies = rich.where(F.coalesce("reply_to_message_id", F.lit("")) != "").select(F.col("reply_to_message_id").alias("_to"), F.col("ts").alias("_at"))
-    earliest = replies.groupBy("_to").agg(F.min("_at").alias("_at"))  # one row a target, however many replies it has
+    replies by the asker count too. Questions without an id have none.
+
+    Where messages have an `export_key`, ids are compared within one export, as the same id may stand
+    for different messages in several.
+    """
+    scope = F.coalesce("export_key", F.lit("")) if "export_key" in rich.columns else F.lit("")
+    asked = rich.where("is_question").select("ord", "message_id", "ts", "lang_class", "author_id", "channel", scope.alias("_scope"))
+    replies = rich.where(F.coalesce("reply_to_message_id", F.lit("")) != "").select(scope.alias("_in"), F.col("reply_to_message_id").alias("_to"), F.col("ts").alias("_at"))
+    earliest = replies.groupBy("_in", "_to").agg(F.min("_at").alias("_at"))  # one row a target, however many replies it has
     inside = F.col("_at") <= F.col("ts") + F.expr(f"INTERVAL {int(hours)} HOURS")
-    return asked.join(earliest, (F.col("message_id") == F.col("_to")) & inside, "left_semi")
+    return asked.join(earliest, (F.col("message_id") == F.col("_to")) & (F.col("_scope") == F.col("_in")) & inside, "left_semi").drop("_scope")
 
 
 def question_summary(rich: DataFrame) -> DataFrame:
     """One row: questions, those in the target language, those of them answered, and the rate."""
     target = F.col("lang_class").isin("target", "mixed")
-    asked = rich.where("is_question").agg(F.count(F.lit(1)).alias("questions"), F.count_if(target).alias("target_questions"))
-    answered = answered_questions(rich).agg(F.count_if(target).alias("answered"))
-    return asked.join(F.broadcast(answered)).select("*", F.try_divide("answered", "target_questions").alias("rate"))  # one row each
+    answered = answered_questions(rich).agg(F.count_if(target).alias("answered")).scalar()
+    asked = rich.where("is_question").agg(F.count(F.lit(1)).alias("questions"), F.count_if(target).alias("target_questions")).withColumn("answered", answered)
+    return asked.withColumn("rate", F.try_divide("answered", "target_questions"))
 
 
 def user_profiles(rich: DataFrame) -> DataFrame:
@@ -159,9 +164,8 @@ def retention_cohorts(profiles: DataFrame, now: str | None = None) -> DataFrame:
 
     `now` is the latest instant of all authors unless given. One-time authors count in another cohort too.
     """
-    at = F.lit(now).cast("timestamp") if now else F.col("_now")
-    latest = profiles.agg(F.max("last_seen").alias("_now"))
-    cohort = profiles.where(F.col("language_primary").isin("target_primary", "bilingual")).join(F.broadcast(latest))  # one row
+    at = F.lit(now).cast("timestamp") if now else profiles.agg(F.max("last_seen")).scalar()
+    cohort = profiles.where(F.col("language_primary").isin("target_primary", "bilingual"))
     kind = T.retention_class(F.col("last_seen"), at)
     return cohort.agg(
         *[F.count_if(kind == k).alias(k) for k in ("active_30d", "lapsed_30_90d", "lapsed_90d_plus")],
@@ -214,6 +218,7 @@ def top_timelines(messages: DataFrame, n: int = 20) -> DataFrame:
 
 def first_samples(rich: DataFrame, category: str, n: int = 8) -> DataFrame:
     """The first n messages of each label of a category, cut to 250 characters on one line."""
-    rows = mention_rows(rich).where(F.col("category") == category).join(rich.select(F.col("ord").alias("_o"), "content"), F.col("ord") == F.col("_o"))
+    named = rich.select("ord", "content", F.explode(F.filter("mentions", lambda m: m["category"] == category)).alias("m"))
+    rows = named.select("ord", "content", "m.label")
     ranked = rows.withColumn("k", F.row_number().over(Window.partitionBy("label").orderBy("ord"))).where(F.col("k") <= n)
     return ranked.select("label", F.col("k").cast("bigint").alias("k"), "ord", F.substring(F.translate("content", "\n", " "), 1, 250).alias("sample"))

@@ -243,7 +243,7 @@ def question_counts(spark: SparkSession, d: str) -> DataFrame:
     return sums.select(F.explode(F.array(*[F.struct(F.lit(c).alias("code"), F.col(c).alias("n")) for c in codes])).alias("x")).select("x.*")
 
 
-_ANSWERED = "EXISTS (SELECT 1 FROM r b WHERE b.reply_to_message_id = a.message_id AND b.reply_to_message_id <> '' AND b.ts <= a.ts + INTERVAL 48 HOUR)"
+_ANSWERED = "EXISTS (SELECT 1 FROM r b WHERE b.export_key = a.export_key AND b.reply_to_message_id = a.message_id AND b.reply_to_message_id <> '' AND b.ts <= a.ts + INTERVAL 48 HOUR)"
 
 
 @query(f"WITH {R} SELECT ord, author_id, channel FROM r a WHERE is_question AND {_ANSWERED}")
@@ -424,8 +424,7 @@ CAST(sum(coalesce(first_posters, 0)) OVER (ORDER BY day_no) AS BIGINT) AS cumula
 def temporal_growth(spark: SparkSession, d: str) -> DataFrame:
     """A26, J7, U6, W3, W7."""
     events = table(spark, d, "events")
-    kind = events.agg(F.min("event_type").alias("_k"))
-    joins = engagement.joins_per_day(events.join(F.broadcast(kind), F.col("event_type") == F.col("_k")))  # one row
+    joins = engagement.joins_per_day(events.where(F.col("event_type") == events.agg(F.min("event_type")).scalar()))
     days = engagement.growth(engagement.daily(_posts(spark, d)), joins)
     return days.select(F.unix_date("day").cast("bigint").alias("day_no"), *[c for c in days.columns if c != "day"])
 
@@ -550,11 +549,10 @@ def topic_distribution(spark: SparkSession, d: str) -> DataFrame:
     return ai.topic_distribution(ai.tagged(canonical(spark, d), _by_channel))
 
 
-@query(f"WITH {M} SELECT {_TOPIC} AS topic, md5(string_agg(CAST(ord AS VARCHAR), ',' ORDER BY ord)) AS digest FROM m WHERE {_TOPIC} <> 'general_discussion' GROUP BY 1")
+@query(f"WITH {M} SELECT {_TOPIC} AS topic, ord FROM m WHERE {_TOPIC} <> 'general_discussion'")
 def topic_by_category_ids(spark: SparkSession, d: str) -> DataFrame:
-    """K6: sorted ids per topic, as a digest."""
-    topics = ai.tagged(canonical(spark, d), _by_channel).where(F.col("topic") != "general_discussion")
-    return topics.groupBy("topic").agg(F.md5(F.array_join(F.sort_array(F.collect_list("ord")), ",")).alias("digest"))
+    """K6: the messages of each topic, as rows; the sink writes them partitioned by topic."""
+    return ai.tagged(canonical(spark, d), _by_channel).where(F.col("topic") != "general_discussion").select("topic", "ord")
 
 
 @query(f"WITH {M} SELECT 'general_discussion' AS topic, count(*) AS n, 100.0::DOUBLE AS pct FROM m")
