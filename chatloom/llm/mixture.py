@@ -95,12 +95,12 @@ def plan(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     mixture). A source without text reaches only a target of nothing. Null shares and repeats count
     as 0; of repeated targets of a source the first by share counts.
     """
-    total = sizes.agg(F.coalesce(F.sum("own"), F.lit(0)).alias("total"))
+    total = sizes.agg(F.coalesce(F.sum("own"), F.lit(0))).scalar()
     asked = targets.groupBy("source").agg(F.max(F.struct("target_share", "max_repeats")).alias("t")).select(
         "source", F.coalesce("t.target_share", F.lit(0.0)).alias("target_share"), F.coalesce("t.max_repeats", F.lit(0)).alias("max_repeats")
     )
     own = sizes.select(F.col("source").alias("_s"), "own")
-    joined = asked.join(own, F.col("source") == F.col("_s"), "left").join(F.broadcast(total))  # one row
+    joined = asked.join(own, F.col("source") == F.col("_s"), "left").withColumn("total", total)
     joined = joined.withColumn("own", F.coalesce("own", F.lit(0))).withColumn("wanted", F.col("target_share") * F.col("total"))
     most = F.col("own") * F.col("max_repeats")
     rate = F.when(F.col("own") > 0, F.least(F.col("wanted") / F.col("own"), F.col("max_repeats").cast("double"))).otherwise(0.0)
@@ -149,8 +149,8 @@ def reached(mixture: DataFrame, targets: DataFrame, source: str = "source", toke
     """Shares that a mixture really has: `source`, `target_share`, `n_rows`, `n_tokens`, `actual_share`."""
     sums = mixture.groupBy(F.col(source).alias("_s")).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(tokens).alias("n_tokens"))
     asked = targets.groupBy("source").agg(F.max("target_share").alias("target_share"))
-    total = sums.agg(F.sum("n_tokens").alias("_total"))
-    joined = asked.join(sums, F.col("source") == F.col("_s"), "left").join(F.broadcast(total))
+    total = sums.agg(F.sum("n_tokens")).scalar()
+    joined = asked.join(sums, F.col("source") == F.col("_s"), "left").withColumn("_total", total)
     return joined.select(
         "source", "target_share", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"),
         F.coalesce(F.try_divide("n_tokens", "_total"), F.lit(0.0)).alias("actual_share"),
