@@ -37,15 +37,39 @@ def keyword_pattern(keyword: str) -> str:
     return quoted if not keyword.isascii() else rf"(?<!\w){quoted}(?!\w)"
 
 
-def any_keyword(text: Column, keywords: Sequence[str]) -> Column:
-    """Whether any of the keywords is in the text, whatever its case."""
-    return text.rlike("(?iu)" + "|".join(f"(?:{java_pattern(keyword_pattern(k))})" for k in keywords))
+def folded(text: Column) -> Column:
+    """Lower case, with the one letter that only matches s when case is ignored as s."""
+    return F.translate(F.lower(text), "\u017f", "s")
 
 
-def labels(text: Column, keywords: Mapping[str, Sequence[str]], category: str = "") -> Column:
+def needle(keyword: str) -> str:
+    """Letters that stand in every text that the keyword matches; empty if its pattern leaves none for sure."""
+    if not keyword.startswith((r"\b", "(")):
+        return keyword.lower()
+    bare = re.sub(r"\\b|\\s\?|\(\w+\)\?|\w\?", "|", keyword.replace(r"\+", "\0"))
+    if re.search(r"[\\\[\](){}*+.^$]", bare):
+        return ""
+    return max(bare.replace("\0", "+").split("|"), key=len).lower()
+
+
+def any_keyword(text: Column, keywords: Sequence[str], lower: Column | None = None) -> Column:
+    """Whether any of the keywords is in the text, whatever its case.
+
+    A plain search for letters that a match must have (in `lower`, the folded text) goes before the
+    pattern with its word boundaries, which few texts then reach.
+    """
+    pattern = text.rlike("(?iu)" + "|".join(f"(?:{java_pattern(keyword_pattern(k))})" for k in keywords))
+    needles = {needle(k) for k in keywords}
+    if "" in needles:
+        return pattern
+    return contains_any(folded(text) if lower is None else lower, sorted(needles)) & pattern
+
+
+def labels(text: Column, keywords: Mapping[str, Sequence[str]], category: str = "", lower: Column | None = None) -> Column:
     """the labels found in the text, in the order of the dictionary. One array of small structs
-    (category, label position, label)."""
-    hits = [F.when(any_keyword(text, words), F.struct(F.lit(category).alias("category"), F.lit(k).alias("pos"), F.lit(label).alias("label"))) for k, (label, words) in enumerate(keywords.items())]
+    (category, label position, label). `lower` is the folded text, best a column of its own."""
+    lower = folded(text) if lower is None else lower
+    hits = [F.when(any_keyword(text, words, lower), F.struct(F.lit(category).alias("category"), F.lit(k).alias("pos"), F.lit(label).alias("label"))) for k, (label, words) in enumerate(keywords.items())]
     return F.array_compact(F.array(*hits))
 
 

@@ -37,17 +37,20 @@ def narrowed(messages: DataFrame, channels: Sequence[str] = (), since: datetime
 def enriched(messages: DataFrame, profile: LanguageProfile | None = None, keywords: Mapping[str, Mapping[str, Sequence[str]]] = KEYWORDS, domains: Domains = DOMAINS) -> DataFrame:
     """Messages with `lang_class`, `is_question`, `urls`, `mentions` (array of category, position,
     label), and `names_impersonator` (an impersonator's domain stands in the text, as a URL or bare)."""
-    content = F.coalesce("content", F.lit(""))
-    found = [T.labels(content, words, category) for category, words in keywords.items()]
-    return messages.withColumns(
+    content, lower = F.col("_content"), F.col("_lower")
+    found = [T.labels(content, words, category, lower) for category, words in keywords.items()]
+    # Columns of their own, so that the many searches below don't fold the text again each.
+    prepared = messages.withColumn("_content", F.coalesce("content", F.lit(""))).withColumn("_lower", T.folded(F.col("_content")))
+    out = prepared.withColumns(
         {
             "lang_class": T.language_class(F.col("content"), profile),
             "is_question": T.is_question(content, profile.code if profile else None),
-            "urls": T.urls(content),
+            "urls": F.when(lower.contains("http"), T.urls(content)).otherwise(F.array().cast("array<string>")),
             "names_impersonator": T.contains_any(F.lower(content), domains.impersonator),
             "mentions": F.concat(*found) if found else F.array().cast("array<struct<category:string,pos:int,label:string>>"),
         }
     )
+    return out.drop("_content", "_lower")
 
 
 def language_distribution(messages: DataFrame, profile: LanguageProfile | None) -> DataFrame:
@@ -63,7 +66,8 @@ def channel_counts(messages: DataFrame, profile: LanguageProfile | None) -> Data
 
 def mention_rows(rich: DataFrame) -> DataFrame:
     """One row per message and label: ord, author_id, category, pos, label."""
-    return rich.select("ord", "author_id", F.explode("mentions").alias("m")).select("ord", "author_id", "m.category", "m.pos", "m.label")
+    # The outer form: for the inner one Spark puts a size filter below, which would find the labels twice.
+    return rich.select("ord", "author_id", F.explode_outer("mentions").alias("m")).where("m is not null").select("ord", "author_id", "m.category", "m.pos", "m.label")
 
 
 def mention_counts(rich: DataFrame) -> DataFrame:
@@ -80,7 +84,7 @@ def mention_sets(rich: DataFrame) -> DataFrame:
 
 def url_rows(rich: DataFrame, domains: Domains = DOMAINS) -> DataFrame:
     """One row per URL occurrence: ord, author_id, url, host, category."""
-    rows = rich.select("ord", "author_id", F.posexplode("urls").alias("at", "url"))
+    rows = rich.select("ord", "author_id", F.posexplode_outer("urls").alias("at", "url")).where("url is not null")
     return rows.select("ord", "author_id", "at", "url", T.host(F.col("url")).alias("host"), T.url_category(F.col("url"), domains).alias("category"))
 
 
@@ -218,7 +222,7 @@ def top_timelines(messages: DataFrame, n: int = 20) -> DataFrame:
 
 def first_samples(rich: DataFrame, category: str, n: int = 8) -> DataFrame:
     """The first n messages of each label of a category, cut to 250 characters on one line."""
-    named = rich.select("ord", "content", F.explode(F.filter("mentions", lambda m: m["category"] == category)).alias("m"))
+    named = rich.select("ord", "content", F.explode_outer("mentions").alias("m")).where(F.col("m.category") == category)
     rows = named.select("ord", "content", "m.label")
     ranked = rows.withColumn("k", F.row_number().over(Window.partitionBy("label").orderBy("ord"))).where(F.col("k") <= n)
     return ranked.select("label", F.col("k").cast("bigint").alias("k"), "ord", F.substring(F.translate("content", "\n", " "), 1, 250).alias("sample"))
