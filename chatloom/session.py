@@ -27,7 +27,9 @@ def local_session(cores: int | str = "*", shuffle: int = 8, **conf: str) -> Spar
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    ship(session)
+    return session
 
 
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -36,13 +38,13 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Make the package importable on executors that don't share the driver's path.
+    """Make the package importable by workers that don't share the driver's path, in local mode too.
 
     Python functions of the package are pickled by reference, so a cluster's workers must be able
     to import it. A zip of the sources (a few hundred kB) is added once a Spark application.
     """
     context = spark.sparkContext
-    if context.applicationId in _SHIPPED or context.master.startswith("local["):
+    if context.applicationId in _SHIPPED:
         return
     _SHIPPED.add(context.applicationId)
     target = Path(tempfile.mkdtemp(prefix="chatloom-")) / "chatloom_src.zip"
