@@ -10,17 +10,19 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chatloom.plans.lineage import Cuts
+
 KINDS = ("email", "phone", "id_number", "address", "person_name")
 PLACEHOLDERS = {"email": "[EMAIL]", "phone": "[PHONE]", "id_number": "[ID_NUMBER]", "address": "[ADDRESS]", "person_name": "[NAME]"}
-LEXICON_NAMES = 50_000  #: at most so many different display names fit the lexicon of names
-SAMPLE_TEXTS = 40_000  #: and at most so many texts
+HELD = 200_000  #: a task hands on its counts of words and pairs when it holds so many
+PAIR_SHARE = 0.05  #: a part of a name stands in pairs at least so often when capitalised; "Week I" across sentences is rarer
 
 # --- checksums ----------------------------------------------------------------------------------
 
@@ -206,56 +208,81 @@ def _core(edges: set[tuple[str, str]]) -> set[tuple[str, str]]:
         edges = kept
 
 
-_PAIR = re.compile(r"(?<![\w@.\-])(?=(([^\W\d_]+(?:-[^\W\d_]+)?) ([^\W\d_]+(?:-[^\W\d_]+)?))(?![\w@]))")
+_LOW = "a-zß-öø-ÿа-яё"  #: no word that begins with one of these is in title case
+_PAIR = re.compile(rf"(?<![\w@.\-])(?=([^\W\d_{_LOW}][^\W\d_]*(?:-[^\W\d_]+)?) ([^\W\d_{_LOW}][^\W\d_]*(?:-[^\W\d_]+)?)(?![\w@]))")
 _LOCAL = re.compile(r"(?<![\w.+\-])([A-Za-z]{3,})[.\-]([A-Za-z]{3,})(?=[@＠]| ?[(\[{]at| AT )")
 _LONE_HAN = re.compile(r"(?<= )[\u4e00-\u9fff]{2,4}(?= )")
 
 
-def _content_edges(texts: Iterable[str | None]) -> tuple[set[tuple[str, str]], set[tuple[str, str]]]:
-    """Pairs of capitalised words and of the parts of mail logins; and lone Chinese words, split."""
-    edges: set[tuple[str, str]] = set()
-    han: set[tuple[str, str]] = set()
-    shown: dict[str, list[int]] = defaultdict(lambda: [0, 0])  # lower case, capitalised
-    for text in texts:
-        if not text:
-            continue
-        for word in _TOKEN.findall(text):
-            shown[fold(word)][word[:1].isupper()] += 1
-        for m in _PAIR.finditer(text):
-            if m[2].istitle() and m[3].istitle() and len(m[2]) > 1 and len(m[3]) > 1:
-                edges.add((fold(m[2]), fold(m[3])))
-        for m in _LOCAL.finditer(text):
-            edges.add((m[1].lower(), m[2].lower()))
-        for m in _LONE_HAN.finditer(text):
-            han.add((m[0][0], m[0][1:]))
-    common = {w for w, (low, high) in shown.items() if low > high}
-    return {(a, b) for a, b in edges if a not in common and b not in common}, han
+@dataclass
+class Evidence:
+    """What texts and display names say of names, as counts and sets that can be united."""
 
+    pairs: Counter[tuple[str, str]] = field(default_factory=Counter)  #: of texts: capitalised words, parts of mail logins
+    shown: Counter[str] = field(default_factory=Counter)  #: words of texts as written
+    named: set[tuple[str, str]] = field(default_factory=set)  #: of display names: given, family
+    han: set[tuple[str, str]] = field(default_factory=set)  #: Chinese names: surname, given part
 
-def fit_names(display_names: Iterable[str | None], texts: Iterable[str | None] = ()) -> Names:
-    """The lexicon: words of display names, mail logins and capitalised pairs in texts that combine
-    freely with each other, as given and family names do and nicknames, places and headings don't.
+    def read(self, text: str | None) -> None:
+        if not text:
+            return
+        self.shown.update(_TOKEN.findall(text))
+        self.pairs.update(_PAIR.findall(text))
+        for m in _LOCAL.finditer(text):
+            self.pairs[m[1].title(), m[2].title()] += 1
+        if not text.isascii():
+            for m in _LONE_HAN.finditer(text):
+                self.han.add((m[0][0], m[0][1:]))
 
-    A word is a given name if it stands before more different words than after, else a family name.
-    """
-    edges, han = _content_edges(texts)
-    for text in display_names:
+    def name(self, text: str | None) -> None:
         if not text or any(c.isdigit() for c in text):
-            continue
+            return
         if "@" in text:
-            edges |= {(m[1].lower(), m[2].lower()) for m in _LOCAL.finditer(text)}
-            continue
+            self.named |= {(m[1].lower(), m[2].lower()) for m in _LOCAL.finditer(text)}
+            return
         bare = _DECORATION.sub(" ", text).strip()
         if _HAN_NAME.match(bare.split()[-1] if bare.split() else ""):
             name = bare.split()[-1]
-            han.add((name[0], name[1:]))
-            continue
+            self.han.add((name[0], name[1:]))
+            return
         swapped = "," in bare
         words = [w for w in _TOKEN.findall(bare) if fold(w) not in TITLES and len(w) > 1]
         if swapped and len(words) >= 2:
             words = words[1:] + words[:1]
         if len(words) == 2 or len(words) == 3:
-            edges |= {(fold(w), fold(words[-1])) for w in words[:-1]}
+            self.named |= {(fold(w), fold(words[-1])) for w in words[:-1]}
+
+    def __len__(self) -> int:
+        return len(self.pairs) + len(self.shown) + len(self.named) + len(self.han)
+
+    def rows(self) -> list[tuple[str, str, str, int, int]]:
+        """(kind, a, b, times in lower case, other times); words and pairs are folded."""
+        shown: dict[str, list[int]] = defaultdict(lambda: [0, 0])
+        for word, n in self.shown.items():
+            shown[fold(word)][word[:1].isupper()] += n
+        pairs: Counter[tuple[str, str]] = Counter()
+        for (a, b), n in self.pairs.items():
+            if a.istitle() and b.istitle() and len(a) > 1 and len(b) > 1:
+                pairs[fold(a), fold(b)] += n
+        out = [("word", w, "", low, high) for w, (low, high) in shown.items()] + [("pair", a, b, 0, n) for (a, b), n in pairs.items()]
+        return out + [(kind, a, b, 0, 0) for kind, some in (("named", self.named), ("han", self.han)) for a, b in some]
+
+
+def _usual(pairs: list[tuple[str, str, int, int, int]]) -> set[tuple[str, str]]:
+    """Of (a, b, times, times a is capitalised, times b is) the pairs whose words both stand in pairs
+    on their side as often as parts of names do."""
+    first: Counter[str] = Counter()
+    second: Counter[str] = Counter()
+    for a, b, n, _, _ in pairs:
+        first[a] += n
+        second[b] += n
+    return {(a, b) for a, b, _, shown_a, shown_b in pairs if first[a] >= PAIR_SHARE * shown_a and second[b] >= PAIR_SHARE * shown_b}
+
+
+def _lexicon(edges: set[tuple[str, str]], han: set[tuple[str, str]]) -> Names:
+    """Words that combine freely with each other, as given and family names do and nicknames, places
+    and headings don't. A word is a given name if it stands before more different words than after,
+    else a family name."""
     edges = {(a, b) for a, b in edges if a != b and a not in TITLES and b not in TITLES}
     before, after = defaultdict(set), defaultdict(set)
     for a, b in edges:
@@ -267,6 +294,21 @@ def fit_names(display_names: Iterable[str | None], texts: Iterable[str | None] =
     return Names(frozenset(given), frozenset(family), frozenset(han_family), frozenset(han_given))
 
 
+def fit_names(display_names: Iterable[str | None], texts: Iterable[str | None] = ()) -> Names:
+    """The lexicon from words of display names, mail logins and capitalised pairs in texts."""
+    told = Evidence()
+    for text in texts:
+        told.read(text)
+    for text in display_names:
+        told.name(text)
+    rows = told.rows()
+    shown = {a: (low, high) for kind, a, _, low, high in rows if kind == "word"}
+    common = {w for w, (low, high) in shown.items() if low > high}
+    times = lambda w: shown.get(w, (0, 0))[1]
+    pairs = [(a, b, n, times(a), times(b)) for kind, a, b, _, n in rows if kind == "pair" and a not in common and b not in common]
+    return _lexicon(_usual(pairs) | told.named, told.han)
+
+
 def _grown(edges: set[tuple[str, str]], rounds: int = 2) -> tuple[set[str], set[str]]:
     """Both sides of the core of freely combining words, and the words that combine with one of it."""
     core = _core(edges)
@@ -409,24 +451,49 @@ def redact(text: str | None, names: Names) -> str | None:
     return "".join(out) + text[at:]
 
 
-def fit_lexicon(columns: list[tuple[DataFrame, str]], texts: tuple[DataFrame, str] | None = None, limit: int = LEXICON_NAMES, rows: int = SAMPLE_TEXTS) -> Names:
-    """The lexicon from display-name columns and a text column.
+def fit_lexicon(columns: list[tuple[DataFrame, str]], texts: tuple[DataFrame, str] | None = None) -> Names:
+    """The lexicon from display-name columns and a text column, as fit_names() makes it of all their
+    different values.
 
-    Read are at most `limit` different names, by hash order, and at most `rows` texts, by a hash of
-    the text. Empty tables give an empty lexicon.
+    All rows and whole texts are read; equal ones count once. Counts and pairs are united by tasks;
+    the driver gets the different pairs, without those that hold a common word. Empty tables give an
+    empty lexicon.
     """
-    names = None
-    for df, column in columns:
-        part = df.select(F.col(column).alias("n")).where(F.col("n").isNotNull() & (F.length("n") <= 80))
-        names = part if names is None else names.unionByName(part)
-    shown = [r["n"] for r in names.distinct().orderBy(F.xxhash64("n"), "n").limit(limit).collect()]
-    sample: list[str] = []
-    if texts is not None:
-        df, column = texts
-        share = min(1.0, 1.2 * rows / max(1, df.count()))
-        chosen = df.select(F.col(column).alias("t")).where(F.pmod(F.xxhash64("t", F.lit(29)), F.lit(1 << 20)) < int(share * (1 << 20)))
-        sample = [r["t"] for r in chosen.select(F.substring("t", 1, 2000).alias("t")).limit(rows).collect()]
-    return fit_names(shown, sample)
+
+    def gather(batches):
+        import pyarrow as pa
+
+        def handed(told):
+            rows = told.rows()
+            for k in range(0, len(rows), 20_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 20_000]), (*[pa.string()] * 3, pa.int64(), pa.int64()))], names=["kind", "a", "b", "low", "high"])
+
+        told = Evidence()
+        for batch in batches:
+            for is_name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                (told.name if is_name else told.read)(text)
+            if len(told) > HELD:
+                yield from handed(told)
+                told = Evidence()
+        yield from handed(told)
+
+    values = None
+    for is_name, (df, column) in [*((True, c) for c in columns), *([(False, texts)] if texts is not None else [])]:
+        part = df.select(F.lit(is_name).alias("is_name"), F.col(column).alias("v")).where(F.col("v").isNotNull())
+        values = part if values is None else values.unionByName(part)
+    cuts = Cuts(values.sparkSession, "names")
+    parts = values.distinct().mapInArrow(gather, "kind string, a string, b string, low bigint, high bigint")
+    counts, place = cuts.cut(parts.groupBy("kind", "a", "b").agg(F.sum("low").alias("low"), F.sum("high").alias("high")))
+    pairs = counts.where(F.col("kind") == "pair").select("kind", "a", "b", F.col("high").alias("n"))
+    for side in ("a", "b"):
+        words = counts.where(F.col("kind") == "word").select(F.col("a").alias("w"), F.col("low").alias(f"low_{side}"), F.col("high").alias(f"shown_{side}"))
+        pairs = pairs.join(words, F.col(side) == F.col("w"), "left").drop("w").fillna(0, [f"low_{side}", f"shown_{side}"]).where(F.col(f"low_{side}") <= F.col(f"shown_{side}"))
+    rest = counts.where(F.col("kind").isin("named", "han")).select("kind", "a", "b")
+    found = pairs.select("kind", "a", "b", "n", "shown_a", "shown_b").unionByName(rest, allowMissingColumns=True).toArrow().to_pylist()
+    cuts.drop(place)
+    of = lambda kind: {(r["a"], r["b"]) for r in found if r["kind"] == kind}
+    usual = _usual([(r["a"], r["b"], r["n"], r["shown_a"], r["shown_b"]) for r in found if r["kind"] == "pair"])
+    return _lexicon(usual | of("named"), of("han"))
 
 
 def items(df: DataFrame, row: str, fields: tuple[str, ...], names: Names) -> DataFrame:

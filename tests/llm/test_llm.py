@@ -177,6 +177,22 @@ def test_redaction_and_clashes(spark):
     assert pii.fit_lexicon([(df.where("false"), "author_name")], (df.where("false"), "content")).given == frozenset()
 
 
+def test_lexicon_reads_all_rows_and_whole_texts(spark):
+    """Names at the end of long texts, one pair in each of many rows; more display names than any sample."""
+    pairs = [(g, f) for g in ("Ilva", "Oskur") for f in ("Brandel", "Tormund")]
+    texts = [("so it goes " * 300 + f"ask {g} {f} about it",) for g, f in pairs] + [(f"line {k} of the log",) for k in range(120_000)]
+    df = spark.createDataFrame(texts, "content string").repartition(4)
+    shown = spark.range(60_000).select(F.concat(F.lit("nick"), F.col("id").cast("string")).alias("n"))
+    names = pii.fit_lexicon([(shown, "n")], (df, "content"))
+    assert names.given == {"ilva", "oskur"} and names.family == {"brandel", "tormund"}
+    people = spark.createDataFrame([(f"{g} {f}",) for g, f in pairs], "n string")
+    assert pii.fit_lexicon([(shown.unionByName(people), "n")]).given == {"ilva", "oskur"}
+    # Words of neighbouring sentences without an end mark meet now and then, in many rows.
+    noise = [f"{a} {b}" for a in ("Refrain", "Gruppe") for b in ("Vielen", "Kann")] + ["In der Gruppe", "Der Refrain", "Vielen dank", "Kann ich"] * 60
+    assert pii.fit_names([], noise).given == frozenset()
+    assert pii.fit_names([f"{g} {f}" for g, f in pairs], noise).given == {"ilva", "oskur"}
+
+
 # --- leakage ------------------------------------------------------------------------------------
 
 
