@@ -35,7 +35,7 @@ SHRINK = 0.7  #: so many occurrences with the usual shares of subjects are added
 DEAD_ZONE = 0.7  #: log odds nearer to 0 than this count as none
 SCALE = 0.5  #: words and pairs aren't independent; log odds are halved
 THRESHOLD = 1.2  #: evidence (nats) that a sentence about no subject has
-STARTER_DOCS = 4_000  #: at most so many documents teach the words that begin sentences
+HELD = 200_000  #: a task hands on its counts of words when it holds so many
 CALIBRATION_DOCS = 20_000  #: at most so many labelled documents calibrate the posteriors
 
 _LANGUAGES = (*LATIN, "ru", "zh", "")  #: eight, the last for text of no known language
@@ -57,18 +57,43 @@ def _fold(text: str) -> str:
     return text if text.isascii() else _MARKS.sub("", unicodedata.normalize("NFKD", text))
 
 
-def starters(texts: list[str]) -> frozenset[str]:
-    """Words that, when capitalised, nearly always begin a sentence."""
-    first: Counter[str] = Counter()
-    shown: Counter[str] = Counter()
-    for text in texts:
-        for part in _PART.split(text):
-            part = _LABEL.sub("", part, count=1)
-            words = re.findall(r"[^\W\d_]+", part)
-            if len(words) > 1 and not part.isupper():
-                first[words[0]] += words[0][:1].isupper()
-                shown.update(w for w in words if w[:1].isupper())
-    return frozenset(w for w, n in first.items() if n >= 5 and n >= 0.9 * shown[w])
+def _opening(text: str, first: Counter[str], shown: Counter[str]) -> None:
+    """Counts the words that are capitalised at the start of a part, and anywhere."""
+    for part in _PART.split(text):
+        part = _LABEL.sub("", part, count=1)
+        words = re.findall(r"[^\W\d_]+", part)
+        if len(words) > 1 and not part.isupper():
+            first[words[0]] += words[0][:1].isupper()
+            shown.update(w for w in words if w[:1].isupper())
+
+
+def starters(documents: DataFrame, text: str = "text") -> frozenset[str]:
+    """Words that, when capitalised, nearly always begin a sentence, counted over all documents and
+    whole texts. The driver gets only the words that pass."""
+
+    def count(batches):
+        import pyarrow as pa
+
+        def handed(first, shown):
+            words = list(shown)
+            for k in range(0, len(words), 20_000):
+                some = words[k : k + 20_000]
+                yield pa.RecordBatch.from_arrays([pa.array(some, pa.string()), pa.array([first[w] for w in some], pa.int64()), pa.array([shown[w] for w in some], pa.int64())], names=["w", "first", "shown"])
+
+        first: Counter[str] = Counter()
+        shown: Counter[str] = Counter()
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                if t:
+                    _opening(t, first, shown)
+                if len(shown) > HELD:
+                    yield from handed(first, shown)
+                    first, shown = Counter(), Counter()
+        yield from handed(first, shown)
+
+    counts = documents.select(F.col(text).alias("t")).mapInArrow(count, "w string, first bigint, shown bigint")
+    sums = counts.groupBy("w").agg(F.sum("first").alias("first"), F.sum("shown").alias("shown"))
+    return frozenset(r["w"] for r in sums.where((F.col("first") >= 5) & (F.col("first") >= 0.9 * F.col("shown"))).select("w").collect())
 
 
 def sentences(text: str, begin: frozenset[str] = frozenset()) -> list[str]:
@@ -275,11 +300,7 @@ def train(documents: DataFrame, labels: DataFrame, subjects: list[str], doc: str
     context = spark.sparkContext
     classes = len(subjects)
     place = {s: k for k, s in enumerate(subjects)}
-    total = documents.count()
-    share = min(1.0, 1.2 * STARTER_DOCS / max(1, total))
-    chosen = documents.where(F.pmod(F.xxhash64(F.col(doc), F.lit(5)), F.lit(1 << 20)) < int(share * (1 << 20)))
-    sample = [r["t"] for r in chosen.select(F.substring(text, 1, 4000).alias("t")).limit(STARTER_DOCS).collect() if r["t"]]
-    begin = starters(sample)
+    begin = starters(documents, text)
     schema = "f int, " + ", ".join(f"c{k} double" for k in range(classes))
 
     def from_labels(batches):

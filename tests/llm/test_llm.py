@@ -279,3 +279,12 @@ def test_subjects(spark):
     assert subjects.areas(df.where("false"), model).count() == 0
     empty = subjects.train(df.where("false"), lab, ["law"], rounds=1, own_rounds=1)
     assert subjects.areas(df, empty).count() == 0
+
+
+def test_starters_read_all_rows_and_whole_texts(spark):
+    """A word that begins sentences in a few of many documents, or beyond a long text's start."""
+    rows = [("so it goes. " * 400 + "Zudem works now.",)] * 6 + [("Quark ist gut.",)] * 6 + [(f"a note {k} on Quark.",) for k in range(4)] + [("plain words only",)] * 12_000
+    df = spark.createDataFrame(rows, "text string").repartition(4)
+    begin = subjects.starters(df)
+    assert "Zudem" in begin and "Quark" not in begin
+    assert subjects.starters(df.where("false")) == frozenset()
