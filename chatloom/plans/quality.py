@@ -30,35 +30,31 @@ def p4_author_activity(spark: SparkSession, directory: str) -> DataFrame:
     return skew.aggregate_by_key(messages, "author_id", partial, final, share=0.005)
 
 
+def _chat_tables(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
+    """The shredded tables of all raw records."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    return nested.chat_tables(table(spark, directory, "raw_records"))
+
+
 def p5_found(spark: SparkSession, directory: str) -> DataFrame:
     """Every entry of a reactions array in a valid payload."""
-    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    messages = nested.message_table(table(spark, directory, "raw_records"))
-    return nested.reaction_table(messages).select("record_id", "message_pos", "reaction_pos", "message_id", "author_key", "emoji")
+    return nested.reaction_table(_chat_tables(spark, directory)).select("record_id", "message_pos", "reaction_pos", "message_id", "author_key", "emoji")
 
 
 def p5_messages(spark: SparkSession, directory: str) -> DataFrame:
     """The flat message table of all raw records."""
-    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    return nested.message_table(table(spark, directory, "raw_records")).drop("message")
+    return nested.message_table(_chat_tables(spark, directory))
 
 
 def p5_authors(spark: SparkSession, directory: str) -> DataFrame:
     """The flat author table of all raw records."""
-    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    return nested.author_table(nested.message_table(table(spark, directory, "raw_records")))
+    return nested.author_table(nested.message_table(_chat_tables(spark, directory)))
 
 
 def p5_shredded(spark: SparkSession, directory: str) -> DataFrame:
-    """Rows of each table that shared inlining makes of the raw records (schema read from the data)."""
+    """Every cell of every table that shared inlining makes of the raw records, with its keys."""
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    names = {(): "messages", ("messages",): "messages", ("data", "items"): "messages", ("data", "messages"): "messages"}
-    tables = nested.shred(table(spark, directory, "raw_records"), "record_id", "payload", names=names)
-    out = None
-    for name, df in sorted(tables.items()):
-        part = df.groupBy(F.lit(name).alias("element"), "path").agg(F.count(F.lit(1)).alias("n_rows"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    return nested.cell_rows(nested.shred(table(spark, directory, "raw_records"), "record_id", "payload", names=nested.CONTAINERS), "record_id")
 
 
 def p6_found(spark: SparkSession, directory: str) -> DataFrame:
@@ -156,6 +152,12 @@ SELECT record_id, message_pos, reaction_pos, message_id, author_key, coalesce(nu
   CASE WHEN json_type(e, '$.emoji') = 'VARCHAR' THEN nullif(e ->> '$.emoji', '') END, nullif(e ->> '$.name', ''), nullif(e ->> '$.reaction_type.emoji_type', '')) AS emoji FROM r""",
     "p5_messages": f"WITH {_RAW} SELECT record_id, container, message_pos, message_id, author_key, author_name, sent_at, reply_to FROM flat",
     "p5_authors": f"WITH {_RAW} SELECT author_key, min(author_name) AS author_name, count(*) AS n_messages FROM flat WHERE author_key <> '' GROUP BY author_key",
+    # A leaf's row stands at the last array on its way; its column is what follows.
+    "p5_shredded": r"""WITH leaf AS (SELECT r.record_id, t.fullkey AS k, t.atom ->> '$' AS value FROM raw_records r, json_tree(CASE WHEN json_valid(payload) THEN payload ELSE 'null' END) t WHERE t.type NOT IN ('OBJECT', 'ARRAY', 'NULL')),
+c AS (SELECT record_id, value, regexp_extract(k, '^\$(.*\])?', 0) AS loc, regexp_replace(k, '^\$(.*\])?\.?', '') AS tail FROM leaf)
+SELECT record_id, regexp_replace(loc, '\d+', '', 'g') AS path, array_to_string(regexp_extract_all(loc, '\[(\d+)\]', 1), ',') AS keys,
+CASE WHEN loc = '$' OR regexp_full_match(loc, '\$\[\d+\]') THEN NULL WHEN contains(regexp_replace(loc, '\[\d+\]$', ''), '[') THEN regexp_replace(regexp_extract(regexp_replace(loc, '\[\d+\]$', ''), '^.*\]', 0), '\d+', '', 'g') ELSE '$' END AS parent_path,
+array_to_string(list_slice(regexp_extract_all(loc, '\[(\d+)\]', 1), 1, -2), ',') AS parent_keys, CASE WHEN tail = '' THEN '$' ELSE tail END AS "column", value FROM c""",
     "p6_found": f"""WITH {_IDS} SELECT 'messages' AS tbl, msg_row AS row_no FROM d UNION ALL
 SELECT 'seen_messages', seen_no FROM (SELECT *, row_number() OVER (PARTITION BY export_key, id ORDER BY seen_no) AS k FROM s) WHERE k > 1""",
     "p6_kept": f"WITH {_IDS} SELECT msg_row, export_key, message_id, batch_no FROM messages WHERE msg_row NOT IN (SELECT msg_row FROM d)",

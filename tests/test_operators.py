@@ -155,20 +155,55 @@ def test_shred_links_and_round_trip(spark):
     tables = nested.shred(df, "id", "j", names={(): "items"})
     assert set(tables) == {"record", "items", "tags", "kids"}
     record = {r["id"]: r.asDict() for r in tables["record"].collect()}
-    assert set(record) == {1, 2, 6} and record[1]["a_b"] == "1" and record[1]["a_c_d"] == "x" and record[1]["path_"] == "z"
+    assert set(record) == {1, 2, 6} and record[1]["a.b"] == "1" and record[1]["a.c.d"] == "x" and record[1]["path_"] == "z"
     items = {(r["id"], tuple(r["keys"])): r["n"] for r in tables["items"].collect()}
     assert items == {(1, (0,)): "1", (1, (1,)): None, (3, (0,)): "9"}
     for child in ("tags", "kids"):
         for r in tables[child].collect():
-            assert (r["id"], tuple(r["parent_keys"])) in items
-    assert sorted(r["value"] for r in tables["tags"].collect()) == ["p", "q"]
+            assert (r["id"], tuple(r["parent_keys"])) in items and r["parent_path"] == "$.items[]"
+    assert sorted(r["$"] for r in tables["tags"].collect()) == ["p", "q"]
     assert nested.shred(df.where("false"), "id", "j") == {}
 
 
-def test_recursive_elements_share_a_table():
+def test_same_rows_however_large(spark):
+    """Texts read as VARIANT and texts taken apart element by element give the same tables."""
+    docs = [
+        {"a": {"b": 1.50, "c": True}, "items": [{"n": 1e3, "who": {"id": 5}, "tags": ["p", {"x": "ü"}], "kids": [{"n": 2, "kids": [{"n": "d.e"}]}]}, {"n": None}, 7, [1, [2]]], "meta": {"who": {"id": "w"}}},
+        [{"n": 9, "N": 10, "tags": []}, "s"], {"items": {"n": 1}}, 5, None, {"data": {"items": [{"n": 1, "odd.key": "k", "it's": 2, "it's \"odd\"?": 3, "what.'\"?": {"a": 4}}]}, "who": {"id": 3}},
+    ]
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)] + [(90, "[1,"), (91, "{} {}"), (92, None)], "id long, j string")
+    inherit = {"tags": ["n", "who.id"], "items": ["a.b"]}
+    read = [nested.shred(df, "id", "j", names={(): "items"}, inherit=inherit, large=large) for large in (nested.LARGE, 0)]
+    assert set(read[0]) == set(read[1]) and "who" in read[0]
+    for name in read[0]:
+        rows = [sorted(map(str, t[name].collect())) for t in read]
+        assert rows[0] == rows[1] and rows[0], name
+    assert {(r["id"], r["parent.n"]) for r in read[0]["tags"].collect()} == {(0, "1000")}
+
+
+@pytest.mark.parametrize("mib", [20, 140])
+def test_large_payloads_are_whole(spark, mib):
+    message = {"message_id": "m", "author_id": "a", "content": "x" * 10_000, "reactions": [{"emoji": "y", "count": 1}]}
+    n = mib * (1 << 20) // 10_100
+    payload = '{"messages": [' + ",".join(json.dumps(message) for _ in range(n)) + ', {"message_id": "last", "reactions": [{"emoji": {"name": "z"}}]}]}'
+    tables = nested.chat_tables(spark.createDataFrame([(1, payload), (2, '{"messages": [{"id": 5}]}')], "record_id long, payload string"))
+    assert nested.message_table(tables).count() == n + 2
+    assert [r["message_pos"] for r in nested.reaction_table(tables).where("emoji = 'z'").collect()] == [n]
+
+
+def test_too_large_for_one_value_is_refused(spark):
+    df = spark.createDataFrame([('["' + "x" * (20 << 20) + '"]',)], "v string")
+    with pytest.raises(Exception, match="too large for a VARIANT"):
+        df.select(nested.whole_json(F.col("v")).cast("string")).collect()
+
+
+def test_recursive_and_shared_elements_have_tables():
     found = [((), "object"), (("replies",), "array"), (("replies", "[]"), "object"), (("replies", "[]", "n"), "scalar"), (("replies", "[]", "replies"), "array"), (("replies", "[]", "replies", "[]"), "object"), (("replies", "[]", "replies", "[]", "n"), "scalar"), (("odd`: name",), "scalar")]
     tables = nested.inline(nested.build_graph(found))
-    assert tables["replies"].recursive and len(tables["replies"].paths) == 2 and "odd`: name" in tables["record"].paths[0][1]
+    assert tables["replies"].recursive and len(tables["replies"].places) == 2 and "odd`: name" in tables["record"].places[0].cells
+    shared = [((), "object"), (("a",), "object"), (("b",), "object"), (("a", "p"), "object"), (("b", "p"), "object"), (("a", "p", "n"), "scalar"), (("b", "p", "n"), "scalar"), (("a", "own"), "object"), (("a", "own", "n"), "scalar")]
+    tables = nested.inline(nested.build_graph(shared))
+    assert set(tables) == {"record", "p"} and set(tables["record"].places[0].cells) == {"a.own.n"} and {p.parent for p in tables["p"].places} == {()}
 
 
 def test_reactions_of_all_shapes(spark):
@@ -177,10 +212,16 @@ def test_reactions_of_all_shapes(spark):
         json.dumps({"messages": [{"id": 7, "author": {"id": 5}, "reactions": [{"emoji": {"name": "x"}, "count": None}, {"emoji": "y"}]}, {"id": 8, "reactions": None}, {"id": 9, "reactions": {}}, 3]}), "[", "null", None,
     ]
     df = spark.createDataFrame(list(enumerate(payloads)), "record_id long, payload string")
-    rows = nested.reaction_table(nested.message_table(df)).orderBy("record_id", "message_pos", "reaction_pos").collect()
+    tables = nested.chat_tables(df)
+    rows = nested.reaction_table(tables).orderBy("record_id", "message_pos", "reaction_pos").collect()
     assert [(r["record_id"], r["message_pos"], r["reaction_pos"], r["message_id"], r["author_key"], r["emoji"], r["n"]) for r in rows] == [
         (0, 0, 0, "1.5", "U", "joy", 2), (0, 0, 1, "1.5", "U", "up", 4), (1, 0, 0, "om", "z", "OK", 1), (2, 0, 0, "7", "5", "x", None), (2, 0, 1, "7", "5", "y", None),
     ]
+    assert sorted((r["record_id"], r["message_pos"], r["message_id"]) for r in nested.message_table(tables).collect()) == [(0, 0, "1.5"), (1, 0, "om"), (2, 0, "7"), (2, 1, "8"), (2, 2, "9")]
+    empty = nested.chat_tables(df.where("false"))
+    assert nested.reaction_table(empty).count() == nested.message_table(empty).count() == 0
+    elsewhere = nested.chat_tables(spark.createDataFrame([(1, '{"export": {"rows": [{"id": 1, "reactions": [{"name": "n"}]}]}}')], "record_id long, payload string"))
+    assert [(r["message_id"], r["emoji"]) for r in nested.reaction_table(elsewhere).collect()] == [("1", "n")]
 
 
 # --- analytics ----------------------------------------------------------------------------------
