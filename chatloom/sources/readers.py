@@ -3,7 +3,9 @@
 Each gives canonical messages: `ord` (file order, then position), platform, channel, message_id,
 author_id (salted hash), author_name, ts (UTC, NULL if unreadable), content, reply_to_message_id,
 reactions (emoji, count), attachment_count. JSON is read as VARIANT, so fields of any type and shape
-are met by expressions alone; unknown fields are dropped, missing ones take their defaults.
+are met by expressions alone; unknown fields are dropped, missing ones take their defaults. Files of
+more than LARGE bytes are split into messages by a streaming parser before that, so none is too large
+for a VARIANT. A file that is one JSON value is read by one task; NDJSON and CSV are read in parallel.
 """
 
 from __future__ import annotations
@@ -15,8 +17,9 @@ from pyspark.sql import functions as F
 
 from chatloom.functions.ids import hash_author
 from chatloom.functions.instants import to_utc_us
+from chatloom.functions.jsonstream import LARGE, Reading, head_of
 from chatloom.functions.text import strip
-from chatloom.operators.nested import whole_json
+from chatloom.operators.nested import reach, whole_json
 
 # Subtypes of Slack messages that are no messages of members.
 SLACK_EVENTS = ("channel_join", "channel_leave", "channel_name", "channel_purpose", "channel_topic")
@@ -29,27 +32,111 @@ CSV_COLUMNS = {
 POSITION_BITS = 33  #: positions within a file are below 2 ** POSITION_BITS
 
 
-def _files(spark: SparkSession, path: str, suffix: str = "") -> list[str]:
-    """The file, or the files of a directory with the suffix, by name."""
+def _listed(spark: SparkSession, path: str, suffix: str = "") -> list[tuple[str, int]]:
+    """(path, bytes) of the file, or of the files of a directory with the suffix, by name."""
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.getFileStatus(where).isDirectory():
-        return [str(fs.getFileStatus(where).getPath().toString())]
-    found = [s.getPath().toString() for s in fs.listStatus(where) if s.isFile()]
-    return sorted(str(f) for f in found if str(f).endswith(suffix))
+    status = fs.getFileStatus(where)
+    if not status.isDirectory():
+        return [(status.getPath().toString(), status.getLen())]
+    found = [(s.getPath().toString(), s.getLen()) for s in fs.listStatus(where) if s.isFile()]
+    return sorted((str(f), n) for f, n in found if str(f).endswith(suffix))
+
+
+def _files(spark: SparkSession, path: str, suffix: str = "") -> list[str]:
+    return [f for f, _ in _listed(spark, path, suffix)]
+
+
+def _documents(spark: SparkSession, path: str, suffix: str = ".json", large: int = LARGE) -> DataFrame:
+    """(`file_no`, `stem`, `value`, `large`) of whole files."""
+    files = _listed(spark, path, suffix)
+    out = None
+    for big in (False, True):
+        some = [(k, f) for k, (f, n) in enumerate(files) if (n > large) == big]
+        if not some and (big or out is not None or len(files)):
+            continue
+        if not some:
+            return spark.createDataFrame([], "file_no bigint, stem string, value string, large boolean")
+        name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+        order = spark.createDataFrame([(k, f.rsplit("/", 1)[-1]) for k, f in some], "file_no bigint, _n string")
+        text = spark.read.text([f for _, f in some], wholetext=True).select(F.url_decode(name).alias("_f"), F.regexp_replace("value", "^\\x{FEFF}", "").alias("value"))
+        joined = text.join(F.broadcast(order), F.col("_f") == F.col("_n"))  # a row a file
+        part = joined.select("file_no", F.regexp_replace("_f", r"\.[^.]*$", "").alias("stem"), "value", F.lit(big).alias("large"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+#: What `split_messages` gives: the file, the rest of its JSON, position and JSON text of one element.
+_SPLIT = "file_no bigint, stem string, head string, pos bigint, m string"
+
+
+def split_messages(documents: DataFrame, containers: tuple[tuple[str, ...], ...], by_line: bool = False) -> DataFrame:
+    """Elements of the first of the containers (paths of arrays) that a text of (`file_no`, `stem`,
+    `value`) has, one at a time; texts that aren't one JSON value give none.
+
+    With `by_line` a text that isn't one value is read line by line, broken lines left out, and a
+    message that is no element of a container is one itself; positions count on from line to line.
+    """
+    wanted = set(containers)
+
+    def found(text: str):
+        """(head, element texts) of one JSON value; ValueError if it is none."""
+        import json
+
+        head = head_of(text, wanted)
+        reach = lambda path: next((v for v in [_inside(head, path)] if isinstance(v, list)), None)
+        box = next((p for p in containers if reach(p) is not None), None)
+        if box is None:
+            single = by_line and isinstance(head, dict) and (head.get("message_id") is not None or head.get("msg_type") is not None)
+            return "null", iter([text] if single else [])
+        return json.dumps(head, ensure_ascii=False), (text[a:b] for path, _, _, a, b in Reading(text, wanted).elements() if path == box)
+
+    def values(text: str):
+        try:
+            yield found(text)
+        except ValueError:
+            if not by_line:
+                return
+            at = 0
+            while at < len(text):
+                end = text.find("\n", at)
+                end = len(text) if end < 0 else end
+                if line := text[at:end].strip():
+                    try:
+                        yield found(line)
+                    except ValueError:
+                        pass
+                at = end + 1
+
+    def run(batches):
+        import pyarrow as pa
+
+        def handed(number, stem, rows):
+            columns = [pa.array([number.as_py()] * len(rows), pa.int64()), pa.array([stem.as_py()] * len(rows), pa.string())]
+            columns += [pa.array([r[j] for r in rows], t) for j, t in enumerate((pa.string(), pa.int64(), pa.string()))]
+            return pa.RecordBatch.from_arrays(columns, names=["file_no", "stem", "head", "pos", "m"])
+
+        for batch in batches:
+            for number, stem, text in zip(batch.column(0), batch.column(1), batch.column(2)):
+                rows, size, position = [], 0, 0
+                for head, elements in values(text.as_py() or ""):
+                    for element in elements:
+                        rows.append((head, position, element))
+                        position, size = position + 1, size + len(head) + len(element)
+                        if size > 4 << 20 or len(rows) == 5_000:
+                            yield handed(number, stem, rows)
+                            rows, size = [], 0
+                if rows:
+                    yield handed(number, stem, rows)
+
+    return documents.select("file_no", "stem", "value").mapInArrow(run, _SPLIT)
 
 
-def _documents(spark: SparkSession, path: str, suffix: str = ".json") -> DataFrame:
-    """(`file_no`, `stem`, `value`) of whole files."""
-    files = _files(spark, path, suffix)
-    if not files:
-        return spark.createDataFrame([], "file_no bigint, stem string, value string")
-    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-    order = spark.createDataFrame([(k, f.rsplit("/", 1)[-1]) for k, f in enumerate(files)], "file_no bigint, _n string")
-    text = spark.read.text(files, wholetext=True).select(F.url_decode(name).alias("_f"), F.regexp_replace("value", "^\\x{FEFF}", "").alias("value"))
-    joined = text.join(F.broadcast(order), F.col("_f") == F.col("_n"))  # a row a file
-    return joined.select("file_no", F.regexp_replace("_f", r"\.[^.]*$", "").alias("stem"), "value")
+def _inside(value, path: tuple[str, ...]):
+    for name in path:
+        value = value.get(name) if isinstance(value, dict) else None
+    return value
 
 
 def _get(v: Column, path: str, kind: str = "string") -> Column:
@@ -93,14 +180,19 @@ def _canonical(rows: DataFrame, platform: Column, channel: Column, message_id: C
     )
 
 
-def _exploded(documents: DataFrame, items: Column) -> DataFrame:
-    rows = documents.withColumn("v", whole_json(F.col("value"))).where("v is not null")
-    return rows.select("file_no", "stem", "v", F.posexplode(items).alias("pos", "m"))
+def _exploded(documents: DataFrame, containers: tuple[tuple[str, ...], ...] = (("messages",),)) -> DataFrame:
+    """(`file_no`, `stem`, `v` the file, `pos`, `m` the message) of the first container that a file has."""
+    small = documents.where("not large").withColumn("v", whole_json(F.col("value"))).where("v is not null")
+    items = F.coalesce(*[reach(F.col("v"), p, "array<variant>") for p in containers])
+    split = split_messages(documents.where("large"), containers)
+    # An element is refused aloud if it is too large for a VARIANT by itself.
+    elements = split.select("file_no", "stem", F.parse_json("head").alias("v"), "pos", F.parse_json("m").alias("m"))
+    return small.select("file_no", "stem", "v", F.posexplode(items).alias("pos", "m")).withColumn("pos", F.col("pos").cast("bigint")).select("file_no", "stem", "v", "pos", "m").unionByName(elements)
 
 
 def read_discord(spark: SparkSession, path: str, salt: str) -> DataFrame:
     """One object a file with channel.name and messages."""
-    rows = _exploded(_documents(spark, path), _get(F.col("v"), "$.messages", "array<variant>"))
+    rows = _exploded(_documents(spark, path))
     m = F.col("m")
     author = hash_author(F.coalesce(_get(m, "$.author.id"), F.lit("")), salt)
     return _canonical(
@@ -111,7 +203,7 @@ def read_discord(spark: SparkSession, path: str, salt: str) -> DataFrame:
 
 def read_telegram(spark: SparkSession, path: str, salt: str) -> DataFrame:
     """Messages of type "message"; text is a string or a list of strings and objects with text."""
-    rows = _exploded(_documents(spark, path), _get(F.col("v"), "$.messages", "array<variant>"))
+    rows = _exploded(_documents(spark, path))
     m = F.col("m")
     rows = rows.where(_get(m, "$.type") == "message")
     pieces = F.transform(_get(m, "$.text", "array<variant>"), lambda x: F.coalesce(_get(x, "$.text"), _get(x, "$"), F.lit("")))
@@ -130,7 +222,7 @@ def _hashed_or_kept(raw: Column, salt: str) -> Column:
 
 def read_canonical(spark: SparkSession, path: str, salt: str) -> DataFrame:
     """S3: messages in canonical shape; ids that say they are hashed are kept."""
-    rows = _exploded(_documents(spark, path), _get(F.col("v"), "$.messages", "array<variant>"))
+    rows = _exploded(_documents(spark, path))
     m = F.col("m")
     return _canonical(
         rows, F.coalesce(_get(m, "$.platform"), F.lit("canonical")), F.coalesce(_get(m, "$.channel"), F.lit("")), _get(m, "$.message_id"), _hashed_or_kept(_get(m, "$.author_id"), salt),
@@ -186,25 +278,18 @@ def lark_content(kind: Column, raw: Column) -> Column:
     return F.struct(text.alias("text"), attached.alias("attachments"))
 
 
-def _lark_items(v: Column) -> Column:
-    """The message elements of a response envelope, array, canonical document or single message."""
-    single = F.when(F.coalesce(_get(v, "$.message_id"), _get(v, "$.msg_type")).isNotNull(), F.array(v))
-    items = F.coalesce(_get(v, "$", "array<variant>"), _get(v, "$.messages", "array<variant>"), _get(v, "$.data.messages", "array<variant>"), _get(v, "$.data.items", "array<variant>"), single)
-    return F.filter(items, lambda x: F.schema_of_variant(x).startswith("OBJECT"))
+LARK_CONTAINERS = ((), ("messages",), ("data", "messages"), ("data", "items"))
 
 
 def read_lark(spark: SparkSession, path: str, salt: str, channel: str | None = None, utc_offset_hours: float = 0.0) -> DataFrame:
-    """NDJSON, an array, envelopes with data.items or data.messages, concatenated envelopes one a
-    line, or canonical messages.
+    """NDJSON, an array, envelopes with data.items or data.messages, concatenated envelopes one a
+    line, or canonical messages; told apart by their content, split by a streaming parser.
 
     The channel of rows without a chat is `channel`, else the first chat name or id of the file, else
     lark-chat. Display times without zone lie `utc_offset_hours` east of UTC.
     """
-    files = _documents(spark, path, "").withColumn("_whole", whole_json(F.col("value")))
-    lines = F.when(F.col("_whole").isNotNull(), F.array(F.col("value"))).otherwise(F.filter(F.split("value", r"\r?\n"), lambda s: F.trim(s) != ""))
-    parts = files.select("file_no", "stem", F.posexplode(lines).alias("line_no", "value")).withColumn("v", whole_json(F.col("value"))).where("v is not null")
-    found = parts.select("file_no", "line_no", F.posexplode(_lark_items(F.col("v"))).alias("item_no", "m"))
-    rows = found.withColumn("pos", F.shiftleft(F.col("line_no").cast("bigint"), 16) + F.col("item_no"))
+    split = split_messages(_documents(spark, path, ""), LARK_CONTAINERS, by_line=True)
+    rows = split.select("file_no", "pos", F.parse_json("m").alias("m")).where(F.schema_of_variant("m").startswith("OBJECT"))
     m = F.col("m")
     chat = _text(m, "$.chat_name", "$.chat_id")
     if channel is None:
@@ -236,7 +321,7 @@ def read_lark(spark: SparkSession, path: str, salt: str, channel: str | None = N
 
 
 def unzipped(spark: SparkSession, path: str) -> DataFrame:
-    """(`file_no`, `stem`, `value`) of the JSON members of a zip, by name."""
+    """(`file_no`, `stem`, `value`, `large`) of the JSON members of a zip, by name."""
 
     def members(batches):
         import io
@@ -250,9 +335,9 @@ def unzipped(spark: SparkSession, path: str) -> DataFrame:
                     for k, name in enumerate(sorted(n for n in bundle.namelist() if n.endswith(".json"))):
                         stem = name.rsplit("/", 1)[-1][:-5]
                         text = bundle.read(name).decode("utf-8", "replace")
-                        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([stem]), pa.array([text])], names=["file_no", "stem", "value"])
+                        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([stem]), pa.array([text]), pa.array([len(text) > LARGE])], names=["file_no", "stem", "value", "large"])
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(members, "file_no bigint, stem string, value string")
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(members, "file_no bigint, stem string, value string, large boolean")
 
 
 def read_slack(spark: SparkSession, path: str, salt: str) -> DataFrame:
@@ -262,8 +347,7 @@ def read_slack(spark: SparkSession, path: str, salt: str) -> DataFrame:
     thread isn't its own. The channel is the file's name without its ending.
     """
     documents = unzipped(spark, path) if path.endswith(".zip") else _documents(spark, path)
-    v = F.col("v")
-    rows = _exploded(documents, F.coalesce(_get(v, "$", "array<variant>"), _get(v, "$.messages", "array<variant>")))
+    rows = _exploded(documents, ((), ("messages",)))
     m = F.col("m")
     user, ts, thread = _text(m, "$.user"), _get(m, "$.ts"), _text(m, "$.thread_ts")
     rows = rows.where((_get(m, "$.type") == "message") & ~F.coalesce(_get(m, "$.subtype"), F.lit("")).isin(*SLACK_EVENTS) & ~F.coalesce(user, F.lit("")).startswith("B"))

@@ -110,3 +110,58 @@ def test_raw_lines(spark, tmp_path):
 def test_empty_files(spark, tmp_path):
     for name in ("discord", "telegram", "canonical", "lark", "slack"):
         assert R.READERS[name](spark, put(tmp_path / f"{name}.json", ""), "s").count() == 0
+
+
+def _large(n, make):
+    return ",".join(make(i) for i in range(n))
+
+
+@pytest.mark.parametrize("platform", ["discord", "telegram", "canonical", "slack", "lark", "zip"])
+def test_large_exports_are_whole(spark, tmp_path, platform):
+    """20 MiB a file: more than a VARIANT holds. Every message comes out, in order."""
+    n, text = 2_200, "x" * 10_000
+    made = {
+        "discord": lambda i: json.dumps({"id": str(i), "author": {"id": "a"}, "content": text}), "telegram": lambda i: json.dumps({"id": i, "type": "message", "text": text}),
+        "canonical": lambda i: json.dumps({"message_id": str(i), "content": text}), "slack": lambda i: json.dumps({"type": "message", "ts": f"{i}", "user": "U", "text": text}),
+        "lark": lambda i: json.dumps({"message_id": str(i), "msg_type": "text", "content": text}), "zip": lambda i: json.dumps({"type": "message", "ts": f"{i}", "user": "U", "text": text}),
+    }[platform]
+    body = _large(n, made)
+    whole = f'{{"channel": {{"name": "big"}}, "name": "big", "messages": [{body}]}}' if platform in ("discord", "telegram", "canonical") else f'{{"data": {{"items": [{body}]}}}}' if platform == "lark" else f"[{body}]"
+    path = put(tmp_path / "big.json", whole)
+    if platform == "zip":
+        path = str(tmp_path / "big.zip")
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+            z.write(tmp_path / "big.json", "big.json")
+    df = R.READERS["slack" if platform == "zip" else platform](spark, path, "s")
+    rows = df.select("ord", "message_id", "channel", "content").orderBy("ord").collect()
+    assert [r["message_id"] for r in rows] == [str(i) for i in range(n)] and {len(r["content"]) for r in rows} == {len(text)}
+    if platform in ("discord", "telegram"):
+        assert {r["channel"] for r in rows} == {"big"}
+
+
+def test_export_of_140_mib(spark, tmp_path):
+    n = 14_000
+    path = put(tmp_path / "big.json", f'{{"channel": {{"name": "big"}}, "messages": [{_large(n, lambda i: json.dumps({"id": str(i), "content": "x" * 10_000}))}]}}')
+    assert R.read_discord(spark, path, "s").select("message_id").distinct().count() == n
+
+
+def test_small_and_large_files_read_alike(spark, tmp_path, monkeypatch):
+    doc = {"channel": {"name": "c"}, "messages": [{"id": 1, "author": {"id": "a", "name": "n"}, "timestamp": "2026-01-10T09:00:00Z", "content": "é", "reactions": [{"emoji": {"name": "x"}, "count": 1.0}]}, {"id": 2}, None]}
+    (tmp_path / "d").mkdir()
+    put(tmp_path / "d" / "a.json", doc)
+    put(tmp_path / "d" / "b.json", {**doc, "channel": None})
+    put(tmp_path / "d" / "c.json", "broken{")
+    rows = [sorted(map(str, R.read_discord(spark, str(tmp_path / "d"), "s").collect()))]
+    documents = R._documents
+    monkeypatch.setattr(R, "_documents", lambda *a, **k: documents(*a, **{**k, "large": 0}))
+    rows.append(sorted(map(str, R.read_discord(spark, str(tmp_path / "d"), "s").collect())))
+    assert rows[0] == rows[1] and len(rows[0]) == 6
+
+
+def test_lark_lines_of_many_items_keep_their_order(spark, tmp_path):
+    """Item 65 536 of a line comes before the next line's."""
+    n = 66_000
+    line = lambda start, k: json.dumps({"data": {"items": [{"message_id": str(start + i)} for i in range(k)]}})
+    path = put(tmp_path / "l.ndjson", line(0, n) + "\n" + line(n, 3))
+    rows = R.read_lark(spark, path, "s").select("ord", "message_id").orderBy("ord").collect()
+    assert len({r["ord"] for r in rows}) == n + 3 and [int(r["message_id"]) for r in rows] == list(range(n + 3))
