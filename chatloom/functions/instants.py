@@ -3,21 +3,23 @@
 Each value is turned into a shape mask (digit -> 9, letter -> a, other characters as they are).
 Within an Arrow batch every distinct mask is looked up once; the parser found for it then converts
 all values of that mask in numpy, column by column. Clock times without a zone are mapped through a
-transition table of the zone (built once a worker from the installed tz database, whose release
-`tz_release()` names) by binary search.
+transition table of the zone by binary search. The tables are built once a worker from the installed
+tz database. A conversion is pinned to the release that the driver has: a worker with another one
+refuses to convert, so one result never mixes the rules of two releases.
 """
 
 from __future__ import annotations
 
 import re
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-WIDTH = 64  #: no known notation is longer; a longer value has no mask of any parser
+WIDTHS = (64, 256, 1024)  #: values are laid out in blocks of these many bytes; longer ones one by one
 
 # Abbreviations of zones with one usual meaning, as hours from UTC. An abbreviation
 # that the row's own zone uses at that time takes that zone's offset instead.
@@ -42,12 +44,13 @@ _LUT[ord("A") : ord("Z") + 1] = ord("a")
 _LUT[ord("a") : ord("z") + 1] = ord("a")
 
 _CLOCK = r"(?P<h>9{1,2}):(?P<mi>99)(?::(?P<s>99)(?:[.,](?P<f>9{1,9}))?)?"
-_ZONE = r"(?: ?(?P<o>[+-]99(?::?99)?)(?: ?[\[(](?P<z>[a/_+9?-]+)[\])])?| ?[\[(](?P<zo>[a/_+9-]+)[\])]| ?(?P<ab>a{1,5}))?"
+_ZONE = r"(?: ?(?P<o>[+-]99(?::?99)?)(?: ?[\[(](?P<z>[a/_+9?-]+)[\])]| ?\([^()]*\))?| ?[\[(](?P<zo>[a/_+9-]+)[\])]| ?(?P<ab>a{1,5}))?"
 # The notations, as patterns of masks. Groups: y mo d date, mn month name, h mi s f clock, ap am/pm,
 # o offset, z region after an offset, zo region alone, ab abbreviation, e epoch, ef its fraction.
 NOTATIONS = tuple(
     re.compile(p + "$")
     for p in (
+        rf"(?:(?P<wd>aaa),? )?(?P<mn>a{{3,9}}) (?P<d>9{{1,2}}) (?P<y>9999) {_CLOCK} (?P<g>aaa)(?P<o>[+-]99:?99)(?: ?\([^()]*\))?",
         rf"(?P<y>9999)-(?P<mo>99)-(?P<d>99)(?:(?P<t>a)| +){_CLOCK}{_ZONE}",
         rf"(?P<y>9999)/(?P<mo>99)/(?P<d>99)(?:(?P<t>a)| +){_CLOCK}{_ZONE}",
         rf"(?P<d>9{{1,2}})\.(?P<mo>9{{1,2}})\.(?P<y>9999),? +{_CLOCK}{_ZONE}",
@@ -62,8 +65,7 @@ NOTATIONS = tuple(
 )
 
 
-@lru_cache(maxsize=4096)
-def notation(mask: str) -> dict[str, tuple[int, int]] | None:
+def _notation(mask: str) -> dict[str, tuple[int, int]] | None:
     """The parser of a mask: where its fields lie; None if it names no date and time."""
     for pattern in NOTATIONS:
         if m := pattern.match(mask):
@@ -71,14 +73,37 @@ def notation(mask: str) -> dict[str, tuple[int, int]] | None:
     return None
 
 
+_known = lru_cache(maxsize=4096)(_notation)
+
+
+def notation(mask: str) -> dict[str, tuple[int, int]] | None:
+    """`_notation`, remembered for masks of usual length."""
+    return _known(mask) if len(mask) <= WIDTHS[-1] else _notation(mask)
+
+
+@lru_cache(maxsize=1)
 def tz_release() -> str:
-    """Release of the tz database in use."""
+    """Release of the tz database that zoneinfo reads: the system's if it has one, else that of the tzdata package."""
+    import zoneinfo
+
+    for folder in map(Path, zoneinfo.TZPATH):
+        for name in ("tzdata.zi", "+VERSION"):
+            if (folder / name).is_file():
+                with (folder / name).open(encoding="utf-8") as f:
+                    return f.readline().replace("# version", "").strip()
+        if (folder / "Europe").is_dir():  # a system that doesn't name its release is known by its content
+            import hashlib
+
+            told = hashlib.sha256()
+            for file in sorted(p for p in folder.rglob("*") if p.is_file() and p.suffix == ""):
+                told.update(file.read_bytes())
+            return told.hexdigest()[:16]
     try:
         import tzdata
 
         return tzdata.IANA_VERSION
     except ImportError:
-        return "system"
+        return "none"
 
 
 @lru_cache(maxsize=1024)
@@ -190,6 +215,8 @@ def _convert(block: np.ndarray, zones: np.ndarray, parser: dict[str, tuple[int,
         a, b = parser["f"]
         digits = min(b - a, 6)
         us = us + _number(block, (a, a + digits), n) * 10 ** (6 - digits)
+    if "g" in parser:  # "GMT+0100"
+        good &= _mapped(_words(block, parser["g"]), {"gmt": 1, "utc": 1}) > 0
     if "o" in parser:
         a, b = parser["o"]
         hours = _number(block, (a + 1, a + 3), n)
@@ -238,19 +265,33 @@ def parse_batch(values: pa.Array, zones: pa.Array) -> pa.Array:
     if n == 0:
         return pa.array([], pa.int64())
     text = pc.fill_null(pc.utf8_trim_whitespace(values.cast(pa.string())), "")
-    sizes = pc.binary_length(text)
-    text = pc.if_else(pc.less_equal(sizes, WIDTH), text, "")
-    sizes = np.minimum(pc.binary_length(text).to_numpy(zero_copy_only=False), WIDTH)
     text = text.combine_chunks() if isinstance(text, pa.ChunkedArray) else text
-    offsets = np.frombuffer(text.buffers()[1], np.int32)[text.offset : text.offset + n + 1].astype(np.int64)
+    sizes = pc.binary_length(text).to_numpy(zero_copy_only=False).astype(np.int64)
+    starts = np.frombuffer(text.buffers()[1], np.int32)[text.offset : text.offset + n].astype(np.int64)
     data = np.frombuffer(text.buffers()[2] or b"", np.uint8)
-    block = np.zeros((n, WIDTH), np.uint8)
-    columns = np.arange(WIDTH)
+    zone_names = np.array(zones.to_pylist(), object)
+    out, good = np.zeros(n, np.int64), np.zeros(n, bool)
+    below = -1
+    for width in WIDTHS:
+        rows = np.flatnonzero((sizes > below) & (sizes <= width))
+        below = width
+        if len(rows):
+            out[rows], good[rows] = _parse(data, starts[rows], sizes[rows], zone_names[rows], width)
+    for row in np.flatnonzero(sizes > below):
+        some = slice(row, row + 1)
+        out[some], good[some] = _parse(data, starts[some], sizes[some], zone_names[some], int(sizes[row]))
+    return pa.array(out, pa.int64(), mask=~good)
+
+
+def _parse(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, zones: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(microseconds, usable) of values of at most `width` bytes."""
+    n = len(starts)
+    block = np.zeros((n, width), np.uint8)
+    columns = np.arange(width)
     inside = columns[None, :] < sizes[:, None]
-    block[inside] = data[(offsets[:-1, None] + columns[None, :])[inside]]
-    masks = np.ascontiguousarray(_LUT[block]).view(f"S{WIDTH}").ravel()
+    block[inside] = data[(starts[:, None] + columns[None, :])[inside]]
+    masks = np.ascontiguousarray(_LUT[block]).view(f"S{width}").ravel()
     kinds, inverse = np.unique(masks, return_inverse=True)
-    zone_names = np.array(zones.to_pylist(), object)
     out, good = np.zeros(n, np.int64), np.zeros(n, bool)
     order = np.argsort(inverse, kind="stable")
     bounds = np.searchsorted(inverse[order], np.arange(len(kinds) + 1))
@@ -259,21 +300,26 @@ def parse_batch(values: pa.Array, zones: pa.Array) -> pa.Array:
         if parser is None:
             continue
         rows = order[bounds[k] : bounds[k + 1]]
-        out[rows], good[rows] = _convert(block[rows], zone_names[rows], parser)
-    return pa.array(out, pa.int64(), mask=~good)
+        out[rows], good[rows] = _convert(block[rows], zones[rows], parser)
+    return out, good
 
 
-def to_utc_us(value: Column | str, zone: Column | str) -> Column:
+def to_utc_us(value: Column | str, zone: Column | str, release: str | None = None) -> Column:
     """Column of UTC microseconds for timestamps as delivered.
 
     `zone` is the IANA zone that values without a zone of their own are clock times of. Null, empty,
-    unknown or impossible values, values longer than 64 bytes, and zone-less values whose zone is
-    null or unknown give NULL. Parts that aren't written are zero; digits beyond microseconds are cut.
+    unknown or impossible values and zone-less values whose zone is null or unknown give NULL, however
+    long they are. Parts that aren't written are zero; digits beyond microseconds are cut. Workers must have the
+    given release of the tz database, else the driver's.
     """
     from pyspark.sql.functions import arrow_udf
 
+    release = release or tz_release()
+
     @arrow_udf("bigint")
     def convert(v: pa.Array, z: pa.Array) -> pa.Array:
+        if (own := tz_release()) != release:
+            raise RuntimeError(f"this worker has release {own} of the tz database, the driver {release}")
         return parse_batch(v, z)
 
     as_column = lambda c: F.col(c) if isinstance(c, str) else c

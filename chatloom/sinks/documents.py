@@ -99,11 +99,20 @@ def write_users(profiles: DataFrame, path: str, keep_names: bool = False) -> Non
     profiles.withColumn("display_name", name).write.mode("overwrite").json(path)
 
 
-def write_facts(found: DataFrame, category: str, path: str | Path) -> None:
-    """A category's facts, one column a field that any of them has, with a byte-order mark."""
-    keys = [r["k"] for r in found.where(F.col("category") == category).select(F.explode(F.map_keys("fact")).alias("k")).distinct().orderBy("k").limit(1_000).collect()]
-    rows = found.where(F.col("category") == category).select("chunk_idx", *[F.coalesce(F.try_element_at("fact", F.lit(k)), F.lit("")).alias(f"c{i}") for i, k in enumerate(keys)]).orderBy("chunk_idx")
-    write_csv([tuple(r) for r in rows.toLocalIterator()], ["chunk_idx", *keys], path, bom=True)
+def write_facts(found: DataFrame, category: str, path: str, most: int = 1_000) -> list[str]:
+    """A category's facts as CSV with a byte-order mark, one column a field that any of them has.
+
+    Spark writes the folder, a file a partition in the order of chunks, so no task and no driver meets
+    all facts. More than `most` different fields (data used as keys) are refused. Gives the fields.
+    """
+    rows = found.where(F.col("category") == category)
+    keys = [r["k"] for r in rows.select(F.explode(F.map_keys("fact")).alias("k")).distinct().orderBy("k").limit(most + 1).collect()]
+    if len(keys) > most:
+        raise ValueError(f"more than {most} different fields")
+    cells = rows.select("chunk_idx", *[F.coalesce(F.try_element_at("fact", F.lit(k)), F.lit("")).alias(k) for k in keys])
+    marked = cells.withColumnRenamed("chunk_idx", "\ufeffchunk_idx").repartitionByRange("\ufeffchunk_idx").sortWithinPartitions("\ufeffchunk_idx")
+    marked.write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
+    return keys
 
 
 def render(template: str, document: Mapping[str, Any]) -> str:

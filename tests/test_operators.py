@@ -84,6 +84,9 @@ def instant(value, zone="Europe/Berlin"):
         ("1704117336123", "2024-01-01T13:55:36.123000+00:00"), ("20240101T214012Z", "2024-01-01T21:40:12+00:00"), ("2024-01-05T02:56:08[Asia/Kolkata]", "2024-01-04T21:26:08+00:00"),
         ("  01.01.2024 04:51:09 ", "2024-01-01T03:51:09+00:00"), ("2024-01-01 00:03:05 EST", "2024-01-01T05:03:05+00:00"), ("2024-01-01T07:36:45.0118849Z", "2024-01-01T07:36:45.011884+00:00"),
         (None, None), ("", None), ("2025-06-", None), ("2025-13-41T09:00:00Z", None), ("0000-00-00 00:00:00", None), ("yesterday 14:05", None), ("2024-02-30 10:00", None), ("2024-01-01", None),
+        ("Tue Mar 05 2024 10:00:00 GMT+0100 (Central European Standard Time)", "2024-03-05T09:00:00+00:00"), ("Tue Mar 05 2024 10:00:00 XYZ+0100", None),
+        ("Tue, 05 Mar 2024 10:00:00 +0100 (Central European Standard Time, as the sender's own machine is set to it)", "2024-03-05T09:00:00+00:00"),
+        ("2024-03-05" + " " * 300 + "10:00:00Z", "2024-03-05T10:00:00+00:00"), ("Tue Mar 05 2024 10:00:00 UTC-0200 (" + "y" * 3000 + ")", "2024-03-05T12:00:00+00:00"), ("x" * 100_000, None),
         ("2024-01-01 25:00", None), ("9" * 500, None), ("２０２４-01-01 00:00", None), ("Apr 10, 2026 13:41 PM", None), ("2024-01-01 10:00 XYZ", None),
     ],
 )
@@ -91,6 +94,15 @@ def test_instants(value, want):
     assert instant(value) == want
 
 
+def test_another_zone_release_is_refused(spark):
+    from chatloom.functions import instants
+
+    df = spark.createDataFrame([("2024-01-01 10:00", "UTC")], "v string, z string")
+    with pytest.raises(Exception, match="release"):
+        df.select(instants.to_utc_us("v", "z", "1999a")).collect()
+    assert df.select(instants.to_utc_us("v", "z", instants.tz_release())).first()[0] == 1704103200000000
+
+
 def test_instant_needs_a_zone():
     assert instant("2024-01-01 10:00", None) is None and instant("2024-01-01 10:00", "No/Where") is None and instant("2024-01-01 10:00Z", None) is not None
 
