@@ -123,7 +123,7 @@ def crosstab(args) -> None:
     spark = local_session()
     rows, profile = _rich(spark, args)
     rich = profiles.enriched(rows, profile).persist()
-    traits = crosstabs.traits(profiles.user_profiles(rich), profiles.modal_hours(rich), REGIONS[args.region], now=args.reference_time).persist()
+    traits = crosstabs.traits(profiles.user_profiles(rich), REGIONS[args.region], now=args.reference_time).persist()
     out = Path(args.out)
     out.mkdir(parents=True, exist_ok=True)
     cells = crosstabs.all_pivots(traits).collect()

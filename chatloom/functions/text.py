@@ -77,25 +77,31 @@ def _class(profile: LanguageProfile) -> str:
     return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in profile.ranges) + "]"
 
 
-def target_ratio(text: Column, profile: LanguageProfile) -> Column:
-    """the share of the text that looks like the profile's language; 0 for text without any."""
+def latin_tokens(text: Column) -> Column:
+    """The lower-case Latin words that stop words are looked for in."""
+    return F.regexp_extract_all(F.lower(text), F.lit("([a-zà-ÿ]+)"), F.lit(1))
+
+
+def target_ratio(text: Column, profile: LanguageProfile, tokens: Column | None = None) -> Column:
+    """the share of the text that looks like the profile's language; 0 for text without any.
+    `tokens` are the text's latin_tokens, best a column of their own where several profiles are asked."""
     if profile.ranges:
         size = F.length(F.regexp_replace(text, f"[{SPACES}]", ""))
         return F.coalesce(F.try_divide(F.regexp_count(text, F.lit(_class(profile))).cast("double"), size), F.lit(0.0))
-    tokens = F.regexp_extract_all(F.lower(text), F.lit("([a-zà-ÿ]+)"), F.lit(1))
+    tokens = latin_tokens(text) if tokens is None else tokens
     words = F.array(*[F.lit(w) for w in sorted(profile.stopwords)])
     hits = F.size(F.filter(tokens, lambda t: F.array_contains(words, t)))
     return F.coalesce(F.try_divide(hits.cast("double"), F.size(tokens)), F.lit(0.0))
 
 
-def language_class(text: Column, profile: LanguageProfile | None) -> Column:
+def language_class(text: Column, profile: LanguageProfile | None, tokens: Column | None = None) -> Column:
     """F8: target, mixed, other or unknown. Null counts as empty, which is unknown. Without a profile
     all text is target."""
     text = F.coalesce(text, F.lit(""))
     stripped = strip(text)
     if profile is None:
         return F.when(stripped == "", "unknown").otherwise("target")
-    ratio = target_ratio(text, profile)
+    ratio = target_ratio(text, profile, tokens)
     out = F.when(stripped == "", "unknown").when(ratio >= 0.7, "target").when(ratio >= profile.threshold, "mixed")
     if profile.ranges:
         out = out.when((F.regexp_count(stripped, F.lit(_class(profile))) >= 3) & (F.length(stripped) >= 20), "mixed")

@@ -33,16 +33,15 @@ def friction_level(labels: Column) -> Column:
     return F.when(F.size(labels) == 0, "none").when(F.size(labels) <= 2, "low_1_2").otherwise("high_3plus")
 
 
-def traits(profiles: DataFrame, hours: DataFrame, region: RegionProfile = REGIONS["global"], members: Mapping[str, Mapping[str, frozenset[str]]] = BUCKETS, deep: frozenset[str] = DEEP_FEATURES, now: str | None = None) -> DataFrame:
-    """Profiles with the axes of all pivots; `hours` holds each author's modal hour."""
+def traits(profiles: DataFrame, region: RegionProfile = REGIONS["global"], members: Mapping[str, Mapping[str, frozenset[str]]] = BUCKETS, deep: frozenset[str] = DEEP_FEATURES, now: str | None = None) -> DataFrame:
+    """Profiles with the axes of all pivots."""
     at = F.lit(now).cast("timestamp") if now else profiles.agg(F.max("last_seen")).scalar()
     clusters = dict(members.get("providers", {}))
     if region.providers:
         clusters["regional_api"] = region.providers
     found = {c: nonzero(F.col("mentions"), c) for c in ("providers", "messaging", "features", "install", "friction", "competitors", "acquisition")}
     overlap = F.arrays_overlap(found["features"], F.array(*[F.lit(d) for d in sorted(deep)])) if deep else F.lit(False)
-    joined = profiles.join(hours.select("author_id", "hour"), "author_id", "left")
-    return joined.select(
+    return profiles.select(
         "author_id", "language_primary",
         buckets(found["providers"], clusters).alias("provider_clusters"), buckets(found["messaging"], members.get("messaging", {})).alias("messaging_buckets"),
         buckets(found["install"], members.get("install", {})).alias("install_buckets"), buckets(found["acquisition"], members.get("acquisition", {})).alias("acquisition_buckets"),
@@ -87,10 +86,17 @@ PIVOTS = {
 
 
 def all_pivots(rows: DataFrame) -> DataFrame:
-    """All shipped pivots of the target-language and bilingual cohort: `pivot`, `row_label`, `col_label`, `n`."""
+    """All shipped pivots of the target-language and bilingual cohort: `pivot`, `row_label`, `col_label`, `n`.
+
+    One pass: each user is spread into the cells of all pivots and counted once.
+    """
     cohort = rows.where(F.col("language_primary").isin("target_primary", "bilingual"))
-    out = None
+    def cell(name: str, column: str):
+        return lambda label: F.struct(F.lit(name).alias("pivot"), label.alias("row_label"), F.col(column).alias("col_label"))
+
+    cells = []
     for name, (row, column) in PIVOTS.items():
-        part = pivot(cohort, row, column).select(F.lit(name).alias("pivot"), "row_label", "col_label", "n")
-        out = part if out is None else out.unionByName(part)
-    return out
+        many = rows.schema[row].dataType.typeName() == "array"
+        labels = F.when(F.size(row) > 0, F.col(row)).otherwise(F.array(F.lit(NONE))) if many else F.array(F.col(row))
+        cells.append(F.transform(labels, cell(name, column)))
+    return cohort.select(F.explode_outer(F.concat(*cells)).alias("x")).groupBy("x.pivot", "x.row_label", "x.col_label").agg(F.count(F.lit(1)).alias("n"))

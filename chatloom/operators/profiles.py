@@ -58,6 +58,14 @@ def language_distribution(messages: DataFrame, profile: LanguageProfile | None)
     return messages.groupBy(T.language_class(F.col("content"), profile).alias("lang_class")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def language_distributions(messages: DataFrame, profiles: Sequence[LanguageProfile]) -> DataFrame:
+    """A2 for several languages in one pass: `profile`, `lang_class`, `n`."""
+    prepared = messages.select(F.coalesce("content", F.lit("")).alias("_c")).withColumn("_t", T.latin_tokens(F.col("_c")))
+    classes = F.array(*[F.struct(F.lit(p.code).alias("profile"), T.language_class(F.col("_c"), p, F.col("_t")).alias("lang_class")) for p in profiles])
+    # A column of its own: within a generator Spark would compute repeated parts again each.
+    return prepared.select(classes.alias("_a")).select(F.explode_outer("_a").alias("x")).groupBy("x.profile", "x.lang_class").agg(F.count(F.lit(1)).alias("n"))
+
+
 def channel_counts(messages: DataFrame, profile: LanguageProfile | None) -> DataFrame:
     """A1: messages per channel, and those in the target language."""
     lang = T.language_class(F.col("content"), profile)
@@ -137,25 +145,45 @@ def question_summary(rich: DataFrame) -> DataFrame:
 
 
 def user_profiles(rich: DataFrame) -> DataFrame:
-    """One row per author (a null id counts as the empty one).
+    """One row per author (a null id counts as the empty one).
 
     `display_name` is that of the author's first row. `mentions` maps category:label to messages,
-    `hours` maps the UTC hour to messages.
+    `hours` maps the UTC hour to messages, `hour` is the modal one (of ties the one seen first, null without any time).
+
+    One scan: each message is spread into what is counted of it (its hour, channel, name, labels). The
+    first aggregate counts per author and such key, in buffers of fixed width and before the shuffle,
+    so an author with a third of all rows is a few rows a task; the second puts an author's keys together.
     """
-    rows = rich.withColumn("author_id", F.coalesce("author_id", F.lit("")))
-    base = rows.groupBy("author_id").agg(
-        F.min_by(F.coalesce("author_name", F.lit("")), "ord").alias("display_name"), F.min("ts").alias("first_seen"), F.max("ts").alias("last_seen"),
-        F.count(F.lit(1)).alias("message_count"), F.count_if(F.col("lang_class") == "target").alias("target_lang_count"),
-        F.count_if(F.col("lang_class") == "mixed").alias("mixed_count"), F.count_if(F.col("lang_class") == "other").alias("other_lang_count"),
-        F.sort_array(F.collect_set("channel")).alias("channels"), F.sum(F.size("urls")).alias("urls_posted"),
-        F.count_if("names_impersonator").alias("impersonator_messages"), F.count_if("is_question").alias("questions_asked"), F.count_if(F.coalesce("reply_to_message_id", F.lit("")) != "").alias("replies_given"),
+    named = F.coalesce("mentions", F.array().cast("array<struct<category:string,pos:int,label:string>>"))
+    entry = lambda kind, key: F.struct(F.lit(kind).alias("kind"), key.cast("string").alias("key"))
+    own = F.array(entry("hour", F.coalesce(F.hour("ts"), F.lit(-1))), entry("channel", F.col("channel")), entry("name", F.coalesce("author_name", F.lit(""))))
+    counted = F.concat(own, F.transform(named, lambda m: entry("label", F.concat_ws(":", m["category"], m["label"]))))
+    # The outer form: for the inner one Spark puts a size filter below, which would find the labels twice.
+    spread = rich.select(
+        F.coalesce("author_id", F.lit("")).alias("author_id"), "ord", "ts", "lang_class", "is_question", "names_impersonator",
+        F.size("urls").alias("_urls"), (F.coalesce("reply_to_message_id", F.lit("")) != "").alias("_reply"), F.explode_outer(counted).alias("_e"),
+    )
+    once = F.col("_e.kind") == "hour"  # of each message one entry
+    keyed = spread.groupBy("author_id", F.col("_e.kind").alias("kind"), F.col("_e.key").alias("key")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("ord").alias("first"), F.min(F.when(once, F.col("ts"))).alias("lo"), F.max(F.when(once, F.col("ts"))).alias("hi"),
+        F.sum(F.when(once, F.col("_urls"))).alias("u"), *[F.count_if(once & c).alias(k) for k, c in (
+            ("t", F.col("lang_class") == "target"), ("x", F.col("lang_class") == "mixed"), ("o", F.col("lang_class") == "other"),
+            ("i", F.col("names_impersonator")), ("q", F.col("is_question")), ("r", F.col("_reply")))],
+    )
+    of = lambda kind, value: F.when((F.col("kind") == kind) & F.col("key").isNotNull(), value)
+    timed = lambda value: F.when((F.col("kind") == "hour") & (F.col("key") != "-1"), value)
+    hour = F.col("key").cast("int")
+    people = keyed.groupBy("author_id").agg(
+        F.min_by(of("name", F.col("key")), of("name", F.col("first"))).alias("display_name"), F.min("lo").alias("first_seen"), F.max("hi").alias("last_seen"),
+        F.sum(of("hour", F.col("n"))).alias("message_count"), F.sum("t").alias("target_lang_count"), F.sum("x").alias("mixed_count"), F.sum("o").alias("other_lang_count"),
+        F.sort_array(F.collect_list(of("channel", F.col("key")))).alias("channels"), F.sum("u").alias("urls_posted"),
+        F.sum("i").alias("impersonator_messages"), F.sum("q").alias("questions_asked"), F.sum("r").alias("replies_given"),
+        F.map_from_entries(F.sort_array(F.collect_list(timed(F.struct(hour.alias("h"), "n"))))).alias("hours"),  # 24 entries at most
+        F.map_from_entries(F.sort_array(F.collect_list(of("label", F.struct("key", "n"))))).alias("mentions"),  # an entry a label
+        F.max_by(timed(hour), timed(F.struct("n", -F.col("first")))).alias("hour"),
     )
-    hours = rows.where(F.col("ts").isNotNull()).groupBy("author_id", F.hour("ts").alias("h")).agg(F.count(F.lit(1)).alias("n"))
-    hours = hours.groupBy("author_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("h", "n")))).alias("hours"))  # 24 entries at most
-    named = mention_rows(rows).groupBy("author_id", F.concat_ws(":", "category", "label").alias("k")).agg(F.count(F.lit(1)).alias("n"))
-    named = named.groupBy("author_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("k", "n")))).alias("mentions"))  # an entry a label
-    joined = base.join(hours, "author_id", "left").join(named, "author_id", "left")
-    return joined.withColumn("language_primary", T.language_primary(F.col("target_lang_count"), F.col("mixed_count"), F.col("other_lang_count")))
+    people = people.withColumns({m: F.when(F.size(m) > 0, F.col(m)) for m in ("hours", "mentions")})
+    return people.withColumn("language_primary", T.language_primary(F.col("target_lang_count"), F.col("mixed_count"), F.col("other_lang_count")))
 
 
 def user_cohorts(profiles: DataFrame) -> DataFrame:
@@ -184,10 +212,10 @@ def modal_hours(rich: DataFrame) -> DataFrame:
     return counts.groupBy("author_id").agg(F.max_by("h", F.struct("n", -F.col("first"))).alias("hour"))
 
 
-def location_proxy(rich: DataFrame, profiles: DataFrame, region: RegionProfile = REGIONS["global"]) -> DataFrame:
+def location_proxy(profiles: DataFrame, region: RegionProfile = REGIONS["global"]) -> DataFrame:
     """A10: target-language and bilingual authors per evening bucket of their modal hour."""
-    cohort = profiles.where(F.col("language_primary").isin("target_primary", "bilingual")).select("author_id")
-    return modal_hours(rich).join(cohort, "author_id").groupBy(T.hour_bucket(F.col("hour"), region)).agg(F.count(F.lit(1)).alias("n_users"))
+    cohort = profiles.where(F.col("language_primary").isin("target_primary", "bilingual") & F.col("hour").isNotNull())
+    return cohort.groupBy(T.hour_bucket(F.col("hour"), region)).agg(F.count(F.lit(1)).alias("n_users"))
 
 
 def reply_graph(messages: DataFrame) -> DataFrame:

@@ -38,21 +38,20 @@ def sketch(df: DataFrame, key: str, share: float) -> DataFrame:
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        counts: dict = {}
-        seen = 0
+        held, seen = None, 0
         for batch in batches:
             column = batch.column(0)
             seen += len(column)
-            for pair in pc.value_counts(pc.drop_null(column)):
-                k = pair["values"].as_py()
-                counts[k] = counts.get(k, 0) + pair["counts"].as_py()
-            if len(counts) > slots:  # take the (slots + 1)-th largest count from all
-                floor = int(np.partition(np.fromiter(counts.values(), np.int64), -slots - 1)[-slots - 1])
-                counts = {k: c - floor for k, c in counts.items() if c > floor}
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(counts), batch_type), pa.array(list(counts.values()), pa.int64()), pa.array([seen] + [0] * (len(counts) - 1) if counts else [], pa.int64())],
-            names=["k", "c", "n"],
-        )
+            fresh = pc.value_counts(pc.drop_null(column))
+            fresh = pa.table({"k": fresh.field("values"), "c": fresh.field("counts")})
+            held = fresh if held is None else pa.concat_tables([held, fresh]).group_by("k").aggregate([("c", "sum")]).rename_columns(["k", "c"])
+            if len(held) > slots:  # take the (slots + 1)-th largest count from all
+                counts = held.column("c").to_numpy()
+                rest = counts - np.partition(counts, -slots - 1)[-slots - 1]
+                held = pa.table({"k": held.column("k").filter(pa.array(rest > 0)), "c": rest[rest > 0]})
+        if held is None or not len(held):
+            return
+        yield pa.RecordBatch.from_arrays([held.column("k").combine_chunks().cast(batch_type), pa.array(held.column("c").to_numpy(), pa.int64()), pa.array([seen] + [0] * (len(held) - 1), pa.int64())], names=["k", "c", "n"])
 
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -100,18 +99,20 @@ def aggregate_by_key(
 
     `partial` are aliased aggregates over rows, `final` aliased aggregates over their results (for
     example sum of counts, min of minima); `key` and all partial names are visible to `final`.
-    Keys with at least `share` of the rows are found by `heavy_hitters`, broadcast, and aggregated
-    in two steps through `salts` sub-keys, so no task meets all rows of one; the rest takes one
-    ordinary shuffle. Both branches are united. Null keys form one group of their own, salted as a
-    heavy one (left out with empty_key=False). Other columns of `df`, whatever their names, are
-    ignored unless the aggregates use them. An empty table gives no row.
+    A sketch names at most 2 / share keys that surely hold all with `share` of the rows; they are
+    broadcast, and their rows, and those of the null key, are tagged with one of `salts` sub-keys. One
+    aggregate by key and sub-key then serves heavy and other keys alike, of which the latter have a
+    single sub-key and meet an ordinary shuffle; the second aggregate unites the sub-keys. So the table is scanned once by
+    the sketch and once by the aggregate, and no task meets all rows of a heavy key.
+
+    Null keys form one group (left out with empty_key=False). Other columns of `df`, whatever
+    their names, are ignored unless the aggregates use them. An empty table gives no row.
     """
     salt, mark = _fresh(df, "salt_" + uuid.uuid4().hex[:6]), _fresh(df, "heavy_" + uuid.uuid4().hex[:6])
-    heavy = heavy_hitters(df, key, share).select(F.col(key).alias(mark))
-    tagged = df.join(F.broadcast(heavy), F.col(key) == F.col(mark), "left")
-    hot = tagged.where(F.col(mark).isNotNull() | F.col(key).isNull()) if empty_key else tagged.where(F.col(mark).isNotNull())
-    cold = tagged.where(F.col(mark).isNull() & F.col(key).isNotNull())
-    salted = hot.withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(salts)))
-    hot_parts = salted.groupBy(key, salt).agg(*partial).drop(salt)
-    cold_parts = cold.groupBy(key).agg(*partial)
-    return hot_parts.groupBy(key).agg(*final).unionByName(cold_parts.groupBy(key).agg(*final))
+    heavy = sketch(df, key, share).select(F.col(key).alias(mark))
+    tagged = df.join(F.broadcast(heavy), F.col(key) == F.col(mark), "left")  # 2 / share rows
+    if not empty_key:
+        tagged = tagged.where(F.col(key).isNotNull())
+    spread = F.when(F.col(mark).isNotNull() | F.col(key).isNull(), F.pmod(F.monotonically_increasing_id(), F.lit(salts))).otherwise(0)
+    parts = tagged.withColumn(salt, spread.cast("int")).groupBy(key, salt).agg(*partial).drop(salt)
+    return parts.groupBy(key).agg(*final)

@@ -41,7 +41,7 @@ def statistics(rich: DataFrame, people: DataFrame, domains: Domains = DOMAINS, r
         _long(channels, "channel_message_counts", "channel", "n"), _long(channels, "channel_target_message_counts", "channel", "t"),
         _long(rich.groupBy("lang_class").agg(F.count(F.lit(1)).alias("n")), "language_distribution", "lang_class", "n"),
         _long(cohorts, "users", "language_primary", "n_users"), _wide(people.agg(F.count(F.lit(1)).alias("total")), "users"),
-        _wide(P.retention_cohorts(people, now), "retention"), _long(P.location_proxy(rich, people, region), "location_proxy", "bucket", "n_users"),
+        _wide(P.retention_cohorts(people, now), "retention"), _long(P.location_proxy(people, region), "location_proxy", "bucket", "n_users"),
         mentions.select(section.alias("category"), F.col("label").alias("key"), F.col("n").cast("double").alias("value")),
         _long(P.url_categories(rich, domains), "url_categories", "category", "n"), _long(P.top_domains(rich, domains), "top_domains", "host", "n"),
         P.domain_hits(rich, domains).select(F.concat(F.col("kind"), F.lit("_domains")).alias("category"), F.col("domain").alias("key"), F.col("n").cast("double").alias("value")),

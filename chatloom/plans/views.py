@@ -15,7 +15,7 @@ from chatloom.functions import ids
 from chatloom.functions import text as T
 from chatloom.functions.lexicon import DOMAINS, KEYWORDS, LANGUAGES, QUESTION_EN, QUESTIONS, REGIONS, Domains, LanguageProfile
 from chatloom.operators import ai, crosstabs, engagement, incremental, profiles, retrieval, statistics
-from chatloom.session import table
+from chatloom.session import spread, table
 
 ZH, DE = LANGUAGES["zh"], LANGUAGES["de"]
 REGION = REGIONS["global"]
@@ -60,8 +60,13 @@ def canonical(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def spread_canonical(spark: SparkSession, d: str) -> DataFrame:
+    """The same, dealt out for work that is heavy on each row."""
+    return spread(canonical(spark, d))
+
+
 def rich(spark: SparkSession, d: str, profile: LanguageProfile | None = ZH) -> DataFrame:
-    return profiles.enriched(canonical(spark, d), profile, KEYWORDS, SITES)
+    return profiles.enriched(spread_canonical(spark, d), profile, KEYWORDS, SITES)
 
 
 # --- pieces of SQL ------------------------------------------------------------------------------
@@ -154,11 +159,7 @@ _RETENTION = f"CASE WHEN last_seen >= TIMESTAMPTZ '{NOW}+00' - INTERVAL 30 DAY T
 @query(f"WITH {M} " + " UNION ALL ".join(f"SELECT '{c}' AS profile, {_class_sql('content', LANGUAGES[c])} AS lang_class, count(*) AS n FROM m GROUP BY 2" for c in ("de", "fr", "es", "pt", "zh", "ru")))
 def language_distribution(spark: SparkSession, d: str) -> DataFrame:
     """F5 to F8, A2 for six target languages."""
-    out = None
-    for code in ("de", "fr", "es", "pt", "zh", "ru"):
-        part = profiles.language_distribution(canonical(spark, d), LANGUAGES[code]).select(F.lit(code).alias("profile"), "lang_class", "n")
-        out = part if out is None else out.unionByName(part)
-    return out
+    return profiles.language_distributions(spread_canonical(spark, d), [LANGUAGES[c] for c in ("de", "fr", "es", "pt", "zh", "ru")])
 
 
 @query(f"SELECT coalesce(lang, '') AS label, {_class_sql('text', DE)} AS lang_class, count(*) AS n FROM documents GROUP BY 1, 2")
@@ -171,7 +172,7 @@ def language_confusion(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {R} SELECT channel, count(*) AS n, count(*) FILTER (WHERE lang_class IN ('target', 'mixed')) AS n_target FROM r GROUP BY 1")
 def channel_counts(spark: SparkSession, d: str) -> DataFrame:
     """A1."""
-    return profiles.channel_counts(canonical(spark, d), ZH)
+    return profiles.channel_counts(spread_canonical(spark, d), ZH)
 
 
 @query(f"WITH {M} SELECT channel, count(*) AS n FROM m WHERE channel IN ('jam-room-1', 'help-desk-3') AND ts >= TIMESTAMPTZ '2024-03-01 00:00:00+00' AND ts <= TIMESTAMPTZ '2025-03-01 00:00:00+00' GROUP BY 1")
@@ -208,6 +209,34 @@ def url_categories(spark: SparkSession, d: str) -> DataFrame:
     return profiles.url_categories(rich(spark, d), SITES)
 
 
+#: A URL of every category, and the texts that hold them: parts name one or two each.
+_SAMPLES = ("https://huggingface.co/x", "http://www.modelscope.cn/y", "https://api.deepseek.com/v1", "https://open.feishu.cn/bot", "https://rust-lang.com/fake", "https://doc.rust-lang.org/std", "https://somewhere.example/z")
+_NTH = lambda k: F.element_at(F.array(*[F.lit(u) for u in _SAMPLES]), (k % len(_SAMPLES) + 1).cast("int"))
+
+
+def _part_texts(spark: SparkSession, d: str) -> DataFrame:
+    parts = table(spark, d, "part")
+    text = F.concat(F.lit("see "), _NTH(F.col("p_partkey")), F.lit(" and ("), _NTH(F.col("p_size")), F.lit(")"))
+    return profiles.enriched(parts.select(F.col("p_partkey").alias("ord"), F.col("p_brand").alias("author_id"), text.alias("content")), None, {}, DOMAINS)
+
+
+_NTH_SQL = lambda k: f"list_extract([{', '.join(map(_quoted, _SAMPLES))}], CAST({k} % {len(_SAMPLES)} + 1 AS BIGINT))"
+_PARTS = f"""pt AS (SELECT p_partkey AS ord, 'see ' || {_NTH_SQL('p_partkey')} || ' and (' || {_NTH_SQL('p_size')} || ')' AS content FROM part),
+pu AS (SELECT ord, url, {_HOST} AS host, {_category_sql('url', DOMAINS)} AS category FROM (SELECT ord, unnest(regexp_extract_all(content, '(?i)https?://[^\\s)>\\],''"]+')) AS url FROM pt))"""
+
+
+@query(f"WITH {_PARTS} SELECT category, count(*) AS n FROM pu GROUP BY 1")
+def url_categories_every(spark: SparkSession, d: str) -> DataFrame:
+    """F12, F13, A5 over texts with URLs of every category."""
+    return profiles.url_categories(_part_texts(spark, d), DOMAINS)
+
+
+@query(f"WITH {_PARTS} SELECT kind, domain, count(*) AS n FROM (SELECT category AS kind, host AS domain FROM pu WHERE category IN ('impersonator', 'official') UNION ALL " + " UNION ALL ".join(f"SELECT 'impersonator', {_quoted(p)} FROM pt WHERE contains(lower(content), {_quoted(p)})" for p in DOMAINS.impersonator) + ") GROUP BY 1, 2")
+def url_domain_hits_every(spark: SparkSession, d: str) -> DataFrame:
+    """A6, F14 over the same texts."""
+    return profiles.domain_hits(_part_texts(spark, d), DOMAINS)
+
+
 def _pages(spark: SparkSession, d: str) -> DataFrame:
     pages = table(spark, d, "pages")
     as_messages = pages.select(F.col("page_id").alias("ord"), F.lit("").alias("author_id"), F.concat(F.col("url"), F.lit(" ("), F.col("url"), F.lit(")")).alias("content"))
@@ -218,26 +247,40 @@ _PAGES = f"""pu AS (SELECT page_id AS ord, url, {_HOST} AS host, {_category_sql(
   (SELECT page_id, unnest(regexp_extract_all(url || ' (' || url || ')', '(?i)https?://[^\\s)>\\],''"]+')) AS url FROM pages))"""
 
 
-@query(f"WITH {_PAGES} SELECT host, count(*) AS n FROM pu GROUP BY 1 ORDER BY n DESC, min(ord) LIMIT 50")
+@query(f"""WITH {R}, e AS (SELECT ord, unnest(urls) AS url, unnest(range(len(urls))) AS pos FROM r), u AS (SELECT ord, pos, {_HOST} AS host FROM e)
+SELECT host, count(*) AS n FROM u GROUP BY 1 ORDER BY n DESC, min((ord, pos)) LIMIT 50""")
 def url_top_domains(spark: SparkSession, d: str) -> DataFrame:
     """O2."""
+    return profiles.top_domains(rich(spark, d), SITES)
+
+
+@query(f"WITH {_PAGES} SELECT host, count(*) AS n FROM pu GROUP BY 1 ORDER BY n DESC, min(ord) LIMIT 50")
+def page_top_domains(spark: SparkSession, d: str) -> DataFrame:
+    """O2 over wiki pages."""
     return profiles.top_domains(_pages(spark, d), SITES)
 
 
-@query(
-    f"WITH {_PAGES} SELECT kind, domain, count(*) AS n FROM (SELECT category AS kind, host AS domain FROM pu WHERE category IN ('impersonator', 'official') UNION ALL "
-    + " UNION ALL ".join(f"SELECT 'impersonator', {_quoted(p)} FROM pages WHERE contains(lower(url), {_quoted(p)})" for p in SITES.impersonator)
-    + ") GROUP BY 1, 2"
-)
+def _domain_hits_sql(with_: str, urls: str, texts: str, text: str) -> str:
+    listed = " UNION ALL ".join(f"SELECT 'impersonator', {_quoted(p)} FROM {texts} WHERE contains(lower({text}), {_quoted(p)})" for p in SITES.impersonator)
+    return f"WITH {with_} SELECT kind, domain, count(*) AS n FROM (SELECT category AS kind, host AS domain FROM {urls} WHERE category IN ('impersonator', 'official') UNION ALL {listed}) GROUP BY 1, 2"
+
+
+@query(_domain_hits_sql(U, "u", "r", "content"))
 def url_impersonator_double_count(spark: SparkSession, d: str) -> DataFrame:
     """A6, F14."""
+    return profiles.domain_hits(rich(spark, d), SITES)
+
+
+@query(_domain_hits_sql(_PAGES, "pu", "pages", "url"))
+def page_impersonator_double_count(spark: SparkSession, d: str) -> DataFrame:
+    """A6, F14 over wiki pages."""
     return profiles.domain_hits(_pages(spark, d), SITES)
 
 
 @query(f"WITH {M} SELECT code, count(*) AS n FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS code FROM m WHERE {_question_sql('content', c)}" for c in ("en", "zh", "de", "fr", "es", "pt", "ru")) + ") GROUP BY 1")
 def question_counts(spark: SparkSession, d: str) -> DataFrame:
     """F15 for all languages of the table."""
-    rows = canonical(spark, d)
+    rows = spread_canonical(spark, d)
     codes = ("en", "zh", "de", "fr", "es", "pt", "ru")
     sums = rows.agg(*[F.count_if(T.is_question(F.coalesce("content", F.lit("")), c)).alias(c) for c in codes])
     return sums.select(F.explode(F.array(*[F.struct(F.lit(c).alias("code"), F.col(c).alias("n")) for c in codes])).alias("x")).select("x.*")
@@ -268,9 +311,7 @@ o AS other_lang_count, channels, urls_posted, impersonator_messages, questions_a
 coalesce((SELECT count(DISTINCT category || ':' || label) FROM x WHERE x.author_id = p.author_id), 0) AS n_labels FROM p LEFT JOIN h USING (author_id)""")
 def user_profiles(spark: SparkSession, d: str) -> DataFrame:
     """The profile of every author."""
-    messages = rich(spark, d)
-    people = profiles.user_profiles(messages).join(profiles.modal_hours(messages).withColumnRenamed("author_id", "_a"), F.col("author_id") == F.col("_a"), "left")
-    return people.select(
+    return profiles.user_profiles(rich(spark, d)).select(
         "author_id", "display_name", F.unix_micros("first_seen").alias("first_us"), F.unix_micros("last_seen").alias("last_us"), "message_count", "target_lang_count", "mixed_count",
         "other_lang_count", F.array_join("channels", ",").alias("channels"), "urls_posted", "impersonator_messages", "questions_asked", "replies_given", "language_primary",
         F.col("hour").alias("modal_hour"), F.coalesce(F.size("mentions"), F.lit(0)).cast("bigint").alias("n_labels"),
@@ -294,8 +335,7 @@ def retention_cohorts(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {R}, {P}, {H} SELECT {_BUCKET} AS bucket, count(*) AS n_users FROM h JOIN p USING (author_id) WHERE language_primary IN ('target_primary', 'bilingual') GROUP BY 1")
 def location_proxy(spark: SparkSession, d: str) -> DataFrame:
     """A10, F17, W8."""
-    messages = rich(spark, d)
-    return profiles.location_proxy(messages, profiles.user_profiles(messages), REGION)
+    return profiles.location_proxy(profiles.user_profiles(rich(spark, d)), REGION)
 
 
 @query(f"WITH {M}, {H} SELECT CAST(h AS INTEGER) AS hour, CAST(sum(n) AS BIGINT) AS n FROM hh GROUP BY 1")
@@ -315,8 +355,7 @@ _COHORT = "tr WHERE language_primary IN ('target_primary', 'bilingual', 'other_p
 
 
 def _traits(spark: SparkSession, d: str) -> DataFrame:
-    messages = rich(spark, d)
-    return crosstabs.traits(profiles.user_profiles(messages), profiles.modal_hours(messages), REGION, GROUPS, DEEP, NOW)
+    return crosstabs.traits(profiles.user_profiles(rich(spark, d)), REGION, GROUPS, DEEP, NOW)
 
 
 def _pivot_sql(name: str, row: str, column: str) -> str:
@@ -549,10 +588,10 @@ def topic_distribution(spark: SparkSession, d: str) -> DataFrame:
     return ai.topic_distribution(ai.tagged(canonical(spark, d), _by_channel))
 
 
-@query(f"WITH {M} SELECT {_TOPIC} AS topic, ord FROM m WHERE {_TOPIC} <> 'general_discussion'")
+@query(f"WITH {M} SELECT {_TOPIC} AS topic, ord FROM m")
 def topic_by_category_ids(spark: SparkSession, d: str) -> DataFrame:
-    """K6: the messages of each topic, as rows; the sink writes them partitioned by topic."""
-    return ai.tagged(canonical(spark, d), _by_channel).where(F.col("topic") != "general_discussion").select("topic", "ord")
+    """K6: the messages of each topic, the fallback too, as rows."""
+    return ai.tagged(canonical(spark, d), _by_channel).select("topic", "ord")
 
 
 @query(f"WITH {M} SELECT 'general_discussion' AS topic, count(*) AS n, 100.0::DOUBLE AS pct FROM m")

@@ -23,6 +23,7 @@ def local_session(cores: int | str = "*", shuffle: int = 8, **conf: str) -> Spar
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", os.environ.get("CHATLOOM_SHARED", "file:///tmp/chatloom-shared"))
         .config("spark.driver.memory", os.environ.get("CHATLOOM_DRIVER_MEMORY", "8g"))
     )
     for key, value in conf.items():
@@ -37,6 +38,22 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+SPREAD_BYTES = 1 << 30  #: a table beyond this has splits enough, and is never shuffled only to be spread
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """`df`, dealt out over all cores if it is small and comes in fewer than half as many splits.
+
+    For work that is heavy on each row: a small file is often a single split and would keep one core
+    busy. Larger tables, and tables with splits enough, stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    run = df._jdf.queryExecution()
+    if int(run.optimizedPlan().stats().sizeInBytes()) > SPREAD_BYTES or 2 * run.toRdd().getNumPartitions() > cores:
+        return df
+    return df.repartition(cores)
+
+
 def ship(spark: SparkSession) -> None:
     """Make the package importable by workers that don't share the driver's path, in local mode too.
 

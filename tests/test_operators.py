@@ -270,6 +270,7 @@ def test_profiles_ties_and_nulls(spark):
     assert got["a"]["display_name"] == "First" and got["a"]["hours"] == {5: 1, 9: 1} and got["a"]["language_primary"] == "silent" and got["a"]["mentions"] is None
     assert got[""]["mentions"] == {"providers:cargo": 1} and got[""]["hours"] is None and got[""]["urls_posted"] == 1
     assert {r["author_id"]: r["hour"] for r in profiles.modal_hours(rich).collect()} == {"a": 9}
+    assert {a: r["hour"] for a, r in got.items() if r["hour"] is not None} == {"a": 9}
     assert profiles.user_profiles(rich.where("false")).count() == 0
     assert statistics.statistics(rich.where("false"), profiles.user_profiles(rich.where("false"))).where("value > 0").count() == 0
 
