@@ -19,9 +19,8 @@ from chatloom.functions.ids import clean_id, is_blank
 from chatloom.functions.instants import to_utc_us
 from chatloom.plans.lineage import Cuts
 
-#: A conversation is split over tasks from this many messages, and from a thousandth of all rows.
+#: A conversation of more messages than this is ordered by several tasks, however many rows there are in all.
 HOT_ROWS = 200_000
-BUCKETS = 256
 
 
 def message_nodes(messages: DataFrame, exports: DataFrame) -> DataFrame:
@@ -58,37 +57,40 @@ def parent_edges(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return survivors, edges
 
 
-def resolve_roots(edges: DataFrame, cuts: Cuts) -> DataFrame:
-    """(`node`, `root`, `depth`) of each reply whose chain ends at a root; orphans and cycles are left out."""
+def resolve_roots(edges: DataFrame, cuts: Cuts) -> tuple[DataFrame, list[str]]:
+    """(`node`, `root`, `depth`) of each reply whose chain ends at a root, orphans and cycles left out;
+    and the tables that it is read from."""
     finished = edges.where(F.col("end") != 0)
     active, lookup = edges.where(F.col("end") == 0), edges
+    paths: list[str] = []
     while True:
         hop = lookup.select(F.col("node").alias("n2"), F.col("ptr").alias("p2"), F.col("steps").alias("s2"), F.col("end").alias("e2"))
         jumped = active.join(hop, F.col("ptr") == F.col("n2")).select("node", F.col("p2").alias("ptr"), (F.col("steps") + F.col("s2")).alias("steps"), F.col("e2").alias("end"))
-        table, _ = cuts.cut(jumped)
+        table, path = cuts.cut(jumped)
+        paths.append(path)
         counts = {r["end"]: r["count"] for r in table.groupBy("end").count().collect()}  # at most three rows
         finished = finished.unionByName(table.where(F.col("end") != 0))
         if not counts.get(0) or not (counts.get(1) or counts.get(2)):
             break
         active, lookup = table.where(F.col("end") == 0), finished.unionByName(table.where(F.col("end") == 0))
-    return finished.where(F.col("end") == 1).select("node", F.col("ptr").alias("root"), F.col("steps").alias("depth"))
-
-
-def _numbered(df: DataFrame, group: str, order: list[str], out: str, position: str | None, hot: DataFrame | None) -> DataFrame:
-    """Row numbers within groups. Hot groups (`group`, `lo`, `width`) are numbered bucket by bucket of
-    `position`, with the counts of earlier buckets added, so no task meets a whole one."""
-    if hot is None:
-        return df.withColumn(out, F.row_number().over(Window.partitionBy(group).orderBy(*order)).cast("bigint"))
-    tagged = df.join(F.broadcast(hot.withColumnRenamed(group, "_g")), F.col(group) == F.col("_g"), "left")
-    bucket = F.coalesce(F.floor((F.col(position) - F.col("_lo")) / F.col("_width")), F.lit(0)).cast("bigint")
-    tagged = tagged.withColumn("_b", bucket).drop("_g", "_lo", "_width")
-    sizes = tagged.groupBy(group, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.partitionBy(group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = sizes.withColumn("_before", before).where("_before > 0").select(F.col(group).alias("_g"), F.col("_b").alias("_gb"), "_before")
-    offsets = F.broadcast(offsets)  # at most 1000 hot groups of BUCKETS + 1 buckets
-    within = F.row_number().over(Window.partitionBy(group, "_b").orderBy(*order)).cast("bigint")
-    joined = tagged.withColumn(out, within).join(offsets, (F.col(group) == F.col("_g")) & (F.col("_b") == F.col("_gb")), "left")
-    return joined.withColumn(out, F.col(out) + F.coalesce("_before", F.lit(0))).drop("_b", "_g", "_gb", "_before")
+    return finished.where(F.col("end") == 1).select("node", F.col("ptr").alias("root"), F.col("steps").alias("depth")), paths
+
+
+def numbered_by_ranges(df: DataFrame, group: str, order: list[str], out: str, cuts: Cuts) -> tuple[DataFrame, str]:
+    """(`df` with row numbers within its groups, the path it is read from), for groups of any size.
+
+    Rows are sorted over ranges of (group, order), whose bounds are quantiles, so that every task has
+    its share of the rows even if all belong to one group and one instant (`order` must end in something unique). A
+    row's number is its place within its range, plus the group's rows in the ranges before: one small
+    row per group and range, of which only the groups that cross a bound need more than one.
+    """
+    ranged = df.repartitionByRange(*[F.col(c) for c in (group, *order)]).sortWithinPartitions(group, *order)
+    fixed, path = cuts.cut(ranged.select("*", F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_m")))
+    pieces = fixed.groupBy(F.col(group).alias("_g"), F.col("_p").alias("_q")).agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_lo"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy("_g").orderBy("_q").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = pieces.withColumn("_b", before).select("_g", "_q", "_lo", "_b")
+    joined = fixed.join(starts, (F.col(group) == F.col("_g")) & (F.col("_p") == F.col("_q")))
+    return joined.withColumn(out, F.col("_b") + F.col("_m") - F.col("_lo") + 1).select(*df.columns, out), path
 
 
 def conversations(messages: DataFrame, exports: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -105,7 +107,7 @@ def conversations(messages: DataFrame, exports: DataFrame, hot_rows: int = HOT_R
     cuts = Cuts(spark, "conversations")
     survivors, edges = parent_edges(message_nodes(messages, exports).drop("author", "at", "bad"))
     edges, _ = cuts.cut(edges)
-    roots = resolve_roots(edges, cuts)
+    roots, rounds_at = resolve_roots(edges, cuts)
     parents = edges.where(F.col("end") != 2).select(F.col("node").alias("_c"), F.col("ptr").alias("parent_row"))
     rows = message_nodes(messages, exports).select("node", F.col("reply").isNotNull().alias("replies"), "author", "at", "bad")
     counted = rows.join(survivors.select(F.col("node").alias("_s")), F.col("node") == F.col("_s"), "left_semi")
@@ -113,28 +115,25 @@ def conversations(messages: DataFrame, exports: DataFrame, hot_rows: int = HOT_R
     root = F.when(F.col("replies"), F.col("root")).otherwise(F.col("node"))
     placed = linked.select("node", root.alias("root"), F.coalesce("depth", F.lit(0)).alias("depth"), "author", "at", "bad").where(F.col("root").isNotNull())
     placed, _ = cuts.cut(placed)
-    stats = placed.groupBy("root").agg(
-        F.count(F.lit(1)).alias("n"), F.min("author").alias("a1"), F.max("author").alias("a2"), F.max(F.col("bad").cast("int")).alias("b"),
-        F.min("at").alias("lo"), F.max("at").alias("hi"),
-    )
-    sound, _ = cuts.cut(stats.where((F.col("b") == 0) & (F.col("a1") != F.col("a2"))).select("root", "n", "lo", "hi"))
-    total = sound.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("t"), F.coalesce(F.max("n"), F.lit(0)).alias("m")).first()
-    limit = max(hot_rows, total["t"] // 1000)
-    hot = by_turn = None
-    if total["m"] > limit:
-        big = sound.where(F.col("n") > limit)  # fewer than 1000 rows, as each has a thousandth of all
-        hot = big.select("root", F.col("lo").alias("_lo"), ((F.col("hi") - F.col("lo")) / BUCKETS + 1).alias("_width"))
-        by_turn = big.select("root", F.lit(1).alias("_lo"), (F.col("n") / BUCKETS + 1).alias("_width"))
-    kept = placed.drop("bad").join(sound.select(F.col("root").alias("_r")), F.col("root") == F.col("_r"), "left_semi")
-    turns = _numbered(kept, "root", ["at", "node"], "turn", "at", hot)
-    if hot is None:
-        opened = turns.withColumn("_first", F.min("turn").over(Window.partitionBy("root", "author")))
-        spoken = opened.withColumn("speaker", F.dense_rank().over(Window.partitionBy("root").orderBy("_first")).cast("bigint"))
-    else:
-        turns, _ = cuts.cut(turns)
-        firsts = turns.groupBy("root", "author").agg(F.min("turn").alias("_first"))
-        firsts = _numbered(firsts, "root", ["_first"], "speaker", "_first", by_turn).select(F.col("root").alias("_r"), F.col("author").alias("_a"), "speaker")
-        spoken = turns.join(firsts, (F.col("root") == F.col("_r")) & (F.col("author") == F.col("_a")))
+    cuts.drop(*rounds_at)
+    stats = placed.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.min("author").alias("a1"), F.max("author").alias("a2"), F.max(F.col("bad").cast("int")).alias("b"))
+    sound, _ = cuts.cut(stats.where((F.col("b") == 0) & (F.col("a1") != F.col("a2"))).select(F.col("root").alias("_r"), (F.col("n") > hot_rows).alias("_hot")))
+    some_hot = bool(sound.agg(F.max("_hot")).first()[0])
+    # Cold conversations: one window each. Their rows and the hot ones' take different ways and are united.
+    cold = sound.where("not _hot") if some_hot else sound
+    kept = placed.drop("bad").join(cold.select("_r"), F.col("root") == F.col("_r"), "left_semi")
+    turns = kept.withColumn("turn", F.row_number().over(Window.partitionBy("root").orderBy("at", "node")).cast("bigint"))
+    opened = turns.withColumn("_first", F.min("turn").over(Window.partitionBy("root", "author")))
+    spoken = opened.withColumn("speaker", F.dense_rank().over(Window.partitionBy("root").orderBy("_first")).cast("bigint")).drop("_first")
+    if some_hot:
+        hot = placed.drop("bad").join(sound.where("_hot").select("_r"), F.col("root") == F.col("_r"), "left_semi")
+        ordered, _ = numbered_by_ranges(hot, "root", ["at", "node"], "turn", cuts)
+        ordered, _ = cuts.cut(ordered)
+        firsts = ordered.groupBy("root", "author").agg(F.min("turn").alias("_first"))
+        voices, _ = numbered_by_ranges(firsts, "root", ["_first"], "speaker", cuts)
+        voices = voices.select(F.col("root").alias("_r"), F.col("author").alias("_a"), "speaker")
+        heard = ordered.join(voices, (F.col("root") == F.col("_r")) & (F.col("author") == F.col("_a")))
+        spoken = spoken.unionByName(heard.select(*spoken.columns))
     return spoken.join(parents, F.col("node") == F.col("_c"), "left").select(
         F.col("root").alias("conv_row"), "turn", F.col("node").alias("msg_row"), "speaker", "parent_row", "depth"
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from chatloom.llm import conversations, language, leakage, mixture, pii, subjects
 from chatloom.plans.quality import INSTANTS
-from chatloom.session import table
+from chatloom.session import spread, table
 
 
 def p1_found(spark: SparkSession, directory: str) -> DataFrame:
@@ -72,14 +72,17 @@ def p8_clean(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def _sized(spark: SparkSession, directory: str) -> DataFrame:
-    documents = table(spark, directory, "documents").select("doc_id", "source", "text")
-    return documents.select("doc_id", "source", mixture.count_tokens(F.col("text")).alias("n_tokens"))
+    documents = spread(table(spark, directory, "documents").select("doc_id", "source", "text"))
+    return documents.select("doc_id", "source", mixture.count_tokens(spark, F.col("text")).alias("n_tokens"))
+
+
+def _sized_in_bytes(spark: SparkSession, directory: str) -> DataFrame:
+    return table(spark, directory, "documents").select("doc_id", "source", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_tokens"))
 
 
 def p9_found(spark: SparkSession, directory: str) -> DataFrame:
     """Sources that can't reach their share even with all repeats."""
-    planned = mixture.plan(mixture.source_sizes(_sized(spark, directory)), table(spark, directory, "mix_targets"))
-    return planned.where(~F.col("reachable")).select("source")
+    return mixture.unreachable(_sized(spark, directory), table(spark, directory, "mix_targets"))
 
 
 def p9_mixture(spark: SparkSession, directory: str) -> DataFrame:
@@ -87,12 +90,24 @@ def p9_mixture(spark: SparkSession, directory: str) -> DataFrame:
     return mixture.mix(_sized(spark, directory), table(spark, directory, "mix_targets"))
 
 
+def p9_mixture_bytes(spark: SparkSession, directory: str) -> DataFrame:
+    """The mixture with sizes in bytes, which SQL can count."""
+    return mixture.mix(_sized_in_bytes(spark, directory), table(spark, directory, "mix_targets"))
+
+
 def p9_shares(spark: SparkSession, directory: str) -> DataFrame:
     """Target and actual share of each source in the mixture."""
     targets = table(spark, directory, "mix_targets")
     return mixture.reached(mixture.mix(_sized(spark, directory), targets), targets)
 
 
+def p9_shares_bytes(spark: SparkSession, directory: str) -> DataFrame:
+    """The same with sizes in bytes."""
+    targets = table(spark, directory, "mix_targets")
+    shares = mixture.reached(mixture.mix(_sized_in_bytes(spark, directory), targets), targets)
+    return shares.select("source", "n_rows", "n_tokens", F.round("actual_share", 6).alias("actual_share"))
+
+
 def _subject_model(spark: SparkSession, directory: str) -> subjects.Model:
     named = table(spark, directory, "subjects").select("subject").where(F.col("subject").isNotNull()).distinct().orderBy("subject")
     names = [r["subject"] for r in named.limit(1_000).collect()]  # a fixed list of a few areas
@@ -121,7 +136,7 @@ def p10_composition(spark: SparkSession, directory: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": p1_found, "p1_messages": p1_messages, "p2_found": p2_found, "p2_spans": p2_spans, "p3_found": p3_found, "p3_redacted": p3_redacted,
-    "p8_found": p8_found, "p8_clean": p8_clean, "p9_found": p9_found, "p9_mixture": p9_mixture, "p9_shares": p9_shares,
+    "p8_found": p8_found, "p8_clean": p8_clean, "p9_found": p9_found, "p9_mixture": p9_mixture, "p9_mixture_bytes": p9_mixture_bytes, "p9_shares": p9_shares, "p9_shares_bytes": p9_shares_bytes,
     "p10_found": p10_found, "p10_areas": p10_areas, "p10_composition": p10_composition,
 }
 _WORDS = """iw AS (SELECT item_id, list_transform(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+'), lambda w: w) AS w FROM benchmark),
@@ -141,7 +156,23 @@ turns AS (SELECT root, msg_row, author, row_number() OVER (PARTITION BY root ORD
 f AS (SELECT *, min(turn) OVER (PARTITION BY root, author) AS first_turn FROM turns)
 SELECT root AS conv_row, turn, msg_row, dense_rank() OVER (PARTITION BY root ORDER BY first_turn) AS speaker FROM f"""
 
+# The draw in SQL: each source's mean by bisection (80 halvings), its distribution, and how many of the
+# cumulative probabilities lie below the document's number between 0 and 1.
+_DRAWN = """WITH RECURSIVE s AS (SELECT source, sum(strlen(coalesce(text, ''))) AS own FROM documents GROUP BY source),
+t AS (SELECT m.source, target_share, max_repeats AS cap, coalesce(own, 0) AS own, target_share * (SELECT sum(own) FROM s) AS wanted FROM mix_targets m LEFT JOIN s USING (source)),
+p AS (SELECT *, CASE WHEN own > 0 THEN least(wanted / own, cap) ELSE 0.0 END AS rate FROM t),
+b(source, cap, rate, low, high, n) AS (SELECT source, cap, rate, 0.0::DOUBLE, 1024.0::DOUBLE, 0 FROM p WHERE rate < cap AND rate > 0
+  UNION ALL SELECT source, cap, rate, CASE WHEN mean < rate THEN (low + high) / 2 ELSE low END, CASE WHEN mean < rate THEN high ELSE (low + high) / 2 END, n + 1
+  FROM (SELECT *, list_sum(list_transform(range(cap), lambda k: 1 - list_sum(list_transform(range(k + 1), lambda i: exp(-(low + high) / 2 + i * ln((low + high) / 2) - lgamma(i + 1)))))) AS mean FROM b WHERE n < 90)),
+l AS (SELECT source, (low + high) / 2 AS lam, cap FROM b WHERE n = 90),
+c AS (SELECT source, list_transform(range(cap), lambda k: list_sum(list_transform(range(k + 1), lambda i: exp(-lam + i * ln(lam) - lgamma(i + 1))))) AS cdf FROM l),
+u AS (SELECT doc_id, source, strlen(coalesce(text, '')) AS n_tokens, (CAST('0x' || substr(sha256(doc_id || ':42'), 1, 13) AS BIGINT) + 0.5) / 4503599627370496 AS u FROM documents),
+d AS (SELECT doc_id, source, n_tokens, CASE WHEN p.rate >= p.cap THEN p.cap WHEN p.rate > 0 THEN len(list_filter(cdf, lambda x: x < u)) ELSE 0 END AS n FROM u JOIN p USING (source) LEFT JOIN c USING (source))"""
+
 ORACLE = {
+    "p9_mixture_bytes": f"{_DRAWN} SELECT doc_id, source, n_tokens, unnest(range(n)) AS copy_no FROM d",
+    "p9_shares_bytes": f"""{_DRAWN}, g AS (SELECT source, count(*) FILTER (WHERE n > 0) AS x, sum(n) AS n_rows, sum(n * n_tokens) AS n_tokens FROM d GROUP BY source)
+SELECT t.source, CAST(coalesce(n_rows, 0) AS BIGINT) AS n_rows, CAST(coalesce(n_tokens, 0) AS BIGINT) AS n_tokens, round(coalesce(n_tokens, 0) / (SELECT sum(n_tokens) FROM g), 6) AS actual_share FROM t LEFT JOIN g USING (source)""",
     "p1_found": _CONVERSATIONS,
     "p8_found": f"WITH {_WORDS} SELECT doc_id, item_id FROM hits",
     "p8_clean": f"WITH {_WORDS} SELECT doc_id, source, n_chars FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM hits)",

@@ -2,6 +2,7 @@
 
 import collections
 import random
+import time
 
 import numpy as np
 import pytest
@@ -76,6 +77,19 @@ def test_conversations(spark, hot):
     assert not any(g[2] in (2000, 2003) for g in got)
 
 
+def test_conversation_of_one_instant(spark):
+    """100 000 messages of one conversation and one instant are ordered by several tasks."""
+    n = 100_000
+    rows = spark.range(n).select(
+        F.col("id").alias("msg_row"), F.lit("e").alias("export_key"), F.concat(F.lit("m"), "id").alias("message_id"), F.concat(F.lit("a"), F.col("id") % 1000).alias("author_id"),
+        F.lit("2026-01-01T00:00:00Z").alias("ts"), F.lit("x").alias("content"), F.when(F.col("id") > 0, "m0").alias("reply_to_message_id"),
+    )
+    exports = spark.createDataFrame([("e", "UTC")], "export_key string, tz_name string")
+    got = conversations.conversations(rows, exports, hot_rows=1000)
+    bad = got.where((F.col("turn") != F.col("msg_row") + 1) | (F.col("speaker") != F.col("msg_row") % 1000 + 1))
+    assert got.count() == n and bad.count() == 0
+
+
 def test_conversations_empty(spark):
     messages, exports = frames(spark, [])
     assert conversations.conversations(messages, exports).count() == 0
@@ -228,11 +242,25 @@ def test_mixture(spark):
     total = sized.agg(F.sum("n_tokens")).first()[0]
     assert abs(shares["big"]["n_tokens"] / total - 0.3) < 0.01 and abs(shares["mid"]["n_tokens"] / total - 0.5) < 0.01 and shares["absent"]["n_rows"] == 0
     assert {r["source"] for r in mixture.plan(mixture.source_sizes(sized), targets).where("not reachable").collect()} == {"small"}
+    assert {r["source"] for r in mixture.unreachable(sized, targets).collect()} == {"small"}
+    assert {r["source"] for r in mixture.unreachable(sized.where("source <> 'mid'"), targets).collect()} >= {"mid"}
     assert sorted(map(tuple, mixed.select("doc_id", "copy_no").collect())) == sorted(map(tuple, mixture.mix(sized.repartition(5), targets).select("doc_id", "copy_no").collect()))
     assert mixture.mix(sized.where("false"), targets).count() == 0
 
 
-@pytest.mark.parametrize(("rate", "cap"), [(0.2, 1), (0.9, 1), (1.7, 2), (2.5, 4)])
+def test_large_caps_cost_no_more(spark):
+    sized = spark.range(20_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 100, "few").otherwise("many").alias("source"), F.lit(1).cast("long").alias("n_tokens"))
+    took = {}
+    for cap in (5, 500):
+        targets = spark.createDataFrame([("few", 0.4, cap), ("many", 0.6, cap)], "source string, target_share double, max_repeats long")
+        began = time.time()
+        rows = {r["source"]: r["n_tokens"] for r in mixture.mix(sized, targets).groupBy("source").agg(F.sum("n_tokens").alias("n_tokens")).collect()}
+        took[cap] = time.time() - began
+        assert rows["few"] == (500 if cap == 5 else rows["few"]) and abs(rows["many"] - 12_000) < 400
+    assert abs(rows["few"] - 8_000) < 400 and took[500] < 3 * took[5] + 2
+
+
+@pytest.mark.parametrize(("rate", "cap"), [(0.2, 1), (0.9, 1), (1.7, 2), (2.5, 4), (80.0, 500), (0.0, 3)])
 def test_capped_mean(rate, cap):
     lam = mixture.capped_mean(rate, cap)
     draws = np.minimum(np.random.default_rng(7).poisson(lam, 200_000), cap)
@@ -241,7 +269,7 @@ def test_capped_mean(rate, cap):
 
 def test_token_counts(spark):
     df = spark.createDataFrame([(1, "hello world\nagain"), (2, None), (3, ""), (4, "ü" * 5000)], "doc_id long, text string")
-    got = {r["doc_id"]: r["n"] for r in df.select("doc_id", mixture.count_tokens(F.col("text")).alias("n")).collect()}
+    got = {r["doc_id"]: r["n"] for r in df.select("doc_id", mixture.count_tokens(spark, F.col("text")).alias("n")).collect()}
     assert got[1] >= 4 and got[2] == 0 and got[3] == 0 and got[4] > 100
 
 
