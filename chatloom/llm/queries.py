@@ -71,6 +71,12 @@ def p8_clean(spark: SparkSession, directory: str) -> DataFrame:
     return leakage.cleaned(table(spark, directory, "documents"), table(spark, directory, "benchmark")).select("doc_id", "source", "n_chars")
 
 
+def p8_pruned(spark: SparkSession, directory: str) -> DataFrame:
+    """Words that documents lose when leaking passages are cut out of them, and words that stay."""
+    clean = leakage.pruned(table(spark, directory, "documents"), table(spark, directory, "benchmark"))
+    return clean.where("n_removed > 0").select("doc_id", "n_removed", F.regexp_count("text", F.lit(r"[\p{L}\p{N}]+")).cast("bigint").alias("n_left"))
+
+
 def _sized(spark: SparkSession, directory: str) -> DataFrame:
     documents = spread(table(spark, directory, "documents").select("doc_id", "source", "text"))
     return documents.select("doc_id", "source", mixture.count_tokens(spark, F.col("text")).alias("n_tokens"))
@@ -136,7 +142,7 @@ def p10_composition(spark: SparkSession, directory: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": p1_found, "p1_messages": p1_messages, "p2_found": p2_found, "p2_spans": p2_spans, "p3_found": p3_found, "p3_redacted": p3_redacted,
-    "p8_found": p8_found, "p8_clean": p8_clean, "p9_found": p9_found, "p9_mixture": p9_mixture, "p9_mixture_bytes": p9_mixture_bytes, "p9_shares": p9_shares, "p9_shares_bytes": p9_shares_bytes,
+    "p8_found": p8_found, "p8_clean": p8_clean, "p8_pruned": p8_pruned, "p9_found": p9_found, "p9_mixture": p9_mixture, "p9_mixture_bytes": p9_mixture_bytes, "p9_shares": p9_shares, "p9_shares_bytes": p9_shares_bytes,
     "p10_found": p10_found, "p10_areas": p10_areas, "p10_composition": p10_composition,
 }
 _WORDS = """iw AS (SELECT item_id, list_transform(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+'), lambda w: w) AS w FROM benchmark),
@@ -176,6 +182,9 @@ SELECT t.source, CAST(coalesce(n_rows, 0) AS BIGINT) AS n_rows, CAST(coalesce(n_
     "p1_found": _CONVERSATIONS,
     "p8_found": f"WITH {_WORDS} SELECT doc_id, item_id FROM hits",
     "p8_clean": f"WITH {_WORDS} SELECT doc_id, source, n_chars FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM hits)",
+    "p8_pruned": f"""WITH {_WORDS}, placed AS (SELECT doc_id, k, array_to_string(w[k : k + 11], ' ') AS g FROM dw, unnest(range(1, len(w) - 10)) AS r(k)),
+gone AS (SELECT DISTINCT doc_id, k + o AS place FROM placed SEMI JOIN ig USING (g), unnest(range(12)) AS r(o))
+SELECT doc_id, count(*) AS n_removed, any_value(len(w)) - count(*) AS n_left FROM gone JOIN dw USING (doc_id) GROUP BY doc_id""",
     # The choice of tokenizer doesn't change this list; SQL takes the bytes of the text as its size.
     "p9_found": """WITH s AS (SELECT source, sum(strlen(text)) AS own FROM documents GROUP BY source)
 SELECT t.source FROM mix_targets t LEFT JOIN s USING (source) WHERE coalesce(own, 0) * max_repeats < target_share * (SELECT sum(own) FROM s)""",

@@ -224,6 +224,15 @@ def test_leakage_brute_force(spark, block):
     assert {r["doc_id"] for r in leakage.cleaned(corpus, spark.createDataFrame(items, "item_id long, text string"), n=4).collect()} == {d for d, _ in docs} - {d for d, _ in want}
 
 
+@pytest.mark.parametrize("block", [10, 10**6])
+def test_passages_are_cut_out(spark, block):
+    item = "one two three four five six"
+    docs = [(1, "Before, ONE two, three; four five six - after"), (2, item), (3, "one two three four x five six one two three four"), (4, "é\u0301 ü one two three four"), (5, None), (6, "nothing")]
+    df = spark.createDataFrame([(*d, "kept") for d in docs], "doc_id long, text string, runs string")
+    got = {r["doc_id"]: (r["text"], r["n_removed"], r["runs"]) for r in leakage.pruned(df, spark.createDataFrame([(7, item), (8, "two three four five")], "item_id long, text string"), n=4, block_words=block).collect()}
+    assert got == {1: ("Before, - after", 6, "kept"), 2: ("", 6, "kept"), 3: ("x five six", 8, "kept"), 4: ("é\u0301 ü", 4, "kept"), 5: (None, 0, "kept"), 6: ("nothing", 0, "kept")}
+
+
 def test_leakage_empty(spark):
     docs, items = spark.createDataFrame([(1, "a b")], "doc_id long, text string"), spark.createDataFrame([], "item_id long, text string")
     assert leakage.leaked(docs, items).count() == 0 and leakage.leaked(docs.where("false"), spark.createDataFrame([(1, "a b c")], "item_id long, text string"), n=2).count() == 0
