@@ -114,28 +114,28 @@ def p9_shares_bytes(spark: SparkSession, directory: str) -> DataFrame:
     return shares.select("source", "n_rows", "n_tokens", F.round("actual_share", 6).alias("actual_share"))
 
 
-def _subject_model(spark: SparkSession, directory: str) -> subjects.Model:
+def _subjects(spark: SparkSession, directory: str) -> subjects.Trained:
     named = table(spark, directory, "subjects").select("subject").where(F.col("subject").isNotNull()).distinct().orderBy("subject")
-    names = [r["subject"] for r in named.limit(1_000).collect()]  # a fixed list of a few areas
-    return subjects.train(table(spark, directory, "documents"), table(spark, directory, "subject_labels"), names)
+    names = [r["subject"] for r in named.limit(1_001).collect()]
+    if len(names) > 1_000:
+        raise ValueError("more than 1000 subjects: the model has a column for each")
+    return subjects.train(spread(table(spark, directory, "documents").select("doc_id", "text")), table(spark, directory, "subject_labels"), names)
 
 
 def p10_found(spark: SparkSession, directory: str) -> DataFrame:
     """Documents with the subjects to which at least two of their sentences are devoted."""
-    return subjects.areas(table(spark, directory, "documents"), _subject_model(spark, directory)).select("doc_id", "subject")
+    return _subjects(spark, directory).areas().select("doc_id", "subject")
 
 
 def p10_areas(spark: SparkSession, directory: str) -> DataFrame:
     """The same with sentence counts and calibrated posteriors."""
-    documents = table(spark, directory, "documents")
-    model = subjects.calibrate(_subject_model(spark, directory), documents, table(spark, directory, "subject_labels"))
-    return subjects.areas(documents, model)
+    return _subjects(spark, directory).areas()
 
 
 def p10_composition(spark: SparkSession, directory: str) -> DataFrame:
     """Documents of each source by subject."""
     documents = table(spark, directory, "documents")
-    found = subjects.areas(documents, _subject_model(spark, directory)).withColumnRenamed("doc_id", "_doc")
+    found = _subjects(spark, directory).areas().withColumnRenamed("doc_id", "_doc")
     joined = documents.select("doc_id", "source").join(found, F.col("doc_id") == F.col("_doc"))
     return joined.groupBy("source", "subject").agg(F.count(F.lit(1)).alias("n_documents"), F.sum("n_sentences").alias("n_sentences"))
 

@@ -8,8 +8,15 @@ one; evidence below a threshold leaves a sentence without subject. The last roun
 their own sentence's subject, or with none, but only those that the earlier ones left in favour. Each language has features of its own and is compared with
 the shares of subjects within that language. The model is a table of a fixed
 number of hashed features, so every round is one pass whose tasks pre-aggregate expected counts and
-whose result is bounded. A document's subjects are those to which enough of its sentences are devoted;
-independent posteriors per subject are calibrated on the labelled documents by logistic regression.
+whose result is bounded.
+
+A document has a subject if its calibrated posterior is one half or more. The posterior is a logistic
+function of the evidence of the document's second strongest sentence on the subject (two sentences
+must be devoted to it), fitted on labelled documents for each subject by itself: subjects don't
+compete, and a sentence may speak for two.
+
+Texts are parsed once, into blocks of documents in which a sentence that recurs is kept once, with
+the documents that hold it; all rounds and the answer read these blocks.
 """
 
 from __future__ import annotations
@@ -36,7 +43,11 @@ DEAD_ZONE = 0.7  #: log odds nearer to 0 than this count as none
 SCALE = 0.5  #: words and pairs aren't independent; log odds are halved
 THRESHOLD = 1.2  #: evidence (nats) that a sentence about no subject has
 HELD = 200_000  #: a task hands on its counts of words when it holds so many
-CALIBRATION_DOCS = 20_000  #: at most so many labelled documents calibrate the posteriors
+CALIBRATION_DOCS = 20_000  #: at most so many labelled documents, chosen by a hash, calibrate the posteriors
+SETTLED = 0.01  #: rounds end when less than this share of the expected counts has moved
+BLOCK_DOCS, BLOCK_CHARS = 5_000, 4_000_000  #: a block of parsed sentences ends with either
+SLOPE = 3.0  #: slope of the logistic function before labels are seen; THRESHOLD is where it is one half
+PRIOR = 4.0  #: weight of that function, and of that of all subjects together, in labelled documents
 
 _LANGUAGES = (*LATIN, "ru", "zh", "")  #: eight, the last for text of no known language
 _ROWS = 8 << BITS
@@ -125,83 +136,93 @@ class Features:
     def __init__(self, begin: frozenset[str]):
         self.begin = begin
         self.memo: dict[str, int] = {}
-        self.votes = {_fold(w): sum(1 << (8 * j) for j in js) for w, js in _SEEDS.items()}
+        self.seen: dict[str, tuple[tuple[int, ...], int] | None] = {}  #: of one block: sentence -> (words, language)
+        self.votes = {_fold(w): tuple(js) for w, js in _SEEDS.items()}
+
+    def _sentence(self, sentence: str) -> tuple[tuple[int, ...], int] | None:
+        """(hashed words, language, -1 where only the text can tell); None without words."""
+        import xxhash
 
-    def batch(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(feature, its sentence, text of each sentence, number of each different sentence of a text)."""
-        return expanded(*self.parsed(texts))
+        memo, votes = self.memo, self.votes
+        words: list[int] = []
+        tally: list[int] | None = None
+        script = 7
+        for token in _TOKEN.findall(_CODE.sub(" ", _fold(sentence))):
+            if "一" <= token[0] <= "鿿":
+                script = 6
+                pieces = [token[k : k + 2] for k in range(len(token) - 1)] or [token]
+            else:
+                pieces = (token,)
+                if (vote := votes.get(token)) is not None:
+                    tally = tally or [0] * 5
+                    for j in vote:
+                        tally[j] += 1
+                elif "Ѐ" <= token[0] <= "ԯ" and script == 7:
+                    script = 5
+            for piece in pieces:
+                k = memo.get(piece)
+                if k is None:
+                    k = memo[piece] = xxhash.xxh32_intdigest(piece) & 0x7FFFFFFF
+                words.append(k)
+        if not words:
+            return None
+        if script < 7:
+            return tuple(words), script
+        most = max(tally) if tally else 0
+        return tuple(words), tally.index(most) if most and tally.count(most) == 1 else -1
 
     def parsed(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(hashed words, words of each sentence, its text, its language, its identity).
+        """(hashed words, words of each different sentence, its language; which sentence each occurrence
+        is, sentences of each text).
 
-        Sentences of fewer than four words (eight Han characters) and code, links and numbers within
-        sentences are left out.
+        Code, links and numbers within sentences are left out; a sentence without any word isn't one.
         """
-        import xxhash
-
-        memo, votes = self.memo, self.votes
-        if len(memo) > self.MEMO:
-            memo.clear()
+        if len(self.memo) > self.MEMO:
+            self.memo.clear()
+        seen, number = self.seen, {}
+        seen.clear()
         words: list[int] = []
         lengths: list[int] = []
-        owner: list[int] = []
-        spoken: list[int] = []
-        key: list[int] = []
-        for i, text in enumerate(texts):
-            if not text:
-                continue
-            usual, opened = [0] * 8, len(spoken)
-            for sentence in sentences(text, self.begin):
-                before, tally, script = len(words), 0, 7
-                for token in _TOKEN.findall(_CODE.sub(" ", _fold(sentence))):
-                    if "一" <= token[0] <= "鿿":
-                        script = 6
-                        pieces = [token[k : k + 2] for k in range(len(token) - 1)] or [token]
-                    else:
-                        pieces = (token,)
-                        if (vote := votes.get(token)) is not None:
-                            tally += vote
-                        elif "Ѐ" <= token[0] <= "ԯ" and script == 7:
-                            script = 5
-                    for piece in pieces:
-                        k = memo.get(piece)
-                        if k is None:
-                            k = memo[piece] = xxhash.xxh32_intdigest(piece) & 0x7FFFFFFF
-                        words.append(k)
-                if len(words) - before < (7 if script == 6 else 4):
-                    del words[before:]
-                    continue
-                key.append(hash(tuple(words[before:])))
-                lengths.append(len(words) - before)
-                owner.append(i)
-                if script < 7:
-                    spoken.append(script)
-                    usual[script] += 1
+        tongues: list[int] = []
+        held: list[int] = []
+        counts: list[int] = []
+        for text in texts:
+            mine: list[tuple[tuple[int, ...], int]] = []
+            usual = [0] * 8
+            for sentence in sentences(text, self.begin) if text else ():
+                if sentence in seen:
+                    told = seen[sentence]
                 else:
-                    each = [(tally >> (8 * j)) & 255 for j in range(5)]
-                    most = max(each)
-                    j = each.index(most) if most and each.count(most) == 1 else -1
-                    spoken.append(j)
-                    usual[j] += j >= 0
+                    told = seen[sentence] = self._sentence(sentence)
+                if told is not None:
+                    mine.append(told)
+                    if told[1] >= 0:
+                        usual[told[1]] += 1
             here = usual.index(max(usual)) if any(usual) else 7
-            for k in range(opened, len(spoken)):
-                if spoken[k] < 0:
-                    spoken[k] = here
+            for ids, tongue in mine:
+                key = (ids, here if tongue < 0 else tongue)
+                k = number.get(key)
+                if k is None:
+                    k = number[key] = len(lengths)
+                    words.extend(ids)
+                    lengths.append(len(ids))
+                    tongues.append(key[1])
+                held.append(k)
+            counts.append(len(mine))
         whole = lambda x: np.array(x, np.int64)
-        return whole(words), whole(lengths), whole(owner), whole(spoken), whole(key)
+        return whole(words), whole(lengths), whole(tongues), whole(held), whole(counts)
 
 
-def expanded(ids: np.ndarray, lengths: np.ndarray, owner: np.ndarray, tongue: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Features of parsed sentences: words and pairs of neighbours, the language in the low three bits."""
+def expanded(ids: np.ndarray, lengths: np.ndarray, tongue: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(feature, its sentence): words and pairs of neighbours, the language in the low three bits."""
     of = np.repeat(np.arange(len(lengths)), lengths)
     if not len(ids):
-        return ids, of, owner, owner
+        return ids, of
     same = of[1:] == of[:-1]
     pairs = (ids[:-1] * 1_000_003 + ids[1:] * 8_191 + 12_345)[same]
     every = np.concatenate([ids ^ (ids >> 13), pairs ^ (pairs >> 17)]) & ((1 << BITS) - 1)
     of = np.concatenate([of, of[1:][same]])
-    copy = np.unique(np.stack([owner, key]), axis=1, return_inverse=True)[1].ravel()
-    return every << 3 | tongue[of], of, owner, copy
+    return every << 3 | tongue[of], of
 
 
 @dataclass
@@ -209,7 +230,7 @@ class Model:
     subjects: list[str]
     weights: np.ndarray  #: float32 (rows, subjects)
     begin: frozenset[str]
-    calibration: np.ndarray | None = None  #: (subjects, 3): intercept, slope of sentences, slope of share
+    calibration: np.ndarray | None = None  #: (subjects, 2): intercept and slope of the logistic function
     threshold: float = THRESHOLD
 
 
@@ -230,38 +251,64 @@ def complement_weights(counts: np.ndarray, classes: int) -> np.ndarray:
     return (np.sign(weights) * np.maximum(0, np.abs(weights) - DEAD_ZONE)).astype(np.float32)
 
 
-def posteriors(model: Model, feature: np.ndarray, sentence: np.ndarray, n: int) -> np.ndarray:
-    """Probabilities of the subjects, and of none in the last column, of n sentences."""
-    k = len(model.subjects)
-    logits = np.full((n, k + 1), model.threshold)
-    for c in range(k):
-        logits[:, c] = SCALE * np.bincount(sentence, weights=model.weights[feature, c], minlength=n)
+def evidence(model: Model, feature: np.ndarray, sentence: np.ndarray, n: int) -> np.ndarray:
+    """Evidence (nats) of n sentences for each subject against all others."""
+    out = np.zeros((n, len(model.subjects)))
+    for c in range(out.shape[1]):
+        out[:, c] = SCALE * np.bincount(sentence, weights=model.weights[feature, c], minlength=n)
+    return out
+
+
+def responsibilities(found: np.ndarray, threshold: float) -> np.ndarray:
+    """Shares of the subjects, and of none in the last column, in each sentence."""
+    logits = np.concatenate([found, np.full((len(found), 1), threshold)], axis=1)
     e = np.exp(logits - logits.max(axis=1, keepdims=True))
     return e / e.sum(axis=1, keepdims=True)
 
 
-def others(r: np.ndarray, owner: np.ndarray, copy: np.ndarray) -> np.ndarray:
-    """For each sentence the subjects of its document's different sentences, as counts of at most 1 in all.
+def others(r: np.ndarray, held: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """For each different sentence the subjects of the other different sentences of the documents that hold
+    it, as counts of at most 1 a document, summed over the documents.
 
     Only sentences that lean to a subject count, so that many with none don't blur the rest.
     """
-    if not len(owner):
-        return r[:, :-1]
     about = np.where(r[:, :-1] >= 0.5, r[:, :-1], 0)
-    docs, inverse = np.unique(owner, return_inverse=True)
-    mass = np.zeros((len(docs), about.shape[1]))
-    np.add.at(mass, inverse, about)
-    own = np.zeros((int(copy.max()) + 1, about.shape[1]))
-    np.add.at(own, copy, about)
-    rest = np.maximum(0, mass[inverse] - own[copy])
-    total = rest.sum(axis=1, keepdims=True)
-    return rest / (total + 1)
-
-
-def _accumulate(total: np.ndarray, feature: np.ndarray, weight: np.ndarray) -> None:
-    kinds, inverse = np.unique(feature, return_inverse=True)
+    out = np.zeros_like(about)
+    if not len(held):
+        return out
+    owner = np.repeat(np.arange(len(counts)), counts)
+    pairs = np.unique(owner * len(r) + held, return_counts=True)
+    docs, which = np.divmod(pairs[0], len(r))
+    mass = np.zeros((len(counts), about.shape[1]))
+    for c in range(about.shape[1]):
+        mass[:, c] = np.bincount(docs, weights=about[which, c], minlength=len(counts))
+    rest = np.maximum(0, mass[docs] - about[which])
+    rest *= (pairs[1] / (rest.sum(axis=1) + 1))[:, None]
+    for c in range(about.shape[1]):
+        out[:, c] = np.bincount(which, weights=rest[:, c], minlength=len(r))
+    return out
+
+
+def second_best(found: np.ndarray, held: np.ndarray, counts: np.ndarray, rank: int) -> np.ndarray:
+    """Of each document the evidence of its `rank`-th strongest sentence on each subject; -inf with fewer sentences."""
+    out = np.full((len(counts), found.shape[1]), -np.inf)
+    owner = np.repeat(np.arange(len(counts)), counts)
+    starts = np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64)
+    enough = counts >= rank
+    for c in range(found.shape[1]):
+        x = found[held, c]
+        order = np.lexsort((-x, owner))
+        out[enough, c] = x[order][starts[enough] + rank - 1]
+    return out
+
+
+def _accumulate(total: np.ndarray, feature: np.ndarray, sentence: np.ndarray, weight: np.ndarray) -> None:
+    """Adds to each feature the weights of its sentences."""
     for c in range(weight.shape[1]):
-        total[kinds, c] += np.bincount(inverse, weights=weight[:, c], minlength=len(kinds))
+        here = weight[:, c] > 0
+        if here.any():
+            at = here[sentence]
+            total[:, c] += np.bincount(feature[at], weights=weight[sentence[at], c], minlength=len(total))
 
 
 def _collect(df: DataFrame, classes: int) -> np.ndarray:
@@ -285,16 +332,74 @@ def _parts(total: np.ndarray):
         yield pa.RecordBatch.from_arrays(columns, names=["f"] + [f"c{c}" for c in range(total.shape[1])])
 
 
-def _labelled(documents: DataFrame, labels: DataFrame, doc: str, text: str) -> DataFrame:
-    sets = labels.where(F.col("subject").isNotNull()).groupBy(F.col("doc_id").alias("_l")).agg(F.array_sort(F.collect_set("subject")).alias("subjects"))
-    return documents.select(F.col(doc).alias("d"), F.col(text).alias("t")).join(sets, F.col("d") == F.col("_l")).select("d", "t", "subjects")
+_PARSED = "d array<bigint>, m array<int>, h array<int>, w array<int>, n array<int>, l array<tinyint>"
+
+
+def parsed(documents: DataFrame, begin: frozenset[str], doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """Blocks of parsed documents: `d` ids, `m` sentences of each, `h` which sentence of the block each is; of
+    the block's different sentences `w` words, `n` numbers of words, `l` languages."""
 
+    def run(batches):
+        import pyarrow as pa
+
+        features = Features(begin)
 
-def train(documents: DataFrame, labels: DataFrame, subjects: list[str], doc: str = "doc_id", text: str = "text", rounds: int = ROUNDS, own_rounds: int = OWN_ROUNDS, threshold: float = THRESHOLD) -> Model:
-    """The model from labels (a few of them wrong) and all documents.
+        def block(ids, texts):
+            words, lengths, tongues, held, counts = features.parsed(texts)
+            columns = ((np.array(ids, np.int64), np.int64), (counts, np.int32), (held, np.int32), (words, np.int32), (lengths, np.int32), (tongues, np.int8))
+            return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x.astype(kind))) for x, kind in columns], names=list("dmhwnl"))
+
+        ids, texts, size = [], [], 0
+        for batch in batches:
+            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if i is None or not t:
+                    continue
+                ids.append(i)
+                texts.append(t)
+                size += len(t)
+                if size > BLOCK_CHARS or len(ids) == BLOCK_DOCS:
+                    yield block(ids, texts)
+                    ids, texts, size = [], [], 0
+        if ids:
+            yield block(ids, texts)
+
+    return documents.select(F.col(doc).cast("bigint").alias("d"), F.col(text).alias("t")).mapInArrow(run, _PARSED)
+
+
+def _blocks(batches):
+    """(ids, sentences of each, occurrences, feature, its sentence, number of sentences) of each block."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            d, m, h, w, n, l = (batch.column(k)[row].values.to_numpy(zero_copy_only=False).astype(np.int64) for k in range(6))
+            feature, sentence = expanded(w, n, l)
+            yield d, m, h, feature, sentence, len(n)
+
+
+def _label_sets(labels: DataFrame, place: dict[str, int]) -> DataFrame:
+    """(`d`, `s` numbers of its subjects) of each labelled document; unknown subjects are left out."""
+    known = labels.where(F.col("subject").isin(list(place)) & F.col("doc_id").isNotNull())
+    number = F.coalesce(*[F.when(F.col("subject") == name, k) for name, k in place.items()], F.lit(-1)) if place else F.lit(-1)
+    return known.groupBy(F.col("doc_id").cast("bigint").alias("d")).agg(F.array_sort(F.collect_set(number)).alias("s"))
+
+
+class Trained:
+    """A model with the parsed documents that it was trained on."""
+
+    def __init__(self, model: Model, blocks: DataFrame):
+        self.model, self.blocks = model, blocks
+
+    def areas(self, doc: str = "doc_id") -> DataFrame:
+        return areas_of(self.blocks, self.model, doc)
+
+
+def train(
+    documents: DataFrame, labels: DataFrame, subjects: list[str], doc: str = "doc_id", text: str = "text", rounds: int = ROUNDS, own_rounds: int = OWN_ROUNDS, threshold: float = THRESHOLD, held_out: DataFrame | None = None
+) -> Trained:
+    """The calibrated model from labels (a few of them wrong) and all documents.
 
     Labels of documents that aren't there and of subjects that aren't listed are ignored. Without
-    labels no sentence gets a subject.
+    labels no sentence gets a subject. Null and empty texts are left out; ids that repeat are
+    documents of their own. `held_out` may take the place of `labels` in the calibration.
     """
     spark = documents.sparkSession
     context = spark.sparkContext
@@ -302,54 +407,43 @@ def train(documents: DataFrame, labels: DataFrame, subjects: list[str], doc: str
     place = {s: k for k, s in enumerate(subjects)}
     begin = starters(documents, text)
     schema = "f int, " + ", ".join(f"c{k} double" for k in range(classes))
+    cuts = Cuts(spark, "subjects")
+    blocks, _ = cuts.cut(parsed(documents, begin, doc, text))
+    sets = _label_sets(labels, place)
+    told_texts = documents.select(F.col(doc).cast("bigint").alias("_d"), F.col(text).alias("_t")).join(sets, F.col("_d") == F.col("d")).select("_d", "_t", "s")
 
     def from_labels(batches):
         features, sums = Features(begin), np.zeros((_ROWS, classes))
         for batch in batches:
-            named = batch.column(2).to_pylist()
-            feature, sentence, owner, _ = features.batch(batch.column(1).to_pylist())
+            words, lengths, tongues, held, counts = features.parsed(batch.column(1).to_pylist())
+            feature, sentence = expanded(words, lengths, tongues)
             weight = np.zeros((batch.num_rows, classes))
-            for i, some in enumerate(named):
-                known = [place[s] for s in some if s in place]
+            for i, known in enumerate(batch.column(2).to_pylist()):
                 weight[i, known] = 1 / max(1, len(known)) ** 2  # a document of several subjects says less of each
-            _accumulate(sums, feature, weight[owner][sentence])
+            each = np.zeros((len(lengths), classes))
+            np.add.at(each, held, np.repeat(weight, counts, axis=0))
+            _accumulate(sums, feature, sentence, each)
         yield from _parts(sums)
 
-    told = _collect(_labelled(documents, labels, doc, text).mapInArrow(from_labels, schema), classes)
+    told = _collect(told_texts.mapInArrow(from_labels, schema), classes)
     model = Model(subjects, complement_weights(told, classes), begin, threshold=threshold)
-    # The sentences are parsed once; every round reads their word hashes, about as large as the text.
-    parsed = "w array<int>, n array<int>, l array<tinyint>, k array<bigint>"
-
-    def parse(batches):
-        import pyarrow as pa
-
-        features = Features(begin)
-        for batch in batches:
-            words, lengths, owner, tongue, key = features.parsed(batch.column(0).to_pylist())
-            sentence_of = np.searchsorted(owner, np.arange(batch.num_rows + 1)).astype(np.int32)
-            word_of = np.concatenate([[0], np.cumsum(lengths)])[sentence_of].astype(np.int32)
-            nested = lambda at, values, kind: pa.ListArray.from_arrays(pa.array(at), pa.array(values.astype(kind)))
-            yield pa.RecordBatch.from_arrays([nested(word_of, words, np.int32), nested(sentence_of, lengths, np.int32), nested(sentence_of, tongue, np.int8), nested(sentence_of, key, np.int64)], names=["w", "n", "l", "k"])
-
-    cuts = Cuts(spark, "subjects")
-    texts, place_of_texts = cuts.cut(documents.select(F.col(text).alias("t")).where(F.col("t").isNotNull()).mapInArrow(parse, parsed))
-    for k in range(rounds + own_rounds):
+    beside = model.weights > 0
+    before = None
+    own = rounds == 0
+    left = [rounds, own_rounds]
+    while left[own]:
+        left[own] -= 1
         shared = context.broadcast(model)
-        own = k >= rounds
 
         def expect(batches, shared=shared, own=own):
             model = shared.value
             sums = np.zeros((_ROWS, classes + own))
-            for batch in batches:
-                flat = lambda k: batch.column(k).flatten().to_numpy(zero_copy_only=False).astype(np.int64)  # noqa: B023, E731
-                sentences_of = batch.column(1).value_lengths().to_numpy(zero_copy_only=False)
-                feature, sentence, owner, copy = expanded(flat(0), flat(1), np.repeat(np.arange(batch.num_rows), sentences_of), flat(2), flat(3))
-                if len(owner):
-                    r = posteriors(model, feature, sentence, len(owner))
-                    _accumulate(sums, feature, (r if own else others(r, owner, copy))[sentence])
+            for _, m, h, feature, sentence, n in _blocks(batches):
+                r = responsibilities(evidence(model, feature, sentence, n), model.threshold)
+                _accumulate(sums, feature, sentence, r * np.bincount(h, minlength=n)[:, None] if own else others(r, h, m))
             yield from _parts(sums)
 
-        counts = _collect(texts.mapInArrow(expect, schema + (f", c{classes} double" if own else "")), classes + own)
+        counts = _collect(blocks.mapInArrow(expect, schema + (f", c{classes} double" if own else "")), classes + own)
         shared.unpersist()
         if own:  # what speaks for a subject must have done so beside other sentences
             weights = np.where(beside, complement_weights(counts, classes), np.minimum(0, model.weights))
@@ -357,82 +451,93 @@ def train(documents: DataFrame, labels: DataFrame, subjects: list[str], doc: str
             weights = complement_weights(counts + LABEL_WEIGHT * told, classes)
             beside = weights > 0
         model = Model(subjects, weights, begin, threshold=threshold)
-    cuts.drop(place_of_texts)
-    return model
-
-
-def devoted(model: Model, features: Features, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """(sentences devoted to each subject, all sentences) of each text."""
-    feature, sentence, owner, _ = features.batch(texts)
-    counts = np.zeros((len(texts), len(model.subjects)))
-    if len(owner):
-        r = posteriors(model, feature, sentence, len(owner))
-        best = r.argmax(axis=1)
-        about = (best < len(model.subjects)) & (r.max(axis=1) >= 0.5)
-        np.add.at(counts, (owner[about], best[about]), 1)
-    return counts, np.bincount(owner, minlength=len(texts)) if len(owner) else np.zeros(len(texts), np.int64)
+        moved = 1.0 if before is None or before.shape != counts.shape else np.abs(counts - before).sum() / max(1e-9, counts.sum())
+        before = counts
+        if moved < SETTLED:
+            left[own] = 0
+        own = own or left[0] == 0
+    return Trained(calibrated(model, blocks, _label_sets(held_out, place) if held_out is not None else sets), blocks)
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray, weight: float) -> np.ndarray:
+    """Intercept and slope of P(y) given x by Newton steps, with a Gaussian penalty towards the prior."""
+    w, design = prior.copy(), np.stack([np.ones_like(x), x], axis=1)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
+        gradient = design.T @ (y - p) - weight * (w - prior)
+        hessian = (design * (p * (1 - p))[:, None]).T @ design + weight * np.eye(2)
+        move = np.linalg.solve(hessian, gradient)
+        w = w + move * min(1.0, 2.0 / max(1e-9, np.abs(move).max()))
+        if np.abs(move).max() < 1e-6:
+            break
+    return w
+
+
+def calibrated(model: Model, blocks: DataFrame, sets: DataFrame) -> Model:
+    """The model with a logistic function of each subject, fitted on at most CALIBRATION_DOCS labelled
+    documents in the order of a hash: first one for all subjects, then each by itself around it."""
+    chosen = sets.orderBy(F.xxhash64("d"), "d").limit(CALIBRATION_DOCS)
+    rows = scores_of(blocks, model).join(chosen.withColumnRenamed("d", "_l"), F.col("d") == F.col("_l")).select("z", "s").toArrow()
+    prior = np.array([-SLOPE * model.threshold, SLOPE])
+    fitted = np.tile(prior, (len(model.subjects), 1))
+    if rows.num_rows:
+        z = _clipped(np.array(rows.column("z").to_pylist()))
+        y = np.zeros_like(z)
+        for i, some in enumerate(rows.column("s").to_pylist()):
+            y[i, some] = 1
+        common = _logistic(z.ravel(), y.ravel(), prior, PRIOR)
+        for k in range(len(fitted)):
+            fitted[k] = _logistic(z[:, k], y[:, k], common, PRIOR)
+    return Model(model.subjects, model.weights, model.begin, fitted, model.threshold)
 
 
-def _calibration_features(counts: np.ndarray, total: np.ndarray) -> np.ndarray:
-    return np.stack([np.ones_like(counts), np.log1p(counts), counts / np.maximum(1, total)[:, None]], axis=-1)
+def _clipped(z: np.ndarray) -> np.ndarray:
+    return np.clip(z, -6.0, 12.0)
 
 
-def calibrate(model: Model, documents: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "text") -> Model:
-    """The model with a logistic calibration of each subject's posterior, from labelled documents."""
-    labelled = _labelled(documents, labels, doc, text)
-    shared = documents.sparkSession.sparkContext.broadcast(model)
-    names = model.subjects
+def scores_of(blocks: DataFrame, model: Model, least: int = SENTENCES) -> DataFrame:
+    """(`d`, `z` evidence of the `least`-th strongest sentence on each subject) of each document."""
+    shared = blocks.sparkSession.sparkContext.broadcast(model)
 
-    def measure(batches):
+    def run(batches):
         import pyarrow as pa
 
-        features = Features(shared.value.begin)
-        for batch in batches:
-            counts, total = devoted(shared.value, features, batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([pa.array(counts.tolist(), pa.list_(pa.float64())), pa.array(total.astype(np.float64)), batch.column(2)], names=["c", "n", "s"])
-
-    rows = labelled.mapInArrow(measure, "c array<double>, n double, s array<string>").limit(CALIBRATION_DOCS).collect()
-    fitted = np.tile(np.array([-3.0, 2.5, 2.0]), (len(names), 1))
-    if rows:
-        x = _calibration_features(np.array([r["c"] for r in rows]), np.array([r["n"] for r in rows]))
-        for k, name in enumerate(names):
-            y = np.array([name in r["s"] for r in rows], float)
-            w = fitted[k].copy()
-            for _ in range(25):  # Newton steps towards the prior w0 with a weak penalty
-                p = 1 / (1 + np.exp(-np.clip(x[:, k] @ w, -30, 30)))
-                gradient = x[:, k].T @ (y - p) - (w - fitted[k])
-                hessian = (x[:, k] * (p * (1 - p))[:, None]).T @ x[:, k] + np.eye(3)
-                w = w + np.linalg.solve(hessian, gradient)
-            fitted[k] = w
-    return Model(model.subjects, model.weights, model.begin, fitted, model.threshold)
+        for d, m, h, feature, sentence, n in _blocks(batches):
+            z = second_best(evidence(shared.value, feature, sentence, n), h, m, least)
+            yield pa.RecordBatch.from_arrays([pa.array(d), pa.ListArray.from_arrays(pa.array(np.arange(len(d) + 1) * z.shape[1], pa.int32()), pa.array(z.ravel()))], names=["d", "z"])
 
+    return blocks.mapInArrow(run, "d bigint, z array<double>")
 
-def areas(documents: DataFrame, model: Model, doc: str = "doc_id", text: str = "text", least: int = SENTENCES) -> DataFrame:
-    """One row per document and subject with at least `least` devoted sentences: `doc`, `subject`,
-    `n_sentences`, `n_total`, `posterior` (null for a model that isn't calibrated).
 
-    Null and empty texts have no subject. Whole texts are read; other columns are ignored.
+def areas_of(blocks: DataFrame, model: Model, doc: str = "doc_id", least: int = SENTENCES) -> DataFrame:
+    """One row per document and subject with a calibrated posterior of one half or more: `doc`, `subject`,
+    `n_sentences` (with as much evidence as the posterior needs), `n_total`, `posterior`.
+
+    Documents with fewer than `least` sentences have no subject.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+    shared = blocks.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         import pyarrow as pa
 
         model: Model = shared.value
-        features, names = Features(model.begin), np.array(model.subjects, object)
-        for batch in batches:
-            counts, total = devoted(model, features, batch.column(1).to_pylist())
-            i, k = np.nonzero(counts >= least)
-            if model.calibration is not None:
-                x = _calibration_features(counts, total)
-                p = 1 / (1 + np.exp(-np.einsum("nkf,kf->nk", x, model.calibration)))[i, k]
-                posterior = pa.array(p, pa.float64())
-            else:
-                posterior = pa.nulls(len(i), pa.float64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(i)), pa.array(names[k], pa.string()), pa.array(counts[i, k].astype(np.int64)), pa.array(total[i].astype(np.int64)), posterior],
-                names=[doc, "subject", "n_sentences", "n_total", "posterior"],
-            )
-
-    schema = f"`{doc}` bigint, subject string, n_sentences bigint, n_total bigint, posterior double"
-    return documents.select(F.col(doc).cast("bigint").alias(doc), F.col(text).alias("t")).mapInArrow(run, schema)
+        names = np.array(model.subjects, object)
+        intercept, slope = model.calibration[:, 0], model.calibration[:, 1]
+        for d, m, h, feature, sentence, n in _blocks(batches):
+            found = evidence(model, feature, sentence, n)
+            z = second_best(found, h, m, least)
+            p = 1 / (1 + np.exp(-np.clip(intercept + slope * _clipped(z), -30, 30)))
+            i, k = np.nonzero((p >= 0.5) & np.isfinite(z))
+            owner = np.repeat(np.arange(len(d)), m)
+            enough = intercept + slope * _clipped(found) >= 0
+            devoted = np.stack([np.bincount(owner, weights=enough[h, c], minlength=len(d)) for c in range(len(names))], axis=1) if len(names) else np.zeros((len(d), 0))
+            columns = [pa.array(d[i]), pa.array(names[k], pa.string()), pa.array(devoted[i, k].astype(np.int64)), pa.array(m[i]), pa.array(p[i, k])]
+            yield pa.RecordBatch.from_arrays(columns, names=[doc, "subject", "n_sentences", "n_total", "posterior"])
+
+    return blocks.mapInArrow(run, f"`{doc}` bigint, subject string, n_sentences bigint, n_total bigint, posterior double")
+
+
+def areas(documents: DataFrame, model: Model, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """The areas of any documents by a trained model. Null and empty texts have no subject. Whole texts are
+    read; other columns are ignored."""
+    return areas_of(parsed(documents, model.begin, doc, text), model, doc)
