@@ -1,6 +1,8 @@
 """Languages of documents, lines and mixed-language spans (p2).
 
-Script ranges narrow the candidates of each word (Han: zh, Cyrillic: ru, Latin: five languages). A
+Script ranges narrow the candidates of each word (Han: zh, Cyrillic: ru or another language, Latin: five
+languages; kana, Hangul and other scripts: another language, shown as "other"). Letters that Russian doesn't
+have speak against it. A
 Latin word's score is its log-probability in each language, from counts over labelled rows; an
 unknown word's comes from a character n-gram model of the same counts. Viterbi over the words of a
 line, with a fixed penalty for a switch of language, labels its spans. Labels of the training sample
@@ -21,6 +23,8 @@ from pyspark.sql import functions as F
 LANGUAGES = ("de", "en", "es", "fr", "pt", "ru", "zh")
 LATIN = LANGUAGES[:5]
 RU, ZH = 5, 6
+OTHER = 7  #: a language that isn't one of the seven
+NAMES = (*LANGUAGES, "other")
 
 SAMPLE_ROWS = 8_000  #: at most so many labelled rows of each table fit the word scores
 VOCABULARY = 50_000  #: at most so many words have scores of their own; others use the n-grams
@@ -46,6 +50,8 @@ SEEDS = {
 }
 
 _HAN = re.compile("[㐀-䶿一-鿿豈-﫿]")
+_NOT_RUSSIAN = re.compile("[іїєґўђѓјљњћќџѕәғқңөұүһӣӯҷ]")  # letters of other languages in Cyrillic
+_FOREIGN = re.compile(r"[\u0370-\u03ff\u0530-\u06ff\u0900-\u0dff\u0e00-\u0e7f\u10a0-\u10ff\u1100-\u11ff\u3040-\u30ff\uac00-\ud7af]")  # scripts of no language here
 _WORD = re.compile(r"[^\W\d_]+(?:['’\-][^\W\d_]+)*$")
 _EDGE = "\"'`’‘“”«»„‚.,;:!?¡¿()[]{}<>…-–—*•~|#"
 _TIME = re.compile(r"\[?\d{1,2}:\d{2}(?::\d{2})?\]?$")
@@ -100,7 +106,7 @@ def latin_words(line: str) -> list[str]:
 
 
 def words_of(line: str) -> list[tuple[str, int]]:
-    """(word, kind) of a line: kind 0 Latin, 1 Cyrillic, 2 a run with Han characters.
+    """(word, kind) of a line: kind 0 Latin, 1 Cyrillic, 2 a run with Han characters, 3 another script.
 
     Chunks with digits, signs or markup between their letters are code, links or logins, not words;
     a leading time and a leading chunk that ends in a colon are a sender's label.
@@ -122,6 +128,8 @@ def words_of(line: str) -> list[tuple[str, int]]:
 
 
 def _kind(chunk: str) -> tuple[str, int] | None:
+    if not chunk.isascii() and _FOREIGN.search(chunk):
+        return chunk, 3
     if _HAN.search(chunk):
         return chunk, 2
     bare = chunk.strip(_EDGE).lower()
@@ -223,13 +231,14 @@ class Labeller:
         self._clear()
 
     def _clear(self) -> None:
-        n = len(LANGUAGES)
-        far = np.full(n, -12.0, np.float32)
-        self.table = np.zeros((1024, n), np.float32)
-        self.table[0], self.table[1] = far, far
-        self.table[0, RU] = 0
+        n = len(NAMES)
+        # Rows of the table: Cyrillic words, Han text, Cyrillic words that aren't Russian, other scripts.
+        self.table = np.full((1024, n), -12.0, np.float32)
+        self.table[0, RU], self.table[0, OTHER] = 0, -1.5
         self.table[1, ZH] = 0
-        self.used = 2
+        self.table[2, RU], self.table[2, OTHER] = -CLIP, 0
+        self.table[3, OTHER] = 0
+        self.used = 4
         self.memo: dict[str, int] = {}
 
     def _token(self, chunk: str) -> int:
@@ -240,7 +249,9 @@ class Labeller:
         elif kind[1] == 2:
             return -2
         elif kind[1] == 1:
-            k = 0
+            k = 2 if _NOT_RUSSIAN.search(kind[0]) else 0
+        elif kind[1] == 3:
+            k = 3
         else:
             if self.used == len(self.table):
                 self.table = np.concatenate([self.table, np.zeros_like(self.table)])
@@ -316,16 +327,17 @@ class Labeller:
         return np.array(owner)[lines], np.array(numbers)[lines], np.arange(len(at)) - opened, labels[at].astype(np.int64), np.add.reduceat(weights, at), confidence
 
 
-_MINIMUM = np.array([MIN_WORDS] * 6 + [MIN_HAN])
+_MINIMUM = np.array([MIN_WORDS] * 6 + [MIN_HAN, MIN_WORDS])
 
 
 def training_rows(df: DataFrame, row: str, label: str, text: str, limit: int = SAMPLE_ROWS) -> list[tuple[str, str]]:
-    """At most `limit` labelled rows for fitting, chosen by a hash of the row number."""
+    """At most `limit` labelled rows for fitting, those of the lowest hashes of their numbers, with whole texts."""
     labelled = df.select(F.col(row).alias("r"), F.col(label).alias("l"), F.col(text).alias("t")).where(F.col("l").isNotNull() & F.col("t").isNotNull())
     total = df.count()
     share = min(1.0, 1.5 * limit / max(1, total))
-    chosen = labelled.where(F.pmod(F.xxhash64("r", F.lit(17)), F.lit(1 << 20)) < int(share * (1 << 20)))
-    return [(r["l"], r["t"]) for r in chosen.select("l", F.substring("t", 1, 4000).alias("t")).limit(limit).collect()]
+    place = F.pmod(F.xxhash64("r", F.lit(17)), F.lit(1 << 30))
+    chosen = labelled.withColumn("h", place).where(F.col("h") < int(share * (1 << 30)))
+    return [(r["l"], r["t"]) for r in chosen.orderBy("h", "r").limit(limit).select("l", "t").collect()]
 
 
 def fit_tables(tables: list[tuple[DataFrame, str, str, str]]) -> Model:
@@ -340,7 +352,7 @@ def _rows(df: DataFrame, name: str, row: str, label: str, text: str) -> DataFram
 def spans(df: DataFrame, name: str, row: str, label: str, text: str, model: Model) -> DataFrame:
     """Every span of every line: `tbl`, `row_no`, `line_no`, `span_no`, `lang`, `n_units`, `confidence`.
 
-    `n_units` counts words, for zh Han characters. Null and empty texts, and lines without words,
+    `n_units` counts words, for zh Han characters; `lang` is "other" for a language beyond the seven. Null and empty texts, and lines without words,
     have no spans. Columns beyond the three named ones are ignored.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)
@@ -351,7 +363,7 @@ def spans(df: DataFrame, name: str, row: str, label: str, text: str, model: Mode
         labeller = Labeller(shared.value)
         for batch in batches:
             i, line, span, lang, size, sure = labeller.spans(batch.column(3).to_pylist())
-            names = np.array(LANGUAGES, object)[lang]
+            names = np.array(NAMES, object)[lang]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(i)), batch.column(1).take(pa.array(i)), pa.array(line), pa.array(span), pa.array(names, pa.string()), pa.array(size), pa.array(sure)],
                 names=["tbl", "row_no", "line_no", "span_no", "lang", "n_units", "confidence"],
@@ -365,7 +377,8 @@ def mislabelled(df: DataFrame, name: str, row: str, label: str, text: str, model
     """Lines of the rows whose label is missing, wrong, or whose text mixes languages.
 
     Gives `tbl`, `row_no`, `line_no`, `lang` for each line and each language of which the line has a
-    span of at least five words (zh: eight characters). Rows without such a span give no row.
+    span of at least five words (zh: eight characters). Rows without such a span give no row; spans of a
+    language beyond the seven are left out.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)
 
@@ -375,7 +388,7 @@ def mislabelled(df: DataFrame, name: str, row: str, label: str, text: str, model
         labeller = Labeller(shared.value)
         for batch in batches:
             i, line, _, lang, size, _ = labeller.spans(batch.column(3).to_pylist())
-            keep = size >= _MINIMUM[lang]
+            keep = (size >= _MINIMUM[lang]) & (lang != OTHER)
             i, line, lang = i[keep], line[keep], lang[keep]
             n = batch.num_rows
             present = np.zeros((n, len(LANGUAGES)), bool)

@@ -90,6 +90,7 @@ _PHONE_SHAPES = re.compile(
     r"\+\d{1,3}[ .\-]?(?:\(?\d{1,5}\)?[ .\-]?){1,6}\d+"  # with a country code
     r"|00[1-9]\d{0,2}[ .\-](?:\(?\d{1,5}\)?[ .\-]?){1,6}\d+"
     r"|(?:1[ .\-])?(?:\(\d{3}\) ?|\d{3}[.\-])\d{3}[ .\-]\d{4}|1[ .]\d{3}[ .]\d{3}[ .]\d{4}|\d{3} \d{3} \d{4}|1?[2-9]\d{9}"  # North America
+    r"|\d{3}[.\-]\d{4}"  # a local number
     r"|0\d{4} \d{6}|0\d{3} \d{3} \d{4}|0\d{4} \d{3} \d{3}|07\d{9}"  # United Kingdom
     r"|0[1-9](?:[ .\-]?\d{2}){4}"  # France
     r"|[6789]\d{2}(?:[ .\-]?\d{3}){2}|[6789]\d{2}(?:[ .\-]\d{2}){3}"  # Spain
@@ -105,7 +106,7 @@ _PHONE_WORDS = re.compile(
 )
 _ID_WORDS = re.compile(
     r"\bID\b|\bid\b|identity|identit|passport|passeport|pasaporte|passaporte|паспорт\w*|\w*ausweis\w*|documento|\bdni\b|\bnie\b|\bcpf\b|\bssn\b|social security|national insurance"
-    r"|\bnino\b|sécurité sociale|formulaire|carte|证件|身份证|护照|licence number|driver|steuer|tax",
+    r"|\bnino\b|sécurité sociale|formulaire|carte|\bcard\b|tarjeta|\bcart[ãa]o\b|kreditkarte|bankkarte|карт[аеоуы]\w*|信用卡|银行卡|证件|身份证|护照|licence number|driver|steuer|tax",
     re.I,
 )
 # Words that make the number after them no phone or identity number.
@@ -134,6 +135,7 @@ _IDS = (
     (re.compile(rf"{_A}(?:\d{{4}}|\d{{2}} \d{{2}}) \d{{6}}{_Z}"), None, 0),
     (re.compile(rf"{_A}[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{3,7}}(?: ?[A-Z0-9]{{1,3}})?{_Z}"), mod97_iban, 0),
     (re.compile(rf"{_A}\d{{4}}(?:[ \-]?\d{{4}}){{3}}{_Z}"), luhn, -1),
+    (re.compile(rf"{_A}[A-Z]{{1,2}}\d{{6,8}}{_Z}"), None, 0),
 )
 
 
@@ -152,7 +154,7 @@ _FLAT = r"(?:Flat|Apartment|Apt\.?|Unit|Suite|Room|Floor)"
 _DE_PREFIX = r"(?:(?:Am|An der|An den|Auf dem|Auf der|Im|In der|In den|Zum|Zur|Unter den|Unter der|Vor dem|Hinter dem|Bei der|Beim|Hinter der|Alter?|Alte[rs]?|Neue[rs]?|Große|Kleine|Obere|Untere) )"
 _ADDRESSES = (
     # flat and number before the street, or the number after it; then the town or a postcode
-    re.compile(rf"\b(?:{_FLAT} ?\d+\w?,? )?\d{{1,5}}[A-Za-z]?,? {_EN_NAME}(?:,? {_FLAT} ?#?\d+\w?)?(?:, {_TOWN}(?:,? (?:[A-Z]{{2}} )?\d{{5}})?)"),
+    re.compile(rf"\b(?:{_FLAT} ?\d+\w?,? )?\d{{1,5}}[A-Za-z]?,? {_EN_NAME}(?:,? {_FLAT} ?#?\d+\w?)?(?:(?:, | in ){_TOWN}(?:,? (?:[A-Z]{{2}} )?\d{{5}})?)?"),
     re.compile(rf"\b(?:{_FLAT} ?\d+\w?,? )?{_EN_NAME} \d{{1,5}}[A-Za-z]?(?:,? {_FLAT} ?#?\d+\w?)?(?:,? {_TOWN}(?: \d{{5}})?)"),
     # German: street, number, postcode, town
     re.compile(rf"(?:\b{_DE_PREFIX})?\b(?:{_CAP} ){{0,2}}?{_CAP} \d{{1,4}} ?[a-z]?\b(?:,| in|,? in) (?:D-)?\d{{5}} {_TOWN}"),
@@ -166,7 +168,7 @@ _ADDRESSES = (
     # Chinese: city, street, number, unit, room
     re.compile(r"(?:[一-鿿]{2,8}?省)?(?:(?:(?<![一-鿿])|(?<=[到在是于址往至：]))[一-鿿]{2,7}?市)(?:[一-鿿]{1,6}?[区县])?[一-鿿]{1,12}?(?:路|街|巷|道|大道|胡同|弄)\d{1,5}号(?:\d+(?:号楼|栋|幢|座))?(?:\d+单元)?(?:\d+室)?"),
 )
-_ADDRESS_HINT = re.compile(r"\d[^\n]*,|,[^\n]*\d|号|\d\w? (?:in|-|–) ")
+_ADDRESS_HINT = re.compile(rf"\d[^\n]*,|,[^\n]*\d|号|\d\w? (?:in|-|–) |\d[A-Za-z]? [^\n\d]*{_EN_STREET}\b")
 
 # --- names --------------------------------------------------------------------------------------
 

@@ -25,6 +25,11 @@ def p1_messages(spark: SparkSession, directory: str) -> DataFrame:
     return turns.join(texts, F.col("msg_row") == F.col("_row")).drop("_row").withColumn("role", role)
 
 
+def _rows(spark: SparkSession, directory: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table for work that is heavy on each row."""
+    return spread(table(spark, directory, name).select(*columns))
+
+
 def _language_model(spark: SparkSession, directory: str) -> language.Model:
     messages, documents = table(spark, directory, "messages"), table(spark, directory, "documents")
     return language.fit_tables([(messages, "msg_row", "lang", "content"), (documents, "doc_id", "lang", "text")])
@@ -33,15 +38,15 @@ def _language_model(spark: SparkSession, directory: str) -> language.Model:
 def p2_found(spark: SparkSession, directory: str) -> DataFrame:
     """Lines and languages of the rows whose label is missing or wrong or whose text mixes languages."""
     model = _language_model(spark, directory)
-    found = language.mislabelled(table(spark, directory, "messages"), "messages", "msg_row", "lang", "content", model)
-    return found.unionByName(language.mislabelled(table(spark, directory, "documents"), "documents", "doc_id", "lang", "text", model))
+    found = language.mislabelled(_rows(spark, directory, "messages", "msg_row", "lang", "content"), "messages", "msg_row", "lang", "content", model)
+    return found.unionByName(language.mislabelled(_rows(spark, directory, "documents", "doc_id", "lang", "text"), "documents", "doc_id", "lang", "text", model))
 
 
 def p2_spans(spark: SparkSession, directory: str) -> DataFrame:
     """Every language span of messages and documents with its confidence."""
     model = _language_model(spark, directory)
-    found = language.spans(table(spark, directory, "messages"), "messages", "msg_row", "lang", "content", model)
-    return found.unionByName(language.spans(table(spark, directory, "documents"), "documents", "doc_id", "lang", "text", model))
+    found = language.spans(_rows(spark, directory, "messages", "msg_row", "lang", "content"), "messages", "msg_row", "lang", "content", model)
+    return found.unionByName(language.spans(_rows(spark, directory, "documents", "doc_id", "lang", "text"), "documents", "doc_id", "lang", "text", model))
 
 
 def _name_lexicon(spark: SparkSession, directory: str) -> pii.Names:
@@ -52,18 +57,18 @@ def _name_lexicon(spark: SparkSession, directory: str) -> pii.Names:
 def p3_found(spark: SparkSession, directory: str) -> DataFrame:
     """Every item of personal information in the texts and author names of messages."""
     lexicon = _name_lexicon(spark, directory)
-    return pii.items(table(spark, directory, "messages"), "msg_row", ("content", "author_name"), lexicon).drop("end_pos")
+    return pii.items(_rows(spark, directory, "messages", "msg_row", "content", "author_name"), "msg_row", ("content", "author_name"), lexicon).drop("end_pos")
 
 
 def p3_redacted(spark: SparkSession, directory: str) -> DataFrame:
     """The messages with typed placeholders in place of personal information."""
-    clean = pii.redacted(table(spark, directory, "messages"), ("content", "author_name"), _name_lexicon(spark, directory))
+    clean = pii.redacted(_rows(spark, directory, "messages", "msg_row", "content", "author_name"), ("content", "author_name"), _name_lexicon(spark, directory))
     return clean.select("msg_row", "content", "author_name")
 
 
 def p8_found(spark: SparkSession, directory: str) -> DataFrame:
     """Documents that hold twelve consecutive words of a benchmark item, with the items."""
-    return leakage.leaked(table(spark, directory, "documents"), table(spark, directory, "benchmark")).select("doc_id", "item_id")
+    return leakage.leaked(_rows(spark, directory, "documents", "doc_id", "text"), table(spark, directory, "benchmark")).select("doc_id", "item_id")
 
 
 def p8_clean(spark: SparkSession, directory: str) -> DataFrame:
@@ -78,7 +83,7 @@ def p8_pruned(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def _sized(spark: SparkSession, directory: str) -> DataFrame:
-    documents = spread(table(spark, directory, "documents").select("doc_id", "source", "text"))
+    documents = _rows(spark, directory, "documents", "doc_id", "source", "text")
     return documents.select("doc_id", "source", mixture.count_tokens(spark, F.col("text")).alias("n_tokens"))
 
 
@@ -119,7 +124,7 @@ def _subjects(spark: SparkSession, directory: str) -> subjects.Trained:
     names = [r["subject"] for r in named.limit(1_001).collect()]
     if len(names) > 1_000:
         raise ValueError("more than 1000 subjects: the model has a column for each")
-    return subjects.train(spread(table(spark, directory, "documents").select("doc_id", "text")), table(spark, directory, "subject_labels"), names)
+    return subjects.train(_rows(spark, directory, "documents", "doc_id", "text"), table(spark, directory, "subject_labels"), names)
 
 
 def p10_found(spark: SparkSession, directory: str) -> DataFrame:

@@ -46,8 +46,9 @@ HELD = 200_000  #: a task hands on its counts of words when it holds so many
 CALIBRATION_DOCS = 20_000  #: at most so many labelled documents, chosen by a hash, calibrate the posteriors
 SETTLED = 0.01  #: rounds end when less than this share of the expected counts has moved
 BLOCK_DOCS, BLOCK_CHARS = 5_000, 4_000_000  #: a block of parsed sentences ends with either
-SLOPE = 3.0  #: slope of the logistic function before labels are seen; THRESHOLD is where it is one half
-PRIOR = 4.0  #: weight of that function, and of that of all subjects together, in labelled documents
+SLOPE = 2.0  #: slope of the logistic function before labels are seen; THRESHOLD is where it is one half
+PRIOR = 4.0  #: weight with which a subject's function keeps to that of all subjects, and that one to the above
+WRONG = 0.05  #: share of labels taken to be wrong, so that a wrong one doesn't move the function
 
 _LANGUAGES = (*LATIN, "ru", "zh", "")  #: eight, the last for text of no known language
 _ROWS = 8 << BITS
@@ -393,13 +394,13 @@ class Trained:
 
 
 def train(
-    documents: DataFrame, labels: DataFrame, subjects: list[str], doc: str = "doc_id", text: str = "text", rounds: int = ROUNDS, own_rounds: int = OWN_ROUNDS, threshold: float = THRESHOLD, held_out: DataFrame | None = None
+    documents: DataFrame, labels: DataFrame, subjects: list[str], doc: str = "doc_id", text: str = "text", rounds: int = ROUNDS, own_rounds: int = OWN_ROUNDS, threshold: float = THRESHOLD
 ) -> Trained:
     """The calibrated model from labels (a few of them wrong) and all documents.
 
     Labels of documents that aren't there and of subjects that aren't listed are ignored. Without
     labels no sentence gets a subject. Null and empty texts are left out; ids that repeat are
-    documents of their own. `held_out` may take the place of `labels` in the calibration.
+    documents of their own.
     """
     spark = documents.sparkSession
     context = spark.sparkContext
@@ -409,6 +410,8 @@ def train(
     schema = "f int, " + ", ".join(f"c{k} double" for k in range(classes))
     cuts = Cuts(spark, "subjects")
     blocks, _ = cuts.cut(parsed(documents, begin, doc, text))
+    if not subjects:
+        return Trained(Model([], np.zeros((_ROWS, 0), np.float32), begin, np.zeros((0, 2)), threshold), blocks)
     sets = _label_sets(labels, place)
     told_texts = documents.select(F.col(doc).cast("bigint").alias("_d"), F.col(text).alias("_t")).join(sets, F.col("_d") == F.col("d")).select("_d", "_t", "s")
 
@@ -456,21 +459,25 @@ def train(
         if moved < SETTLED:
             left[own] = 0
         own = own or left[0] == 0
-    return Trained(calibrated(model, blocks, _label_sets(held_out, place) if held_out is not None else sets), blocks)
+    return Trained(calibrated(model, blocks, sets), blocks)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray, weight: float) -> np.ndarray:
-    """Intercept and slope of P(y) given x by Newton steps, with a Gaussian penalty towards the prior."""
-    w, design = prior.copy(), np.stack([np.ones_like(x), x], axis=1)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
-        gradient = design.T @ (y - p) - weight * (w - prior)
-        hessian = (design * (p * (1 - p))[:, None]).T @ design + weight * np.eye(2)
-        move = np.linalg.solve(hessian, gradient)
-        w = w + move * min(1.0, 2.0 / max(1e-9, np.abs(move).max()))
-        if np.abs(move).max() < 1e-6:
-            break
-    return w
+_MIDDLES = np.arange(-3.0, 9.05, 0.1)
+_SLOPES = np.array([0.5, 1.0, 1.5, 2.0, 3.0, 4.0])
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, middle: float, slope: float, classes: int) -> tuple[float, float]:
+    """Middle and slope of P(subject) given the evidence, of most likelihood on a grid; labels are wrong at a
+    rate, and both keep near what is given."""
+    best, found = -np.inf, (middle, slope)
+    high, low = 1 - WRONG, WRONG / max(1, classes)
+    for k in _SLOPES:
+        for m in _MIDDLES:
+            p = low + (high - low) / (1 + np.exp(-np.clip(k * (x - m), -30, 30)))
+            told = np.log(np.where(y > 0, p, 1 - p)).sum() - PRIOR / 2 * ((m - middle) ** 2 + np.log(k / slope) ** 2)
+            if told > best + 1e-9:
+                best, found = told, (float(m), float(k))
+    return found
 
 
 def calibrated(model: Model, blocks: DataFrame, sets: DataFrame) -> Model:
@@ -478,16 +485,16 @@ def calibrated(model: Model, blocks: DataFrame, sets: DataFrame) -> Model:
     documents in the order of a hash: first one for all subjects, then each by itself around it."""
     chosen = sets.orderBy(F.xxhash64("d"), "d").limit(CALIBRATION_DOCS)
     rows = scores_of(blocks, model).join(chosen.withColumnRenamed("d", "_l"), F.col("d") == F.col("_l")).select("z", "s").toArrow()
-    prior = np.array([-SLOPE * model.threshold, SLOPE])
-    fitted = np.tile(prior, (len(model.subjects), 1))
+    fitted = np.tile(np.array([-SLOPE * model.threshold, SLOPE]), (len(model.subjects), 1))
     if rows.num_rows:
         z = _clipped(np.array(rows.column("z").to_pylist()))
         y = np.zeros_like(z)
         for i, some in enumerate(rows.column("s").to_pylist()):
             y[i, some] = 1
-        common = _logistic(z.ravel(), y.ravel(), prior, PRIOR)
+        common = _logistic(z.ravel(), y.ravel(), model.threshold, SLOPE, len(fitted))
         for k in range(len(fitted)):
-            fitted[k] = _logistic(z[:, k], y[:, k], common, PRIOR)
+            middle, slope = _logistic(z[:, k], y[:, k], *common, len(fitted))
+            fitted[k] = (-slope * middle, slope)
     return Model(model.subjects, model.weights, model.begin, fitted, model.threshold)
 
 
