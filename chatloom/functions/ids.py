@@ -42,3 +42,11 @@ def hash_stream_user(raw: Column | str, salt: str) -> Column:
 def content_hash(text: Column | str) -> Column:
     """the first 16 hex digits of sha256(text)."""
     return F.substring(F.sha2(_column(text), 256), 1, 16)
+
+
+def export_key(path: str) -> str:
+    """the key of an export: the first 16 hex digits of sha256 of its path, made absolute."""
+    import hashlib
+    from pathlib import Path
+
+    return hashlib.sha256(str(Path(path).resolve()).encode()).hexdigest()[:16]

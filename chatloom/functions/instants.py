@@ -324,3 +324,12 @@ def to_utc_us(value: Column | str, zone: Column | str, release: str | None = Non
 
     as_column = lambda c: F.col(c) if isinstance(c, str) else c
     return convert(as_column(value).cast("string"), as_column(zone).cast("string"))
+
+
+def display_time(value: Column | str, offset_hours: float = 0.0) -> Column:
+    """the instant of a display time, "YYYY-MM-DD HH:MM" on a clock `offset_hours` east of UTC; NULL for
+    any other notation (ISO too) and for days or hours that don't exist."""
+    text = F.col(value) if isinstance(value, str) else value
+    read = F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm"))
+    shown = text.rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}$")
+    return F.when(shown, F.timestamp_micros(F.unix_micros(read) - F.lit(round(offset_hours * 3_600_000_000))))

@@ -39,6 +39,16 @@ def tagged(messages: DataFrame, tagger: Tagger = dry_run, batch_size: int = 25,
     fails on a batch is asked text by text; what still fails or is no known topic gets the fallback.
     """
     rows = messages.select("ord", "message_id", F.coalesce("content", F.lit("")).alias("content")).withColumn("hash", content_hash("content"))
+    named = fresh_topics(messages, tagger, batch_size, cache)
+    every = named if cache is None else named.unionByName(cache.select("hash", "topic"))
+    by_hash = every.select(F.col("hash").alias("_h"), F.coalesce("topic", F.lit(FALLBACK)).alias("topic"))
+    return rows.drop("content").join(by_hash, F.col("hash") == F.col("_h")).select("ord", "message_id", "hash", "topic")
+
+
+def fresh_topics(messages: DataFrame, tagger: Tagger = dry_run, batch_size: int = 25, cache: DataFrame | None = None) -> DataFrame:
+    """`hash`, `topic` of each different text that the cache doesn't have; a null topic where the tagger failed, so
+    that a cache can leave it out and the next run asks again. An unknown topic is the fallback."""
+    rows = messages.select(F.coalesce("content", F.lit("")).alias("content")).withColumn("hash", content_hash("content"))
     todo = rows.groupBy("hash").agg(F.min("content").alias("content"))
     if cache is not None:
         todo = todo.join(cache.select(F.col("hash").alias("_h")), F.col("hash") == F.col("_h"), "left_anti")
@@ -64,12 +74,9 @@ def tagged(messages: DataFrame, tagger: Tagger = dry_run, batch_size: int = 25,
         for batch in batches:
             texts = batch.column(1).to_pylist()
             topics = [t for k in range(0, len(texts), batch_size) for t in ask(texts[k : k + batch_size])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([t if t in TOPICS else FALLBACK for t in topics], pa.string())], names=["hash", "topic"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([t if t is None or t in TOPICS else FALLBACK for t in topics], pa.string())], names=["hash", "topic"])
 
-    fresh = todo.select("hash", "content").mapInArrow(run, "hash string, topic string")
-    every = fresh if cache is None else fresh.unionByName(cache.select("hash", "topic"))
-    named = every.select(F.col("hash").alias("_h"), "topic")
-    return rows.drop("content").join(named, F.col("hash") == F.col("_h")).select("ord", "message_id", "hash", "topic")
+    return todo.select("hash", "content").mapInArrow(run, "hash string, topic string")
 
 
 def topic_distribution(topics: DataFrame) -> DataFrame:
@@ -220,5 +227,25 @@ def is_cost_complaint(text: Column) -> Column:
 
 
 def sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
-    """N rows in the order of a hash of their key, the same on every run."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    """N rows in the order of a hash (SHA-256) of their key, the same on every run and in SQL."""
+    return df.orderBy(F.sha2(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")), 256), key).limit(n)
+
+
+def resolutions(found: DataFrame, category: str = "brand_confusion", field: str = "resolution") -> DataFrame:
+    """Facts of a category by how they ended; unknown without a word on it."""
+    rows = found.where(F.col("category") == category)
+    return rows.groupBy(F.coalesce(F.try_element_at("fact", F.lit(field)), F.lit("unknown")).alias(field)).agg(F.count(F.lit(1)).alias("n"))
+
+
+def about_product(found: DataFrame, product: str, category: str = "pricing_complaints", field: str = "service") -> DataFrame:
+    """Facts of a category whose field names the product, whatever its case; facts without the field don't."""
+    return found.where((F.col("category") == category) & F.coalesce(F.lower(F.try_element_at("fact", F.lit(field))).contains(product.lower()), F.lit(False)))
+
+
+# An amount of tokens or money.
+AMOUNT = r"(\d+(?:\.\d+)?)\s*(?:万|千万|亿|k|m|千|百万|万亿)?\s*(?:token|美元|元|块|刀|rmb|\$|￥|¥)"
+
+
+def amounts(text: Column) -> Column:
+    """The numbers of the amounts in a text, in order; an empty array without any."""
+    return F.coalesce(F.regexp_extract_all(text, F.lit("(?i)" + AMOUNT), F.lit(1)), F.array().cast("array<string>"))

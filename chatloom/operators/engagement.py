@@ -119,3 +119,10 @@ def join_events(rows: DataFrame) -> DataFrame:
 def joins_per_day(events: DataFrame) -> DataFrame:
     """Joins per day, for `growth`."""
     return events.groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("joined"))
+
+
+def join_summary(events: DataFrame, humans: int | None = None) -> DataFrame:
+    """One row: join events, different joiners, and departures that the membership implies (joiners beyond
+    the `humans` of now; null without their number)."""
+    one = events.agg(F.count(F.lit(1)).alias("events"), F.count_distinct("joiner").alias("joiners"))
+    return one.withColumn("departures", F.col("joiners") - F.lit(humans).cast("bigint"))

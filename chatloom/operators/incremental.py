@@ -5,6 +5,9 @@ Statistics are long rows (`category`, `key`, `value`); the nested document is ma
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from typing import Any
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -65,6 +68,21 @@ def trend(runs: DataFrame) -> DataFrame:
     return rows.select("category", "key", "run_idx", "value", (F.col("value") - F.col("_b")).alias("delta"), F.try_divide((F.col("value") - F.col("_b")) * 100.0, "_b").alias("pct"))
 
 
+def runs_of(spark: SparkSession, documents: Sequence[Mapping[str, Any]]) -> DataFrame:
+    """Statistics documents of several runs, oldest first, as long rows: `run_idx`, `category`, `key`, `value`.
+    What isn't a number is left out."""
+    from chatloom.sinks.documents import flat_rows
+
+    rows = []
+    for k, document in enumerate(documents):
+        for category, key, value in flat_rows(document):
+            try:
+                rows.append((k, category, key, float(value)))
+            except ValueError:
+                continue
+    return spark.createDataFrame(rows, "run_idx int, category string, key string, value double")
+
+
 class SeenStore:
     """The store as a Parquet folder, partitioned by export; a run appends what is new.
 

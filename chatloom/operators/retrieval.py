@@ -105,6 +105,35 @@ def hashed_embedding(size: int = 64) -> Callable[[Sequence[str | None]], list[li
     return embed
 
 
+def hits_with_messages(hits: DataFrame, messages: DataFrame, base_id: str = "ord", cut: int = 500) -> DataFrame:
+    """Hits with the message that each is: `message_id`, `ts`, `author_name`, `content` cut to `cut`
+    characters. Hits are few; messages are scanned once and never shuffled if the hits fit a broadcast."""
+    named = messages.select(F.col(base_id).alias("_b"), "message_id", "ts", "author_name", F.substring(F.coalesce("content", F.lit("")), 1, cut).alias("content"))
+    return hits.join(named, F.col(base_id) == F.col("_b")).drop("_b")
+
+
+def embeddable(messages: DataFrame, least: int = 5, cut: int = 1_500) -> DataFrame:
+    """Messages worth an embedding: texts without blanks around them of at least `least` characters, cut to
+    what a model's context takes. The cut is the model's, a parameter; it concerns this step alone."""
+    from chatloom.functions.text import strip
+
+    text = strip(F.coalesce("content", F.lit("")))
+    return messages.where(F.length(text) >= least).withColumn("content", F.substring(text, 1, cut))
+
+
+def embedded_with_cache(df: DataFrame, text: str, cache: DataFrame, model: str, embedder: Callable | None = None) -> tuple[DataFrame, DataFrame]:
+    """(`df` with `embedding`, the entries that the cache lacks). `cache` has `hash`, `model`, `embedding`; a text
+    that it has for the model isn't embedded again. The entries are to be written before the result is used."""
+    from chatloom.functions.ids import content_hash
+
+    keyed = df.withColumn("_hash", content_hash(F.coalesce(F.col(text), F.lit(""))))
+    known = cache.where(F.col("model") == model).select(F.col("hash").alias("_k"), "embedding")
+    todo = keyed.groupBy("_hash").agg(F.min(F.coalesce(F.col(text), F.lit(""))).alias("_text")).join(known, F.col("_hash") == F.col("_k"), "left_anti")
+    fresh = embedded(todo, "_text", embedder=embedder).select(F.col("_hash").alias("hash"), F.lit(model).alias("model"), "embedding")
+    every = known.unionByName(fresh.select(F.col("hash").alias("_k"), "embedding"))
+    return keyed.join(every, F.col("_hash") == F.col("_k")).drop("_hash", "_k"), fresh
+
+
 def embedded(df: DataFrame, text: str, out: str = "embedding", embedder: Callable | None = None) -> DataFrame:
     """`df` with an embedding of its text, by a pluggable function from texts to vectors, in Arrow batches."""
     from pyspark.sql.functions import arrow_udf

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from chatloom.plans import quality, views
+from chatloom.plans import exports, quality, views
 
-QUERIES = {**quality.QUERIES, **views.QUERIES}
-ORACLE = {**quality.ORACLE, **views.ORACLE}
+QUERIES = {**quality.QUERIES, **views.QUERIES, **exports.QUERIES}
+ORACLE = {**quality.ORACLE, **views.ORACLE, **exports.ORACLE}

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from chatloom.functions import ids
 from chatloom.functions import text as T
+from chatloom.functions.instants import display_time
 from chatloom.functions.lexicon import DOMAINS, KEYWORDS, LANGUAGES, QUESTION_EN, QUESTIONS, REGIONS, Domains, LanguageProfile
 from chatloom.operators import ai, crosstabs, engagement, incremental, profiles, retrieval, statistics
 from chatloom.session import spread, table
@@ -546,13 +547,43 @@ def run_trend_lag(spark: SparkSession, d: str) -> DataFrame:
     return incremental.trend(runs.withColumn("category", F.lit("platforms")))
 
 
-@query()
+_ROW = lambda category, key, value, rest: f"SELECT {category} AS category, CAST({key} AS VARCHAR) AS key, CAST({value} AS DOUBLE) AS value {rest}"
+_SECTION = "CASE category " + " ".join(f"WHEN '{c}' THEN '{s}'" for c, s in statistics.SECTIONS.items()) + " ELSE category END"
+_STATISTICS = " UNION ALL ".join([
+    _ROW("'metadata'", "'total_messages'", "count(*)", "FROM r"), _ROW("'date_first'", "'epoch'", "floor(epoch(min(ts)))", "FROM r"), _ROW("'date_last'", "'epoch'", "floor(epoch(max(ts)))", "FROM r"),
+    _ROW("'channel_message_counts'", "channel", "count(*)", "FROM r GROUP BY channel"), _ROW("'channel_target_message_counts'", "channel", "count(*) FILTER (WHERE lang_class IN ('target', 'mixed'))", "FROM r GROUP BY channel"),
+    _ROW("'language_distribution'", "lang_class", "count(*)", "FROM r GROUP BY lang_class"), _ROW("'users'", "language_primary", "count(*)", "FROM p GROUP BY language_primary"), _ROW("'users'", "'total'", "count(*)", "FROM p"),
+    f"SELECT 'retention', key, CAST(value AS DOUBLE) FROM (UNPIVOT (SELECT count(*) FILTER (WHERE k = 'active_30d') AS active_30d, count(*) FILTER (WHERE k = 'lapsed_30_90d') AS lapsed_30_90d, count(*) FILTER (WHERE k = 'lapsed_90d_plus') AS lapsed_90d_plus, count(*) FILTER (WHERE message_count = 1) AS one_time, count(*) AS n_users FROM (SELECT *, {_RETENTION} AS k FROM p WHERE language_primary IN ('target_primary', 'bilingual'))) ON COLUMNS(*) INTO NAME key VALUE value)",
+    _ROW("'location_proxy'", _BUCKET, "count(*)", "FROM h JOIN p USING (author_id) WHERE language_primary IN ('target_primary', 'bilingual') GROUP BY 2"),
+    _ROW(_SECTION, "label", "count(*)", "FROM x GROUP BY category, label"), _ROW("'url_categories'", "category", "count(*)", "FROM u GROUP BY category"),
+    f"SELECT 'top_domains', host, CAST(n AS DOUBLE) FROM (SELECT host, count(*) AS n, min((ord, pos)) AS f FROM (SELECT ord, pos, {_HOST} AS host FROM (SELECT ord, unnest(urls) AS url, unnest(range(len(urls))) AS pos FROM r)) GROUP BY 1 ORDER BY n DESC, f LIMIT 50)",
+    "SELECT kind || '_domains', domain, CAST(count(*) AS DOUBLE) FROM (SELECT category AS kind, host AS domain FROM u WHERE category IN ('impersonator', 'official') UNION ALL " + " UNION ALL ".join(f"SELECT 'impersonator', {_quoted(d)} FROM r WHERE contains(lower(content), {_quoted(d)})" for d in SITES.impersonator) + ") GROUP BY 1, 2",
+    f"SELECT 'help_answered', key, CAST(value AS DOUBLE) FROM (UNPIVOT (SELECT CAST(count(*) AS DOUBLE) AS questions, CAST(count(*) FILTER (WHERE tg) AS DOUBLE) AS target_questions, CAST(count(*) FILTER (WHERE tg AND an) AS DOUBLE) AS answered, count(*) FILTER (WHERE tg AND an) / CAST(nullif(count(*) FILTER (WHERE tg), 0) AS DOUBLE) AS rate FROM (SELECT *, lang_class IN ('target', 'mixed') AS tg, {_ANSWERED} AS an FROM r a WHERE is_question)) ON COLUMNS(*) INTO NAME key VALUE value)",
+])
+
+
+@query(f"WITH {X}, {P}, {H}, {U.removeprefix(R).lstrip(', ')} {_STATISTICS}")
 def statistics_document(spark: SparkSession, d: str) -> DataFrame:
-    """A1 to A11 as one long table (tested against its parts)."""
+    """A1 to A11 as one long table."""
     messages = rich(spark, d).persist()
     return statistics.statistics(messages, profiles.user_profiles(messages), SITES, REGION, NOW)
 
 
+@query("SELECT count(*) AS events, count(DISTINCT CAST(user_id % 500 AS VARCHAR)) AS joiners, count(DISTINCT CAST(user_id % 500 AS VARCHAR)) - 90 AS departures FROM events WHERE user_id % 3 < 2")
+def join_summary(spark: SparkSession, d: str) -> DataFrame:
+    """Events told as system messages of both forms, and others that are no joins."""
+    who = F.concat(F.lit("user "), (F.col("user_id") % 500).cast("string"))
+    text = F.when(F.col("user_id") % 3 == 0, F.concat(F.lit("Ann invited "), who, F.lit(" to the group."))).when(F.col("user_id") % 3 == 1, F.concat(who, F.lit(" joined the group via QR Code shared by Bob."))).otherwise(F.concat(who, F.lit(" left")))
+    return engagement.join_summary(engagement.join_events(table(spark, d, "events").select("ts", text.alias("content"))), 90)
+
+
+@query(r"""SELECT page_id, epoch_us(try_strptime(create_time, '%Y-%m-%d %H:%M')) - 28800000000 AS utc_us FROM pages WHERE regexp_full_match(create_time, '\d{4}-\d{2}-\d{2} \d{2}:\d{2}') AND try_strptime(create_time, '%Y-%m-%d %H:%M') IS NOT NULL""")
+def display_times(spark: SparkSession, d: str) -> DataFrame:
+    """display times on a clock eight hours east of UTC; other notations are none."""
+    shown = table(spark, d, "pages").select("page_id", F.unix_micros(display_time("create_time", 8)).alias("utc_us"))
+    return shown.where("utc_us is not null")
+
+
 # --- retrieval, topics, facts -------------------------------------------------------------------
 
 _SIM = """n AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
@@ -567,6 +598,16 @@ def semantic_topk(spark: SparkSession, d: str) -> DataFrame:
     return retrieval.top_k(base, base.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id"))
 
 
+@query(f"""WITH {_SIM}, z AS (SELECT q.vec_id AS query_id, b.vec_id, round(list_inner_product(q.v, b.v) / (q.s * b.s), 6) AS score FROM e q, e b WHERE q.vec_id % 20 = 0),
+k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM z)
+SELECT query_id, rank, k.vec_id AS ord, trim(message_id) AS message_id, author_name, substr(coalesce(content, ''), 1, 500) AS content FROM k JOIN messages ON msg_row = k.vec_id WHERE rank <= 5""")
+def hits_with_messages(spark: SparkSession, d: str) -> DataFrame:
+    """Nearest vectors with the messages of the same number."""
+    base = table(spark, d, "embeddings").withColumnRenamed("vec_id", "ord")
+    hits = retrieval.top_k(base, base.where("ord % 20 = 0").withColumnRenamed("ord", "query_id"), 5, base_id="ord")
+    return retrieval.hits_with_messages(hits, canonical(spark, d)).select("query_id", "rank", "ord", "message_id", "author_name", "content")
+
+
 @query()
 def retrieval_offline_embedder(spark: SparkSession, d: str) -> DataFrame:
     """Nearest documents to each benchmark item by the offline embedder."""
@@ -621,11 +662,39 @@ def _extract(text: str) -> str:
     return "```json\n" + json.dumps({"provider_usage": [{k: v for k, v in f.items() if v} for f in found], "noise": [1]})[:-1] + ",}\n```"
 
 
-@query()
+_CHUNKED = f"""{M}, k AS (SELECT *, CAST(floor((row_number() OVER (ORDER BY coalesce(ts_text, ''), ord) - 1) / 100) AS BIGINT) AS chunk_idx FROM m),
+li AS (SELECT chunk_idx, unnest(string_split('[' || coalesce(ts_text, '') || '] ' || coalesce(author_name, '') || ': ' || substr(content, 1, 800), chr(10))) AS line FROM k),
+fa AS (SELECT chunk_idx, CASE WHEN contains(line, 'docs.') THEN 'docs' ELSE 'wiki' END AS provider, CASE WHEN contains(lower(line), 'thanks') THEN 'positive' END AS sentiment FROM li WHERE contains(line, 'docs.') OR contains(line, 'wiki.'))"""
+
+
+def _facts(spark: SparkSession, d: str) -> DataFrame:
+    return ai.facts(ai.chunk_texts(ai.chunks(canonical(spark, d))), ["provider_usage"], _extract)
+
+
+@query(f"WITH {_CHUNKED} SELECT 'provider_usage' AS category, count(*) AS n FROM fa GROUP BY 1")
+def fact_counts(spark: SparkSession, d: str) -> DataFrame:
+    """A17."""
+    return ai.fact_counts(_facts(spark, d))
+
+
+@query(f"WITH {_CHUNKED} SELECT coalesce(sentiment, 'unknown') AS resolution, count(*) AS n FROM fa GROUP BY 1")
+def resolution_breakdown(spark: SparkSession, d: str) -> DataFrame:
+    """The sentiment stands for the resolution."""
+    found = ai.resolutions(_facts(spark, d), "provider_usage", "sentiment")
+    return found.withColumnRenamed("sentiment", "resolution")
+
+
+@query(f"WITH {_CHUNKED} SELECT chunk_idx, provider FROM fa WHERE contains(lower(provider), 'doc')")
+def product_facts(spark: SparkSession, d: str) -> DataFrame:
+    """Facts whose provider names the product."""
+    found = ai.about_product(_facts(spark, d), "DOC", "provider_usage", "provider_or_gateway")
+    return found.select("chunk_idx", F.try_element_at("fact", F.lit("provider_or_gateway")).alias("provider"))
+
+
+@query(f"WITH {_CHUNKED} SELECT provider AS a, coalesce(sentiment, 'neutral') AS b, count(*) AS n FROM fa GROUP BY 1, 2")
 def fact_breakdown(spark: SparkSession, d: str) -> DataFrame:
     """An extractor in place of a model, with the answer's flaws."""
-    found = ai.facts(ai.chunk_texts(ai.chunks(canonical(spark, d))), ["provider_usage"], _extract)
-    return ai.pair_counts(found, "provider_usage", "provider_or_gateway", "sentiment", ("unknown", "neutral"))
+    return ai.pair_counts(_facts(spark, d), "provider_usage", "provider_or_gateway", "sentiment", ("unknown", "neutral"))
 
 
 @query(f"""WITH {M} SELECT ord, substr(replace(content, chr(10), ' '), 1, 400) AS quote FROM m WHERE regexp_matches(content, {_quoted("(?i)" + ai.COST)})
@@ -648,7 +717,7 @@ def content_hash_dedup(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").groupBy(ids.content_hash("text").alias("hash")).agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id"))
 
 
-@query()
+@query(f"WITH {M} SELECT ord, channel FROM m ORDER BY sha256(ord || ':0'), ord LIMIT 40")
 def deterministic_sample(spark: SparkSession, d: str) -> DataFrame:
     """Forty messages, the same on every run."""
     return ai.sample(canonical(spark, d), "ord", 40, 0).select("ord", "channel")

@@ -41,15 +41,18 @@ def _listed(spark: SparkSession, path: str, suffix: str = "") -> list[tuple[str,
     if not status.isDirectory():
         return [(status.getPath().toString(), status.getLen())]
     found = [(s.getPath().toString(), s.getLen()) for s in fs.listStatus(where) if s.isFile()]
-    return sorted((str(f), n) for f, n in found if str(f).endswith(suffix))
+    # Names that begin with _ or . are marks and checksums, as for Spark's own readers.
+    return sorted((str(f), n) for f, n in found if str(f).endswith(suffix) and str(f).rsplit("/", 1)[-1][0] not in "_.")
 
 
 def _files(spark: SparkSession, path: str, suffix: str = "") -> list[str]:
     return [f for f, _ in _listed(spark, path, suffix)]
 
 
-def _documents(spark: SparkSession, path: str, suffix: str = ".json", large: int = LARGE) -> DataFrame:
-    """(`file_no`, `stem`, `value`, `large`) of whole files."""
+def _documents(spark: SparkSession, path: str | DataFrame, suffix: str = ".json", large: int = LARGE) -> DataFrame:
+    """(`file_no`, `stem`, `value`, `large`) of whole files, or of exports that are rows of a table (`file_no`, `stem`, `value`)."""
+    if isinstance(path, DataFrame):
+        return path.select(F.col("file_no").cast("bigint"), "stem", "value", (F.octet_length("value") > large).alias("large"))
     files = _listed(spark, path, suffix)
     out = None
     for big in (False, True):
@@ -190,7 +193,7 @@ def _exploded(documents: DataFrame, containers: tuple[tuple[str, ...], ...] = ((
     return small.select("file_no", "stem", "v", F.posexplode(items).alias("pos", "m")).withColumn("pos", F.col("pos").cast("bigint")).select("file_no", "stem", "v", "pos", "m").unionByName(elements)
 
 
-def read_discord(spark: SparkSession, path: str, salt: str) -> DataFrame:
+def read_discord(spark: SparkSession, path: str | DataFrame, salt: str) -> DataFrame:
     """One object a file with channel.name and messages."""
     rows = _exploded(_documents(spark, path))
     m = F.col("m")
@@ -201,7 +204,7 @@ def read_discord(spark: SparkSession, path: str, salt: str) -> DataFrame:
     )
 
 
-def read_telegram(spark: SparkSession, path: str, salt: str) -> DataFrame:
+def read_telegram(spark: SparkSession, path: str | DataFrame, salt: str) -> DataFrame:
     """Messages of type "message"; text is a string or a list of strings and objects with text."""
     rows = _exploded(_documents(spark, path))
     m = F.col("m")
@@ -220,7 +223,7 @@ def _hashed_or_kept(raw: Column, salt: str) -> Column:
     return F.when(raw.rlike("^(sha256:|hash:)"), raw).otherwise(hash_author(raw, salt))
 
 
-def read_canonical(spark: SparkSession, path: str, salt: str) -> DataFrame:
+def read_canonical(spark: SparkSession, path: str | DataFrame, salt: str) -> DataFrame:
     """S3: messages in canonical shape; ids that say they are hashed are kept."""
     rows = _exploded(_documents(spark, path))
     m = F.col("m")
@@ -281,7 +284,7 @@ def lark_content(kind: Column, raw: Column) -> Column:
 LARK_CONTAINERS = ((), ("messages",), ("data", "messages"), ("data", "items"))
 
 
-def read_lark(spark: SparkSession, path: str, salt: str, channel: str | None = None, utc_offset_hours: float = 0.0) -> DataFrame:
+def read_lark(spark: SparkSession, path: str | DataFrame, salt: str, channel: str | None = None, utc_offset_hours: float = 0.0) -> DataFrame:
     """NDJSON, an array, envelopes with data.items or data.messages, concatenated envelopes one a
     line, or canonical messages; told apart by their content, split by a streaming parser.
 
@@ -340,13 +343,13 @@ def unzipped(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("content").mapInArrow(members, "file_no bigint, stem string, value string, large boolean")
 
 
-def read_slack(spark: SparkSession, path: str, salt: str) -> DataFrame:
+def read_slack(spark: SparkSession, path: str | DataFrame, salt: str) -> DataFrame:
     """A channel's file, a directory of them, or a zip; arrays or objects with messages.
 
     Joins and other events, and users whose id begins with B, are left out. A reply is a message whose
     thread isn't its own. The channel is the file's name without its ending.
     """
-    documents = unzipped(spark, path) if path.endswith(".zip") else _documents(spark, path)
+    documents = unzipped(spark, path) if isinstance(path, str) and path.endswith(".zip") else _documents(spark, path)
     rows = _exploded(documents, ((), ("messages",)))
     m = F.col("m")
     user, ts, thread = _text(m, "$.user"), _get(m, "$.ts"), _text(m, "$.thread_ts")
@@ -404,6 +407,19 @@ def read_raw(spark: SparkSession, path: str, salt: str, least: int = 0, cut: int
     return base
 
 
+def read_chat(spark: SparkSession, path: str, salt: str, least: int = 3, cut: int = 300) -> DataFrame:
+    """The messages that a dashboard drills down to, from a Discord or canonical document, an array, an
+    envelope or NDJSON, told apart by their content: `ord`, `author_name`, `ts`, `content` of at least
+    `least` characters, cut to `cut`. System messages are left out."""
+    split = split_messages(_documents(spark, path, ""), LARK_CONTAINERS, by_line=True)
+    rows = split.select("file_no", "pos", F.parse_json("m").alias("m")).where(F.schema_of_variant("m").startswith("OBJECT"))
+    m = F.col("m")
+    rows = rows.where(F.coalesce(_get(m, "$.msg_type"), F.lit("")) != "system")
+    content = strip(F.coalesce(_get(m, "$.content.text"), _text(m, "$.content", "$.text"), F.lit("")))
+    name = F.coalesce(_text(m, "$.author.nickname", "$.author.name", "$.author_name", "$.sender.name", "$.from", "$.user"), F.lit("unknown"))
+    return rows.where(F.length(content) >= least).select(_ord(F.col("pos")), name.alias("author_name"), _at(_text(m, "$.timestamp", "$.create_time", "$.date", "$.ts")).alias("ts"), F.substring(content, 1, cut).alias("content"))
+
+
 READERS: dict[str, Callable[..., DataFrame]] = {
     "discord": read_discord, "telegram": read_telegram, "canonical": read_canonical, "lark": read_lark, "slack": read_slack, "csv": read_csv, "raw": read_raw,
 }
