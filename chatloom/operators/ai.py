@@ -166,8 +166,8 @@ def no_facts(text: str) -> str:
 def facts(texts: DataFrame, categories: Sequence[str], extractor: Extractor = no_facts, cache: DataFrame | None = None) -> DataFrame:
     """Long facts (`chunk_idx`, `hash`, `category`, `fact` map, `error`) of chunk texts.
 
-    A failed chunk gives one row with `error`; as the cache is keyed by the text's hash and errors
-    aren't kept in it, such chunks are tried again by the next run.
+    A failed chunk gives one row with `error`, a chunk without facts one without category; as the cache
+    is keyed by the text's hash and errors aren't kept in it, failed chunks are tried again by the next run.
     """
     rows = texts.select("chunk_idx", "text", content_hash("text").alias("hash"))
     if cache is not None:
@@ -186,7 +186,7 @@ def facts(texts: DataFrame, categories: Sequence[str], extractor: Extractor = no
                 except Exception as e:  # noqa: BLE001
                     found, error = None, f"{type(e).__name__}: {e}"[:200]
                 made = [(c, i) for c, items in (found or {}).items() if c in wanted and isinstance(items, list) for i in items if isinstance(i, dict)]
-                for category, item in made or ([(None, None)] if error else []):
+                for category, item in made or [(None, None)]:
                     cells = None if item is None else [(k, ",".join(map(str, v)) if isinstance(v, list) else None if v is None else str(v)) for k, v in item.items()]
                     for column, value in zip(out, (chunk, digest, category, cells, error)):
                         column.append(value)
@@ -199,7 +199,7 @@ def facts(texts: DataFrame, categories: Sequence[str], extractor: Extractor = no
 
 def fact_counts(found: DataFrame) -> DataFrame:
     """Facts per category; failed chunks under _error_chunks."""
-    return found.groupBy(F.coalesce("category", F.lit("_error_chunks")).alias("category")).agg(F.count(F.lit(1)).alias("n"))
+    return found.where("category is not null or error is not null").groupBy(F.coalesce("category", F.lit("_error_chunks")).alias("category")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def pair_counts(found: DataFrame, category: str, first: str, second: str, defaults: tuple[str, str] = ("unknown", "unknown")) -> DataFrame:

@@ -15,8 +15,11 @@ from chatloom.functions import ids
 from chatloom.functions import text as T
 from chatloom.functions.instants import display_time
 from chatloom.functions.lexicon import DOMAINS, KEYWORDS, LANGUAGES, QUESTION_EN, QUESTIONS, REGIONS, Domains, LanguageProfile
-from chatloom.operators import ai, crosstabs, engagement, incremental, profiles, retrieval, statistics
+from chatloom.operators import ai, caches, crosstabs, engagement, incremental, profiles, retrieval, statistics
+from chatloom.plans.lineage import Cuts
 from chatloom.session import spread, table
+from chatloom.sinks import documents, reports
+from chatloom.sources import results
 
 ZH, DE = LANGUAGES["zh"], LANGUAGES["de"]
 REGION = REGIONS["global"]
@@ -723,3 +726,50 @@ def deterministic_sample(spark: SparkSession, d: str) -> DataFrame:
     return ai.sample(canonical(spark, d), "ord", 40, 0).select("ord", "channel")
 
 
+
+
+# --- configured patterns, caches and results as inputs --------------------------------------------
+
+PATTERNS = {"product": r"quill\s?base", "docs_site": r"docs\.|wiki\.", "errors": r"error|fehler|erro\b"}
+
+
+def _pattern_sql(p: str) -> str:
+    return _quoted("(?i)" + _re2(p).replace(r"\s", f"[{T.SPACES}]").replace(r"erro\b", rf"erro([^{_W}]|$)"))
+
+
+@query(f"WITH {M} SELECT label, count(*) AS n, min(ord) AS first_ord FROM (" + " UNION ALL ".join(f"SELECT '{k}' AS label, ord FROM m WHERE regexp_matches(content, {_pattern_sql(p)})" for k, p in PATTERNS.items()) + ") GROUP BY 1")
+def brand_pattern_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Messages that name each brand, by configured patterns."""
+    return profiles.mention_counts(reports.branded(spread_canonical(spark, d), PATTERNS)).select("label", "n", "first_ord")
+
+
+@query(f"WITH {M}, t AS (SELECT {_TOPIC} AS topic, count(*) AS n FROM m GROUP BY 1) SELECT topic, n, round(n * 100.0::DOUBLE / (SELECT sum(n) FROM t), 1) AS pct FROM t")
+def topics_with_cache(spark: SparkSession, d: str) -> DataFrame:
+    """A run that broke off after a part of the messages, and the next one."""
+    messages = canonical(spark, d)
+    cache = caches.topic_cache(spark, Cuts(spark, "topics").root + "/cache")
+    caches.tagged(messages.where("ord % 3 = 0"), _by_channel, cache)
+    return ai.topic_distribution(caches.tagged(messages, _by_channel, cache))
+
+
+@query(f"""WITH t AS (SELECT p_partkey AS ord, 'about ' || p_size || ' 万 token, then ' || p_size || '.5rmb, or ' || p_name AS content FROM part),
+a AS (SELECT ord, unnest(regexp_extract_all(content, {_quoted("(?i)" + ai.AMOUNT)}, 1)) AS amount FROM t) SELECT ord, count(*) AS n, min(amount) AS least FROM a GROUP BY 1""")
+def amounts(spark: SparkSession, d: str) -> DataFrame:
+    """Amounts of tokens or money in texts made of parts."""
+    text = F.concat(F.lit("about "), F.col("p_size").cast("string"), F.lit(" 万 token, then "), F.col("p_size").cast("string"), F.lit(".5rmb, or "), F.col("p_name"))
+    found = table(spark, d, "part").select(F.col("p_partkey").alias("ord"), F.explode_outer(ai.amounts(text)).alias("amount")).where("amount is not null")
+    return found.groupBy("ord").agg(F.count(F.lit(1)).alias("n"), F.min("amount").alias("least"))
+
+
+@query(f"WITH {X}, {P}, {H} SELECT author_id, language_primary, hour, impersonator_messages, coalesce((SELECT count(DISTINCT category || ':' || label) FROM x WHERE x.author_id = p.author_id), 0) AS n_labels, epoch_us(last_seen) // 1000 AS last_ms FROM p LEFT JOIN h USING (author_id)")
+def users_as_input(spark: SparkSession, d: str) -> DataFrame:
+    """Profiles written as JSON lines and read again as what pivots are made of; of tied hours the earlier, so
+    the hour is that of the profile."""
+    folder = Cuts(spark, "users").root + "/rows"
+    people = profiles.user_profiles(rich(spark, d))
+    documents.write_users(people, folder)
+    back = results.read_users(spark, folder)
+    hours = people.select(F.col("author_id").alias("_a"), F.col("hour").alias("_h"))
+    return back.drop("hour").join(hours, F.col("author_id") == F.col("_a")).select(
+        "author_id", "language_primary", F.col("_h").alias("hour"), "impersonator_messages", F.size("mentions").cast("bigint").alias("n_labels"), F.unix_millis("last_seen").alias("last_ms")
+    )

@@ -99,6 +99,20 @@ def write_users(profiles: DataFrame, path: str, keep_names: bool = False) -> Non
     profiles.withColumn("display_name", name).write.mode("overwrite").json(path)
 
 
+def write_users_keyed(profiles: DataFrame, path: str | Path, keep_names: bool = False, most: int = MOST_ROWS) -> None:
+    """K3 as one JSON object keyed by user, for tools that want a single file. Users are written one by one as they
+    come; more than `most` are refused, for them there is `write_users`."""
+    name = F.col("display_name") if keep_names else F.lit("<redacted>")
+    rows = profiles.withColumn("display_name", name).orderBy("author_id").select("author_id", F.to_json(F.struct("*")).alias("j"))
+    if rows.limit(most + 1).count() > most:
+        raise ValueError("too many users for one file")
+    with Path(path).open("w", encoding="utf-8") as f:
+        f.write("{")
+        for k, r in enumerate(rows.toLocalIterator()):
+            f.write(("," if k else "") + "\n" + json.dumps(r["author_id"], ensure_ascii=False) + ": " + r["j"])
+        f.write("\n}\n")
+
+
 def write_facts(found: DataFrame, category: str, path: str, most: int = 1_000) -> list[str]:
     """A category's facts as CSV with a byte-order mark, one column a field that any of them has.
 
