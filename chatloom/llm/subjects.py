@@ -69,63 +69,64 @@ def _fold(text: str) -> str:
     return text if text.isascii() else _MARKS.sub("", unicodedata.normalize("NFKD", text))
 
 
-def _opening(text: str, first: Counter[str], shown: Counter[str]) -> None:
-    """Counts the words that are capitalised at the start of a part, and anywhere."""
-    for part in _PART.split(text):
-        part = _LABEL.sub("", part, count=1)
-        words = re.findall(r"[^\W\d_]+", part)
-        if len(words) > 1 and not part.isupper():
-            first[words[0]] += words[0][:1].isupper()
-            shown.update(w for w in words if w[:1].isupper())
+def _opening(part: str, times: int, first: Counter[str], shown: Counter[str]) -> None:
+    """Counts the words of a part that are capitalised at its start, and anywhere."""
+    words = re.findall(r"[^\W\d_]+", part)
+    if len(words) > 1 and not part.isupper():
+        first[words[0]] += times * words[0][:1].isupper()
+        for w in words:
+            if w[:1].isupper():
+                shown[w] += times
 
 
 def starters(documents: DataFrame, text: str = "text") -> frozenset[str]:
     """Words that, when capitalised, nearly always begin a sentence, counted over all documents and
-    whole texts. The driver gets only the words that pass."""
+    whole texts. Parts that recur are looked at once, with their number. The driver gets only the words that pass."""
 
     def count(batches):
         import pyarrow as pa
 
-        def handed(first, shown):
+        def handed(parts):
+            first: Counter[str] = Counter()
+            shown: Counter[str] = Counter()
+            for part, times in parts.items():
+                _opening(part, times, first, shown)
             words = list(shown)
             for k in range(0, len(words), 20_000):
                 some = words[k : k + 20_000]
                 yield pa.RecordBatch.from_arrays([pa.array(some, pa.string()), pa.array([first[w] for w in some], pa.int64()), pa.array([shown[w] for w in some], pa.int64())], names=["w", "first", "shown"])
 
-        first: Counter[str] = Counter()
-        shown: Counter[str] = Counter()
+        parts: Counter[str] = Counter()
+        size = 0
         for batch in batches:
             for t in batch.column(0).to_pylist():
                 if t:
-                    _opening(t, first, shown)
-                if len(shown) > HELD:
-                    yield from handed(first, shown)
-                    first, shown = Counter(), Counter()
-        yield from handed(first, shown)
+                    size += len(t)
+                    parts.update([_LABEL.sub("", part, count=1) for part in _PART.split(t) if part])
+                if len(parts) > HELD or size > 40_000_000:
+                    yield from handed(parts)
+                    parts, size = Counter(), 0
+        yield from handed(parts)
 
     counts = documents.select(F.col(text).alias("t")).mapInArrow(count, "w string, first bigint, shown bigint")
     sums = counts.groupBy("w").agg(F.sum("first").alias("first"), F.sum("shown").alias("shown"))
     return frozenset(r["w"] for r in sums.where((F.col("first") >= 5) & (F.col("first") >= 0.9 * F.col("shown"))).select("w").collect())
 
 
-def sentences(text: str, begin: frozenset[str] = frozenset()) -> list[str]:
-    """The sentences of a text: split at line ends and end marks, and before a capitalised word that
-    nearly always begins one where the end mark is missing."""
+def sentences(part: str, begin: frozenset[str] = frozenset()) -> list[str]:
+    """The sentences of a part of a text (between line ends and end marks, without a label): split before a
+    capitalised word that nearly always begins one where the end mark is missing."""
     out = []
-    for part in _PART.split(text):
-        if not part:
-            continue
-        part = _LABEL.sub("", part, count=1)
-        if begin and " " in part:
-            at = 0
-            for m in _BREAK.finditer(part):
-                word = re.match(r"[^\W\d_]+", part[m.end() :])
-                if word and word.group() in begin and m.start() - at > 15:
-                    out.append(part[at : m.start()])
-                    at = m.end()
-            part = part[at:]
-        if len(part) > 3:
-            out.append(part)
+    if begin and " " in part:
+        at = 0
+        for m in _BREAK.finditer(part):
+            word = re.match(r"[^\W\d_]+", part[m.end() :])
+            if word and word.group() in begin and m.start() - at > 15:
+                out.append(part[at : m.start()])
+                at = m.end()
+        part = part[at:]
+    if len(part) > 3:
+        out.append(part)
     return out
 
 
@@ -133,11 +134,12 @@ class Features:
     """Hashed features of sentences; words are remembered up to a bound."""
 
     MEMO = 300_000
+    PARTS, LONG = 100_000, 500  #: so many parts of texts, of so many characters at most, are remembered
 
     def __init__(self, begin: frozenset[str]):
         self.begin = begin
         self.memo: dict[str, int] = {}
-        self.seen: dict[str, tuple[tuple[int, ...], int] | None] = {}  #: of one block: sentence -> (words, language)
+        self.seen: dict[str, list[tuple[tuple[int, ...], int]]] = {}  #: part -> (words, language) of its sentences
         self.votes = {_fold(w): tuple(js) for w, js in _SEEDS.items()}
 
     def _sentence(self, sentence: str) -> tuple[tuple[int, ...], int] | None:
@@ -180,8 +182,9 @@ class Features:
         """
         if len(self.memo) > self.MEMO:
             self.memo.clear()
+        if len(self.seen) > self.PARTS:
+            self.seen.clear()
         seen, number = self.seen, {}
-        seen.clear()
         words: list[int] = []
         lengths: list[int] = []
         tongues: list[int] = []
@@ -190,15 +193,19 @@ class Features:
         for text in texts:
             mine: list[tuple[tuple[int, ...], int]] = []
             usual = [0] * 8
-            for sentence in sentences(text, self.begin) if text else ():
-                if sentence in seen:
-                    told = seen[sentence]
-                else:
-                    told = seen[sentence] = self._sentence(sentence)
-                if told is not None:
-                    mine.append(told)
-                    if told[1] >= 0:
-                        usual[told[1]] += 1
+            for part in _PART.split(text) if text else ():
+                if not part:
+                    continue
+                part = _LABEL.sub("", part, count=1)
+                told = seen.get(part)
+                if told is None:
+                    told = [x for s in sentences(part, self.begin) if (x := self._sentence(s)) is not None]
+                    if len(part) <= self.LONG:
+                        seen[part] = told
+                for x in told:
+                    mine.append(x)
+                    if x[1] >= 0:
+                        usual[x[1]] += 1
             here = usual.index(max(usual)) if any(usual) else 7
             for ids, tongue in mine:
                 key = (ids, here if tongue < 0 else tongue)
