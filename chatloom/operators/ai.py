@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatloom.functions.ids import content_hash
+from chatloom.operators.ranges import numbered
 from chatloom.plans.lineage import Cuts
 
 # Topic labels; the last is the fallback.
@@ -108,19 +109,10 @@ def parse_topics(response: str, ids: Sequence[str]) -> dict[str, str] | None:
 def chunks(messages: DataFrame, size: int = 100, by: str = "ts_text") -> DataFrame:
     """Messages with `chunk_idx`, chunks of `size` in the order of the time as text, then arrival.
 
-    Rows are sorted over ranges and numbered range by range; a row a range is counted beforehand, so
-    no task sorts the whole table.
+    Rows are numbered over ranges, so no task sorts the whole table.
     """
-    key = [F.coalesce(F.col(by), F.lit("")).alias("_k"), F.col("ord").alias("_o")]
-    keyed = messages.select("*", *key)
-    ranged = keyed.repartitionByRange(F.col("_k"), F.col("_o")).sortWithinPartitions("_k", "_o")
-    numbered = ranged.select("*", F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_m"))
-    fixed, _ = Cuts(messages.sparkSession, "chunks").cut(numbered)
-    sizes = fixed.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_lo"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = F.broadcast(sizes.withColumn("_b", before).select(F.col("_p").alias("_q"), "_b", "_lo"))  # a row a range
-    joined = fixed.join(offsets, F.col("_p") == F.col("_q"))
-    return joined.withColumn("chunk_idx", F.floor((F.col("_b") + F.col("_m") - F.col("_lo")) / size)).drop("_k", "_o", "_p", "_m", "_q", "_n", "_lo", "_b")
+    placed = numbered(messages, None, [F.coalesce(F.col(by), F.lit("")), F.col("ord")], "_n", Cuts(messages.sparkSession, "chunks"))
+    return placed.withColumn("chunk_idx", F.floor((F.col("_n") - 1) / size)).drop("_n")
 
 
 def chunk_texts(chunked: DataFrame, by: str = "ts_text") -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatloom.functions import text as T
+from chatloom.operators.ranges import numbered
+from chatloom.plans.lineage import Cuts
 
 TOPS = (1, 5, 10, 25, 50, 100, 200)
 
@@ -29,13 +31,16 @@ def posters(rows: DataFrame) -> DataFrame:
 def ranked(people: DataFrame, n: int | None = 50) -> DataFrame:
     """Posters by messages, first come first; with their share of all messages in percent.
 
-    With `n` only the top is ranked, by a distributed top-k, so no task sorts all posters.
+    With `n` only the top is ranked, by a distributed top-k; without, all posters are, over ranges. So no
+    task sorts all posters.
     """
     total = people.agg(F.sum("messages")).scalar()
-    top = people.orderBy(F.desc("messages"), "first_ord")
-    top = top.limit(n) if n is not None else top
-    rank = F.row_number().over(Window.orderBy(F.desc("messages"), "first_ord")).cast("bigint")
-    return top.withColumn("rank", rank).withColumn("pct", F.try_divide(F.col("messages") * 100.0, total))
+    if n is None:
+        placed = numbered(people, None, [F.desc("messages"), F.col("first_ord")], "rank", Cuts(people.sparkSession, "ranks"))
+    else:
+        top = people.orderBy(F.desc("messages"), "first_ord").limit(n)
+        placed = top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("messages"), "first_ord")).cast("bigint"))
+    return placed.withColumn("pct", F.try_divide(F.col("messages") * 100.0, total))
 
 
 def pareto(people: DataFrame, tops: Sequence[int] = TOPS) -> DataFrame:

@@ -8,7 +8,8 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK = 512  #: queries in one pass; a block's vectors are broadcast, a few MB
+PASS_BYTES = 64 << 20  #: vectors of the queries of one pass, which are broadcast
+BLOCK = 512  #: queries that are compared with a batch at once
 
 
 def normalised(vector: str):
@@ -18,70 +19,88 @@ def normalised(vector: str):
     return F.when(norm > 0, F.transform(doubles, lambda x: x / norm)).otherwise(doubles)
 
 
-def top_k(base: DataFrame, queries: DataFrame, k: int = 30, vec: str = "embedding", base_id: str = "vec_id", query_id: str = "query_id", block: int = BLOCK) -> DataFrame:
+def _matrices(column) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """By length of the vectors of a list column: (rows, matrix); vectors that hold a null are left out."""
+    import pyarrow as pa
+
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    sizes = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    values = column.flatten().to_numpy(zero_copy_only=False)
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
+    out = {}
+    for n in np.unique(sizes):
+        if n:
+            rows = np.flatnonzero(sizes == n)
+            m = values[starts[rows][:, None] + np.arange(n)]
+            whole = ~np.isnan(m).any(axis=1)
+            out[int(n)] = (rows[whole], _unit(m[whole]))
+    return out
+
+
+def _unit(m: np.ndarray) -> np.ndarray:
+    n = np.linalg.norm(m, axis=1, keepdims=True)
+    return np.divide(m, n, out=np.zeros_like(m), where=n > 0)
+
+
+def top_k(base: DataFrame, queries: DataFrame, k: int = 30, vec: str = "embedding", base_id: str = "vec_id", query_id: str = "query_id", block: int = BLOCK, pass_bytes: int = PASS_BYTES) -> DataFrame:
     """The k rows of `base` most similar to each query: `query_id`, `rank`, `base_id`, `score` (rounded to 6 places).
 
-    Queries are worked off in blocks of bounded size, read one after the other, each against all rows;
-    a task keeps its own k best a query, so only k rows a task and query are shuffled. Ties go to the
-    lower id. Null vectors and ids, and vectors of another length than a query's, aren't compared.
+    The queries of a pass, vectors of at most `pass_bytes` in all, are broadcast, and a pass scans all rows once; more
+    queries take more passes. A task compares its rows with a block of queries at a time and keeps its own k best a
+    query, so only k rows a task and query are shuffled. Ties go to the lower id. Null vectors and ids, vectors with
+    nulls or NaN, and vectors of another length than a query's, aren't compared.
     """
     spark = base.sparkSession
-    rows = base.select(F.col(base_id).cast("bigint").alias("b"), F.transform(F.col(vec), lambda x: x.cast("double")).alias("v")).where("v is not null and b is not null")
-    asked = queries.select(F.col(query_id).cast("bigint").alias("q"), F.transform(F.col(vec), lambda x: x.cast("double")).alias("v")).where("v is not null and q is not null").orderBy("q")
+    doubles = lambda: F.transform(F.col(vec), lambda x: x.cast("double"))
+    rows = base.select(F.col(base_id).cast("bigint").alias("b"), doubles().alias("v")).where("v is not null and b is not null")
+    asked = queries.select(F.col(query_id).cast("bigint").alias("q"), doubles().alias("v")).where("v is not null and q is not null")
+    size = asked.agg(F.sum(F.size("v") * 8 + 8).alias("n")).first()["n"] or 0
+    passes = max(1, -(-size // pass_bytes))
     schema = f"`{query_id}` bigint, `{base_id}` bigint, score double"
 
-    def unit(m: np.ndarray) -> np.ndarray:
-        n = np.linalg.norm(m, axis=1, keepdims=True)
-        return np.divide(m, n, out=np.zeros_like(m), where=n > 0)
-
-    def scored(some):
-        by_size: dict[int, tuple[list, list]] = {}
-        for q, v in some:
-            ids, vectors = by_size.setdefault(len(v), ([], []))
-            ids.append(q)
-            vectors.append(v)
-        shared = spark.sparkContext.broadcast({n: (np.array(i), unit(np.array(v, float))) for n, (i, v) in by_size.items() if n})
+    def scored(table):
+        ids = table.column("q").to_numpy()
+        known = {n: (ids[at], m) for n, (at, m) in _matrices(table.column("v")).items()}
+        shared = spark.sparkContext.broadcast(known)
 
         def run(batches):
             import pyarrow as pa
 
-            best: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
-
-            def prune(n: int) -> None:
-                ids = np.concatenate([i for i, _ in best[n]])
-                scores = np.concatenate([s for _, s in best[n]], axis=1)
-                order = np.lexsort((np.broadcast_to(ids, scores.shape), -scores), axis=1)[:, :k]
-                keep = np.unique(order)
-                best[n] = [(ids[keep], scores[:, keep])]
+            held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}  # (ids, unit vectors) since the last comparison
+            best: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}  # by length and block: ids and scores, k a query
+
+            def compare(n: int) -> None:
+                fresh, m = np.concatenate([i for i, _ in held[n]]), np.concatenate([x for _, x in held[n]])
+                held[n] = []
+                matrix = shared.value[n][1]
+                for at in range(0, len(matrix), block):
+                    scores = np.round(matrix[at : at + block] @ m.T, 6) + 0.0
+                    here = np.broadcast_to(fresh, scores.shape)
+                    if (n, at) in best:
+                        here, scores = np.concatenate([best[n, at][0], here], axis=1), np.concatenate([best[n, at][1], scores], axis=1)
+                    order = np.lexsort((here, -scores), axis=1)[:, :k]
+                    best[n, at] = np.take_along_axis(here, order, axis=1), np.take_along_axis(scores, order, axis=1)
 
             for batch in batches:
-                ids = batch.column(0).to_numpy()
-                sizes = np.array([len(x) for x in batch.column(1)])
-                vectors = batch.column(1).to_pylist()
-                for n, (_, matrix) in shared.value.items():
-                    at = np.flatnonzero(sizes == n)
-                    if len(at):
-                        m = unit(np.array([vectors[i] for i in at], float))
-                        best.setdefault(n, []).append((ids[at], np.round(matrix @ m.T, 6) + 0.0))
-                        if sum(len(i) for i, _ in best[n]) > 20_000:
-                            prune(n)
-            for n in list(best):
-                prune(n)
-                ids, scores = best[n][0]
-                order = np.lexsort((np.broadcast_to(ids, scores.shape), -scores), axis=1)[:, :k]
-                asked_ids = np.repeat(shared.value[n][0], order.shape[1])
-                yield pa.RecordBatch.from_arrays([pa.array(asked_ids), pa.array(ids[order].ravel()), pa.array(np.take_along_axis(scores, order, axis=1).ravel())], names=[query_id, base_id, "score"])
+                own = batch.column(0).to_numpy()
+                for n, (at, m) in _matrices(batch.column(1)).items():
+                    if n in shared.value:
+                        held.setdefault(n, []).append((own[at], m))
+                        if sum(len(i) for i, _ in held[n]) >= 4_096:
+                            compare(n)
+            for n in list(held):
+                if held[n]:
+                    compare(n)
+            for (n, at), (here, scores) in best.items():
+                names = np.repeat(shared.value[n][0][at : at + block], here.shape[1])
+                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(here.ravel()), pa.array(scores.ravel())], names=[query_id, base_id, "score"])
 
         return rows.mapInArrow(run, schema)
 
-    out, some = None, []
-    for row in asked.toLocalIterator():
-        some.append((row["q"], row["v"]))
-        if len(some) == block:
-            part, some = scored(some), []
-            out = part if out is None else out.unionByName(part)
-    if some or out is None:
-        part = scored(some)
+    out = None
+    for number in range(passes):
+        mine = asked if passes == 1 else asked.where(F.pmod(F.xxhash64("q"), F.lit(passes)) == number)
+        part = scored(mine.toArrow())
         out = part if out is None else out.unionByName(part)
     rank = F.row_number().over(Window.partitionBy(query_id).orderBy(F.desc("score"), base_id))
     return out.withColumn("rank", rank.cast("bigint")).where(F.col("rank") <= k).select(query_id, "rank", base_id, "score")

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from chatloom.functions import ids, lexicon
 from chatloom.functions import text as T
 from chatloom.functions.instants import parse_batch
-from chatloom.operators import ai, crosstabs, dedup, engagement, incremental, nested, profiles, retrieval, skew, statistics
+from chatloom.operators import ai, crosstabs, dedup, engagement, incremental, nested, profiles, ranges, retrieval, skew, statistics
+from chatloom.plans.lineage import Cuts
 
 # --- text layer ---------------------------------------------------------------------------------
 
@@ -330,6 +331,7 @@ def test_top_k_blocks_and_ties(spark):
     queries = base.where("vec_id % 5 = 0").withColumnRenamed("vec_id", "query_id")
     one = sorted(map(tuple, retrieval.top_k(base, queries, 7).collect()))
     assert one == sorted(map(tuple, retrieval.top_k(base, queries, 7, block=3).collect()))
+    assert one == sorted(map(tuple, retrieval.top_k(base, queries, 7, block=2, pass_bytes=100).collect()))
     import numpy as np
 
     unit = lambda v: np.array(v) / (np.linalg.norm(v) or 1)
@@ -342,6 +344,23 @@ def test_top_k_blocks_and_ties(spark):
     assert retrieval.top_k(base.where("false"), queries).count() == 0 and retrieval.top_k(base, queries.where("false")).count() == 0
 
 
+def test_numbers_over_ranges(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice([None, "a", "a", "a", "b"]), rng.choice([None, 1, 2]), k) for k in range(500)]
+    df = spark.createDataFrame(rows, "g string, t int, k long").repartition(5)
+    cuts = Cuts(spark, "test")
+    low = lambda r: (r[1] is not None, r[1] or 0, r[2])
+    for group, of in (("g", lambda r: r[0]), (None, lambda r: 0)):
+        got = {r["k"]: r["n"] for r in ranges.numbered(df, group, [F.col("t"), F.col("k")], "n", cuts).collect()}
+        want = {}
+        for g in {of(r) for r in rows}:
+            want |= {r[2]: n for n, r in enumerate(sorted((r for r in rows if of(r) == g), key=low), 1)}
+        assert got == want
+    assert ranges.numbered(df.where("false"), None, [F.col("k")], "n", cuts).count() == 0
+    people = engagement.posters(messages(spark, [{"author_id": f"u{k % 7}", "ts": at(1)} for k in range(40)]))
+    assert sorted(map(tuple, engagement.ranked(people, None).collect())) == sorted(map(tuple, engagement.ranked(people, 100).collect()))
+
+
 def test_topics_cache_and_failures(spark):
     df = messages(spark, [{"message_id": "1", "content": "boom"}, {"message_id": "1", "content": "fine"}, {"content": None}, {"content": "fine"}])
 
