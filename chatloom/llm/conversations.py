@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from chatloom.functions.ids import clean_id, is_blank
 from chatloom.functions.instants import to_utc_us
+from chatloom.operators.ranges import numbered
 from chatloom.plans.lineage import Cuts
 
 #: A conversation of more messages than this is ordered by several tasks, however many rows there are in all.
@@ -76,23 +77,6 @@ def resolve_roots(edges: DataFrame, cuts: Cuts) -> tuple[DataFrame, list[str]]:
     return finished.where(F.col("end") == 1).select("node", F.col("ptr").alias("root"), F.col("steps").alias("depth")), paths
 
 
-def numbered_by_ranges(df: DataFrame, group: str, order: list[str], out: str, cuts: Cuts) -> tuple[DataFrame, str]:
-    """(`df` with row numbers within its groups, the path it is read from), for groups of any size.
-
-    Rows are sorted over ranges of (group, order), whose bounds are quantiles, so that every task has
-    its share of the rows even if all belong to one group and one instant (`order` must end in something unique). A
-    row's number is its place within its range, plus the group's rows in the ranges before: one small
-    row per group and range, of which only the groups that cross a bound need more than one.
-    """
-    ranged = df.repartitionByRange(*[F.col(c) for c in (group, *order)]).sortWithinPartitions(group, *order)
-    fixed, path = cuts.cut(ranged.select("*", F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_m")))
-    pieces = fixed.groupBy(F.col(group).alias("_g"), F.col("_p").alias("_q")).agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_lo"))
-    before = F.coalesce(F.sum("_n").over(Window.partitionBy("_g").orderBy("_q").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = pieces.withColumn("_b", before).select("_g", "_q", "_lo", "_b")
-    joined = fixed.join(starts, (F.col(group) == F.col("_g")) & (F.col("_p") == F.col("_q")))
-    return joined.withColumn(out, F.col("_b") + F.col("_m") - F.col("_lo") + 1).select(*df.columns, out), path
-
-
 def conversations(messages: DataFrame, exports: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The messages of sound conversations: `conv_row`, `turn`, `msg_row`, `speaker`, `parent_row`, `depth`.
 
@@ -127,10 +111,9 @@ def conversations(messages: DataFrame, exports: DataFrame, hot_rows: int = HOT_R
     spoken = opened.withColumn("speaker", F.dense_rank().over(Window.partitionBy("root").orderBy("_first")).cast("bigint")).drop("_first")
     if some_hot:
         hot = placed.drop("bad").join(sound.where("_hot").select("_r"), F.col("root") == F.col("_r"), "left_semi")
-        ordered, _ = numbered_by_ranges(hot, "root", ["at", "node"], "turn", cuts)
-        ordered, _ = cuts.cut(ordered)
+        ordered, _ = cuts.cut(numbered(hot, "root", [F.col("at"), F.col("node")], "turn", cuts))
         firsts = ordered.groupBy("root", "author").agg(F.min("turn").alias("_first"))
-        voices, _ = numbered_by_ranges(firsts, "root", ["_first"], "speaker", cuts)
+        voices = numbered(firsts, "root", [F.col("_first")], "speaker", cuts)
         voices = voices.select(F.col("root").alias("_r"), F.col("author").alias("_a"), "speaker")
         heard = ordered.join(voices, (F.col("root") == F.col("_r")) & (F.col("author") == F.col("_a")))
         spoken = spoken.unionByName(heard.select(*spoken.columns))

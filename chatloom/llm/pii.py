@@ -22,6 +22,7 @@ from chatloom.plans.lineage import Cuts
 KINDS = ("email", "phone", "id_number", "address", "person_name")
 PLACEHOLDERS = {"email": "[EMAIL]", "phone": "[PHONE]", "id_number": "[ID_NUMBER]", "address": "[ADDRESS]", "person_name": "[NAME]"}
 HELD = 200_000  #: a task hands on its counts of words and pairs when it holds so many
+MOST_PAIRS = 3_000_000  #: different pairs that may be names; more (some 500 MB on the driver) are refused with an error
 PAIR_SHARE = 0.05  #: a part of a name stands in pairs at least so often when capitalised; "Week I" across sentences is rarer
 
 # --- checksums ----------------------------------------------------------------------------------
@@ -457,9 +458,9 @@ def fit_lexicon(columns: list[tuple[DataFrame, str]], texts: tuple[DataFrame, st
     """The lexicon from display-name columns and a text column, as fit_names() makes it of all their
     different values.
 
-    All rows and whole texts are read; equal ones count once. Counts and pairs are united by tasks;
-    the driver gets the different pairs, without those that hold a common word. Empty tables give an
-    empty lexicon.
+    All rows and whole texts are read; equal ones count once. Counts and pairs are united by tasks, and
+    which pairs may be names is found by joins; the driver gets these, MOST_PAIRS at most, as the lexicon is one
+    model that every worker holds. Empty tables give an empty lexicon.
     """
 
     def gather(batches):
@@ -490,12 +491,21 @@ def fit_lexicon(columns: list[tuple[DataFrame, str]], texts: tuple[DataFrame, st
     for side in ("a", "b"):
         words = counts.where(F.col("kind") == "word").select(F.col("a").alias("w"), F.col("low").alias(f"low_{side}"), F.col("high").alias(f"shown_{side}"))
         pairs = pairs.join(words, F.col(side) == F.col("w"), "left").drop("w").fillna(0, [f"low_{side}", f"shown_{side}"]).where(F.col(f"low_{side}") <= F.col(f"shown_{side}"))
+    # Of the pairs of texts those are kept whose words both stand in pairs often enough, as in _usual().
+    pairs, pairs_at = cuts.cut(pairs)
+    usual = pairs
+    for side in ("a", "b"):
+        often = pairs.groupBy(F.col(side).alias("w")).agg(F.sum("n").alias("paired"))
+        usual = usual.join(often, F.col(side) == F.col("w")).where(F.col("paired") >= PAIR_SHARE * F.col(f"shown_{side}")).drop("w", "paired")
     rest = counts.where(F.col("kind").isin("named", "han")).select("kind", "a", "b")
-    found = pairs.select("kind", "a", "b", "n", "shown_a", "shown_b").unionByName(rest, allowMissingColumns=True).toArrow().to_pylist()
-    cuts.drop(place)
-    of = lambda kind: {(r["a"], r["b"]) for r in found if r["kind"] == kind}
-    usual = _usual([(r["a"], r["b"], r["n"], r["shown_a"], r["shown_b"]) for r in found if r["kind"] == "pair"])
-    return _lexicon(usual | of("named"), of("han"))
+    found = usual.select("kind", "a", "b").unionByName(rest).limit(MOST_PAIRS + 1).toArrow()
+    if found.num_rows > MOST_PAIRS:
+        raise ValueError(f"more than {MOST_PAIRS} pairs of words that may be names")
+    cuts.drop(place, pairs_at)
+    sets: dict[str, set[tuple[str, str]]] = defaultdict(set)
+    for kind, first, second in zip(*(found.column(k).to_pylist() for k in range(3))):
+        sets[kind].add((first, second))
+    return _lexicon(sets["pair"] | sets["named"], sets["han"])
 
 
 def items(df: DataFrame, row: str, fields: tuple[str, ...], names: Names) -> DataFrame:
