@@ -128,20 +128,27 @@ def answered_questions(rich: DataFrame, hours: int = 48) -> DataFrame:
     Where messages have an `export_key`, ids are compared within one export, as the same id may stand
     for different messages in several.
     """
+    asked, earliest, met = _questions_and_replies(rich, hours)
+    return asked.join(earliest, met[0] & met[1], "left_semi").drop("_scope")
+
+
+def _questions_and_replies(rich: DataFrame, hours: int):
+    """(questions, first reply to each target, (reply belongs to question, reply comes in time))."""
     scope = F.coalesce("export_key", F.lit("")) if "export_key" in rich.columns else F.lit("")
     asked = rich.where("is_question").select("ord", "message_id", "ts", "lang_class", "author_id", "channel", scope.alias("_scope"))
     replies = rich.where(F.coalesce("reply_to_message_id", F.lit("")) != "").select(scope.alias("_in"), F.col("reply_to_message_id").alias("_to"), F.col("ts").alias("_at"))
     earliest = replies.groupBy("_in", "_to").agg(F.min("_at").alias("_at"))  # one row a target, however many replies it has
     inside = F.col("_at") <= F.col("ts") + F.expr(f"INTERVAL {int(hours)} HOURS")
-    return asked.join(earliest, (F.col("message_id") == F.col("_to")) & (F.col("_scope") == F.col("_in")) & inside, "left_semi").drop("_scope")
+    return asked, earliest, ((F.col("message_id") == F.col("_to")) & (F.col("_scope") == F.col("_in")), inside)
 
 
-def question_summary(rich: DataFrame) -> DataFrame:
+def question_summary(rich: DataFrame, hours: int = 48) -> DataFrame:
     """One row: questions, those in the target language, those of them answered, and the rate."""
     target = F.col("lang_class").isin("target", "mixed")
-    answered = answered_questions(rich).agg(F.count_if(target).alias("answered")).scalar()
-    asked = rich.where("is_question").agg(F.count(F.lit(1)).alias("questions"), F.count_if(target).alias("target_questions")).withColumn("answered", answered)
-    return asked.withColumn("rate", F.try_divide("answered", "target_questions"))
+    asked, earliest, (same, inside) = _questions_and_replies(rich, hours)
+    answered = F.coalesce(inside, F.lit(False))
+    one = asked.join(earliest, same, "left").agg(F.count(F.lit(1)).alias("questions"), F.count_if(target).alias("target_questions"), F.count_if(target & answered).alias("answered"))
+    return one.withColumn("rate", F.try_divide("answered", "target_questions"))
 
 
 def user_profiles(rich: DataFrame) -> DataFrame:
