@@ -185,6 +185,12 @@ ORACLE = {
     "p9_shares_bytes": f"""{_DRAWN}, g AS (SELECT source, count(*) FILTER (WHERE n > 0) AS x, sum(n) AS n_rows, sum(n * n_tokens) AS n_tokens FROM d GROUP BY source)
 SELECT t.source, CAST(coalesce(n_rows, 0) AS BIGINT) AS n_rows, CAST(coalesce(n_tokens, 0) AS BIGINT) AS n_tokens, round(coalesce(n_tokens, 0) / (SELECT sum(n_tokens) FROM g), 6) AS actual_share FROM t LEFT JOIN g USING (source)""",
     "p1_found": _CONVERSATIONS,
+    "p1_messages": f"""SELECT q.*, c.parent AS parent_row, depth, content, author_name, CASE WHEN speaker = 1 THEN 'asker' ELSE 'replier' END AS role FROM ({_CONVERSATIONS}) q
+LEFT JOIN (SELECT a.msg_row, b.msg_row AS parent FROM messages a JOIN (SELECT min(msg_row) AS msg_row, export_key, trim(message_id) AS id FROM messages WHERE trim(coalesce(message_id, '')) <> '' GROUP BY 2, 3) b
+  ON b.export_key = a.export_key AND b.id = trim(a.reply_to_message_id)) c USING (msg_row)
+JOIN (WITH RECURSIVE p AS (SELECT a.msg_row, b.msg_row AS parent FROM messages a LEFT JOIN (SELECT min(msg_row) AS msg_row, export_key, trim(message_id) AS id FROM messages WHERE trim(coalesce(message_id, '')) <> '' GROUP BY 2, 3) b
+  ON b.export_key = a.export_key AND b.id = trim(a.reply_to_message_id)), t(msg_row, depth) AS (SELECT msg_row, 0 FROM p WHERE parent IS NULL UNION ALL SELECT p.msg_row, depth + 1 FROM p JOIN t ON p.parent = t.msg_row) SELECT * FROM t) h USING (msg_row)
+JOIN (SELECT msg_row, content, author_name FROM messages) USING (msg_row)""",
     "p8_found": f"WITH {_WORDS} SELECT doc_id, item_id FROM hits",
     "p8_clean": f"WITH {_WORDS} SELECT doc_id, source, n_chars FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM hits)",
     "p8_pruned": f"""WITH {_WORDS}, placed AS (SELECT doc_id, k, array_to_string(w[k : k + 11], ' ') AS g FROM dw, unnest(range(1, len(w) - 10)) AS r(k)),
