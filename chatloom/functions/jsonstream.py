@@ -13,8 +13,8 @@ from collections.abc import Iterator
 from decimal import Decimal
 from typing import Any
 
-#: Texts of more bytes are split into elements before they become VARIANT; half of what one holds.
-LARGE = 8 << 20
+#: Texts of more bytes are split into elements before they become VARIANT: a VARIANT can be three times as large as its text.
+LARGE = 4 << 20
 
 _BLANK = re.compile(r"[ \t\n\r]*")
 
