@@ -78,34 +78,47 @@ def _class(profile: LanguageProfile) -> str:
 
 
 def latin_tokens(text: Column) -> Column:
-    """The lower-case Latin words that stop words are looked for in."""
-    return F.regexp_extract_all(F.lower(text), F.lit("([a-zà-ÿ]+)"), F.lit(1))
+    """The number of lower-case Latin words, of which stop words are a share."""
+    return F.regexp_count(F.lower(text), F.lit("[a-zà-ÿ]+"))
+
+
+def _stop_words(profile: LanguageProfile) -> str:
+    """The pattern of a whole Latin word that is one of the profile's stop words."""
+    words = sorted(w for w in profile.stopwords if re.fullmatch("[a-zà-ÿ]+", w))
+    return "(?<![a-zà-ÿ])(?:" + "|".join(words) + ")(?![a-zà-ÿ])"
 
 
 def target_ratio(text: Column, profile: LanguageProfile, tokens: Column | None = None) -> Column:
     """the share of the text that looks like the profile's language; 0 for text without any.
     `tokens` are the text's latin_tokens, best a column of their own where several profiles are asked."""
     if profile.ranges:
+        # Most texts have no letter of the script: one look tells, without counting or copying.
         size = F.length(F.regexp_replace(text, f"[{SPACES}]", ""))
-        return F.coalesce(F.try_divide(F.regexp_count(text, F.lit(_class(profile))).cast("double"), size), F.lit(0.0))
+        share = F.try_divide(F.regexp_count(text, F.lit(_class(profile))).cast("double"), size)
+        return F.when(text.rlike(_class(profile)), F.coalesce(share, F.lit(0.0))).otherwise(0.0)
     tokens = latin_tokens(text) if tokens is None else tokens
-    words = F.array(*[F.lit(w) for w in sorted(profile.stopwords)])
-    hits = F.size(F.filter(tokens, lambda t: F.array_contains(words, t)))
-    return F.coalesce(F.try_divide(hits.cast("double"), F.size(tokens)), F.lit(0.0))
+    hits = F.regexp_count(F.lower(text), F.lit(_stop_words(profile)))
+    return F.coalesce(F.try_divide(hits.cast("double"), tokens), F.lit(0.0))
+
+
+def _at_least(text: Column, n: int) -> Column:
+    """Whether the text without blanks around it has n characters or more (n > 1), without copying it."""
+    return text.rlike(f"(?s)[^{SPACES}].{{{n - 2},}}[^{SPACES}]")
 
 
 def language_class(text: Column, profile: LanguageProfile | None, tokens: Column | None = None) -> Column:
     """F8: target, mixed, other or unknown. Null counts as empty, which is unknown. Without a profile
     all text is target."""
     text = F.coalesce(text, F.lit(""))
-    stripped = strip(text)
+    blank = ~text.rlike(f"[^{SPACES}]")
     if profile is None:
-        return F.when(stripped == "", "unknown").otherwise("target")
+        return F.when(blank, "unknown").otherwise("target")
     ratio = target_ratio(text, profile, tokens)
-    out = F.when(stripped == "", "unknown").when(ratio >= 0.7, "target").when(ratio >= profile.threshold, "mixed")
+    out = F.when(blank, "unknown").when(ratio >= 0.7, "target").when(ratio >= profile.threshold, "mixed")
     if profile.ranges:
-        out = out.when((F.regexp_count(stripped, F.lit(_class(profile))) >= 3) & (F.length(stripped) >= 20), "mixed")
-    return out.when(F.length(stripped) < 5, "unknown").otherwise("other")
+        several = _class(profile) + f"(?:(?s).*?{_class(profile)}){{2}}"  # three letters of the script
+        out = out.when(text.rlike(several) & _at_least(text, 20), "mixed")
+    return out.when(~_at_least(text, 5), "unknown").otherwise("other")
 
 
 def is_question(text: Column, code: str | None = None) -> Column:
