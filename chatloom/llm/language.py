@@ -28,7 +28,7 @@ NAMES = (*LANGUAGES, "other")
 
 SAMPLE_ROWS = 8_000  #: at most so many labelled rows of each table fit the word scores
 VOCABULARY = 50_000  #: at most so many words have scores of their own; others use the n-grams
-SWITCH = 9.0  #: penalty (nats) for a change of language between two words
+SWITCH = 7.0  #: penalty (nats) for a change of language between two words; five words of which three are clear pay two
 CLIP = 4.0  #: the most (nats) by which one word may favour a language over the best other
 MIN_WORDS, MIN_HAN = 5, 8
 
@@ -56,6 +56,8 @@ _WORD = re.compile(r"[^\W\d_]+(?:['’\-][^\W\d_]+)*$")
 _EDGE = "\"'`’‘“”«»„‚.,;:!?¡¿()[]{}<>…-–—*•~|#"
 _TIME = re.compile(r"\[?\d{1,2}:\d{2}(?::\d{2})?\]?$")
 _CODE = re.compile(r"```.*?```|`[^`]*`")
+# A mail address spelt out ("name AT host DOT example", "name (at) host (dot) example") is a login, not words.
+_SPELT = re.compile(r"\S+\s+[(\[{<]?at[)\]}>]?\s+\S+(?:\s+[(\[{<]?dot[)\]}>]?\s+\S+)+", re.I)
 
 
 def label_of(label: str | None) -> str | None:
@@ -113,6 +115,8 @@ def words_of(line: str) -> list[tuple[str, int]]:
     """
     if "`" in line:
         line = _CODE.sub(" ", line)
+    if "dot" in line or "DOT" in line:
+        line = _SPELT.sub(" ", line)
     out, lead = [], True
     for chunk in line.split():
         if lead:
@@ -285,6 +289,8 @@ class Labeller:
                     line = _CODE.sub(" ", line)
                 elif fenced:
                     continue
+                if "dot" in line or "DOT" in line:
+                    line = _SPELT.sub(" ", line)
                 before, lead = len(tokens), True
                 for chunk in line.split():
                     if lead:
@@ -312,6 +318,9 @@ class Labeller:
         ids, weights, sizes_of = np.array(tokens), np.array(sizes, np.int64), np.array(lengths)
         starts = np.concatenate([[0], np.cumsum(sizes_of)[:-1]])
         emissions = self.table[ids]
+        # A chunk of Han text is as many words as its characters make: it isn't lost between two switches.
+        han = np.flatnonzero(ids == 1)
+        emissions[han] *= (1 + weights[han] // 4)[:, None]
         labels = viterbi(emissions, starts, sizes_of)
         line_of = np.repeat(np.arange(len(sizes_of)), sizes_of)
         first = np.ones(len(ids), bool)
