@@ -41,15 +41,15 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
 SPREAD_BYTES = 1 << 30  #: a table beyond this has splits enough, and is never shuffled only to be spread
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, most: int | None = SPREAD_BYTES) -> DataFrame:
     """`df`, dealt out over all cores if it is small and comes in fewer than half as many splits.
 
     For work that is heavy on each row: a small file is often a single split and would keep one core
-    busy. Larger tables, and tables with splits enough, stay as they are.
+    busy. Tables of more than `most` bytes (None: of any size), and tables with splits enough, stay as they are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     run = df._jdf.queryExecution()
-    if int(run.optimizedPlan().stats().sizeInBytes()) > SPREAD_BYTES or 2 * run.toRdd().getNumPartitions() > cores:
+    if most is not None and int(run.optimizedPlan().stats().sizeInBytes()) > most or 2 * run.toRdd().getNumPartitions() > cores:
         return df
     return df.repartition(cores)
 

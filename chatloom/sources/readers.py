@@ -20,6 +20,7 @@ from chatloom.functions.instants import to_utc_us
 from chatloom.functions.jsonstream import LARGE, Reading, head_of
 from chatloom.functions.text import strip
 from chatloom.operators.nested import reach, whole_json
+from chatloom.session import spread
 
 # Subtypes of Slack messages that are no messages of members.
 SLACK_EVENTS = ("channel_join", "channel_leave", "channel_name", "channel_purpose", "channel_topic")
@@ -187,7 +188,8 @@ def _exploded(documents: DataFrame, containers: tuple[tuple[str, ...], ...] = ((
     """(`file_no`, `stem`, `v` the file, `pos`, `m` the message) of the first container that a file has."""
     small = documents.where("not large").withColumn("v", whole_json(F.col("value"))).where("v is not null")
     items = F.coalesce(*[reach(F.col("v"), p, "array<variant>") for p in containers])
-    split = split_messages(documents.where("large"), containers)
+    # One task splits a large file; what follows is heavier and is dealt out where there are few such files.
+    split = spread(split_messages(documents.where("large"), containers), None)
     # An element is refused aloud if it is too large for a VARIANT by itself.
     elements = split.select("file_no", "stem", F.parse_json("head").alias("v"), "pos", F.parse_json("m").alias("m"))
     return small.select("file_no", "stem", "v", F.posexplode(items).alias("pos", "m")).withColumn("pos", F.col("pos").cast("bigint")).select("file_no", "stem", "v", "pos", "m").unionByName(elements)

@@ -165,3 +165,11 @@ def test_lark_lines_of_many_items_keep_their_order(spark, tmp_path):
     path = put(tmp_path / "l.ndjson", line(0, n) + "\n" + line(n, 3))
     rows = R.read_lark(spark, path, "s").select("ord", "message_id").orderBy("ord").collect()
     assert len({r["ord"] for r in rows}) == n + 3 and [int(r["message_id"]) for r in rows] == list(range(n + 3))
+
+
+def test_small_inputs_are_dealt_out(spark):
+    from chatloom.session import spread
+
+    one = spark.range(100).coalesce(1)
+    assert spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and sorted(r[0] for r in spread(one).collect()) == list(range(100))
+    assert spread(one, 10).rdd.getNumPartitions() == 1 and spread(spark.range(100).repartition(3)).rdd.getNumPartitions() == 3 and spread(one.where("id < 0")).count() == 0
