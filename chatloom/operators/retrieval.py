@@ -110,14 +110,18 @@ def hashed_embedding(size: int = 64) -> Callable[[Sequence[str | None]], list[li
     """The offline default embedder: words hashed into a normalised vector of counts."""
 
     def embed(texts: Sequence[str | None]) -> list[list[float]]:
+        import hashlib
         import re
-        import zlib
 
         out = np.zeros((len(texts), size))
+        places: dict[str, tuple[int, int]] = {}
         for i, text in enumerate(texts):
             for word in re.findall(r"\w+", (text or "").lower()):
-                h = zlib.crc32(word.encode())
-                out[i, h % size] += 1 - 2 * (h >> 16 & 1)
+                if word not in places:
+                    h = int(hashlib.md5(word.encode(), usedforsecurity=False).hexdigest()[:8], 16)
+                    places[word] = h % size, 1 - 2 * (h >> 16 & 1)
+                place, sign = places[word]
+                out[i, place] += sign
         norms = np.linalg.norm(out, axis=1, keepdims=True)
         return np.divide(out, norms, out=out, where=norms > 0).tolist()
 

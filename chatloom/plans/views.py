@@ -611,7 +611,19 @@ def hits_with_messages(spark: SparkSession, d: str) -> DataFrame:
     return retrieval.hits_with_messages(hits, canonical(spark, d)).select("query_id", "rank", "ord", "message_id", "author_name", "content")
 
 
-@query()
+def _hashed_sql(name: str, key: str, source: str) -> str:
+    """CTEs of the offline embedder in SQL: of `name` the non-zero places of each row's unit vector."""
+    return f"""{name}w AS (SELECT {key} AS id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[{_W}]+')) AS word FROM {source}),
+{name}h AS (SELECT id, CAST('0x' || substr(md5(word), 1, 8) AS BIGINT) AS h FROM {name}w),
+{name}c AS (SELECT id, h % 64 AS place, sum(1 - 2 * ((h >> 16) & 1)) AS v FROM {name}h GROUP BY 1, 2),
+{name}u AS (SELECT id, place, CAST(CAST(v / sqrt(sum(v * v) OVER (PARTITION BY id)) AS FLOAT) AS DOUBLE) AS x FROM {name}c WHERE v <> 0),
+{name} AS (SELECT id, place, x / sqrt(sum(x * x) OVER (PARTITION BY id)) AS x FROM {name}u)"""
+
+
+@query(f"""WITH {_hashed_sql('dv', 'doc_id', 'documents')}, {_hashed_sql('iv', 'item_id', 'benchmark')},
+pr AS (SELECT i.id AS item_id, d.id AS doc_id, sum(i.x * d.x) AS s FROM iv i JOIN dv d USING (place) GROUP BY 1, 2),
+z AS (SELECT b.item_id, d.doc_id, round(coalesce(s, 0), 6) + 0.0 AS score FROM benchmark b CROSS JOIN documents d LEFT JOIN pr USING (item_id, doc_id)),
+k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM z) SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 5""")
 def retrieval_offline_embedder(spark: SparkSession, d: str) -> DataFrame:
     """Nearest documents to each benchmark item by the offline embedder."""
     documents = retrieval.embedded(table(spark, d, "documents").select("doc_id", "text"), "text")
