@@ -12,7 +12,7 @@ folder, so a lost executor costs one round at most.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chatloom.functions.ids import clean_id, is_blank
@@ -67,11 +67,11 @@ def resolve_roots(edges: DataFrame, cuts: Cuts) -> tuple[DataFrame, list[str]]:
     while True:
         hop = lookup.select(F.col("node").alias("n2"), F.col("ptr").alias("p2"), F.col("steps").alias("s2"), F.col("end").alias("e2"))
         jumped = active.join(hop, F.col("ptr") == F.col("n2")).select("node", F.col("p2").alias("ptr"), (F.col("steps") + F.col("s2")).alias("steps"), F.col("e2").alias("end"))
-        table, path = cuts.cut(jumped)
+        seen = Observation()  # counted while the table is written; only whether there are any matters
+        table, path = cuts.cut(jumped.observe(seen, F.count_if(F.col("end") == 0).alias("active"), F.count_if(F.col("end") != 0).alias("done")))
         paths.append(path)
-        counts = {r["end"]: r["count"] for r in table.groupBy("end").count().collect()}  # at most three rows
         finished = finished.unionByName(table.where(F.col("end") != 0))
-        if not counts.get(0) or not (counts.get(1) or counts.get(2)):
+        if not seen.get["active"] or not seen.get["done"]:
             break
         active, lookup = table.where(F.col("end") == 0), finished.unionByName(table.where(F.col("end") == 0))
     return finished.where(F.col("end") == 1).select("node", F.col("ptr").alias("root"), F.col("steps").alias("depth")), paths
@@ -101,8 +101,10 @@ def conversations(messages: DataFrame, exports: DataFrame, hot_rows: int = HOT_R
     placed, _ = cuts.cut(placed)
     cuts.drop(*rounds_at)
     stats = placed.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.min("author").alias("a1"), F.max("author").alias("a2"), F.max(F.col("bad").cast("int")).alias("b"))
-    sound, _ = cuts.cut(stats.where((F.col("b") == 0) & (F.col("a1") != F.col("a2"))).select(F.col("root").alias("_r"), (F.col("n") > hot_rows).alias("_hot")))
-    some_hot = bool(sound.agg(F.max("_hot")).first()[0])
+    seen = Observation()
+    judged = stats.where((F.col("b") == 0) & (F.col("a1") != F.col("a2"))).select(F.col("root").alias("_r"), (F.col("n") > hot_rows).alias("_hot"))
+    sound, _ = cuts.cut(judged.observe(seen, F.count_if("_hot").alias("hot")))
+    some_hot = seen.get["hot"] > 0
     # Cold conversations: one window each. Their rows and the hot ones' take different ways and are united.
     cold = sound.where("not _hot") if some_hot else sound
     kept = placed.drop("bad").join(cold.select("_r"), F.col("root") == F.col("_r"), "left_semi")
