@@ -777,8 +777,9 @@ def amounts(spark: SparkSession, d: str) -> DataFrame:
 def users_as_input(spark: SparkSession, d: str) -> DataFrame:
     """Profiles written as JSON lines and read again as what pivots are made of; of tied hours the earlier, so
     the hour is that of the profile."""
-    folder = Cuts(spark, "users").root + "/rows"
-    people = profiles.user_profiles(rich(spark, d))
+    cuts = Cuts(spark, "users")
+    folder = cuts.root + "/rows"
+    people, _ = cuts.cut(profiles.user_profiles(rich(spark, d)))  # read twice below
     documents.write_users(people, folder)
     back = results.read_users(spark, folder)
     hours = people.select(F.col("author_id").alias("_a"), F.col("hour").alias("_h"))

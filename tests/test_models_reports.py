@@ -1,5 +1,6 @@
 """Configuration, model commands, caches, results as inputs, reports and the command line over them."""
 
+import gzip
 import json
 import sys
 
@@ -161,6 +162,47 @@ def test_users_as_input(spark, tmp_path):
         assert rows["u2"]["mentions"] == {} and rows["u2"]["language_primary"] == "silent" and rows["u2"]["hour"] is None
 
 
+def test_users_of_large_files(spark, tmp_path):
+    many = {f"u{k}": {"impersonator_messages": k, "hours": {"9": 1}, "pad": "x\u4e07" * 350} for k in range(15_000)}  # more than a VARIANT holds
+    lines = [json.dumps({"author_id": k, **u}, ensure_ascii=False) for k, u in many.items()]
+    texts = {
+        "lines": "\n".join(lines), "broken_first": "\r\n".join(["broken{", *lines, "{"]), "keyed": json.dumps(many, ensure_ascii=False),
+        "indented": json.dumps(many, ensure_ascii=False, indent=2), "listed": json.dumps([{"user_id": k, **u} for k, u in many.items()], ensure_ascii=False),
+        "runs": json.dumps(many, ensure_ascii=False) + '\n{"last": {"impersonator_messages": 7}}\n',
+    }
+    for name, text in texts.items():
+        assert len(text.encode()) > 16 << 20
+        (tmp_path / f"{name}.json").write_text(text)
+        rows = results.read_users(spark, str(tmp_path / f"{name}.json")).select("author_id", "impersonator_messages", "hour").collect()
+        want = {(k, u["impersonator_messages"], 9) for k, u in many.items()} | ({("last", 7, None)} if name == "runs" else set())
+        assert len(rows) == len(want) and {tuple(r) for r in rows} == want, name
+    (tmp_path / "off.json").write_text(texts["keyed"][:-9])
+    with pytest.raises(Exception, match="broken or too large"):
+        results.read_users(spark, str(tmp_path / "off.json")).collect()
+
+
+def test_users_are_the_same_from_large_and_small_files(spark, tmp_path):
+    user = {"mentions": {"messaging:discord": 2}, "hours": {"9": 2, "20": 2}, "last_seen": "2026-06-20T00:00:00Z", "pad": 'a "b" \\ \n {'}
+    texts = {
+        "keyed": json.dumps({"u1": user, 'u"2': {}, "u3": 5, "user_id": None}), "listed": json.dumps([{"user_id": "u1", **user}, {"author_id": "u2"}, {}, 5, [1]], indent=1), "single": json.dumps({"user_id": "u1", **user}, indent=1),
+        "named": json.dumps({"author_id": 5, "u1": user}), "lines": "\n".join(json.dumps(x) for x in ({"author_id": "u1", **user}, {"user_id": "u2"}, {"u4": user}, [{"user_id": "u5"}], 5)) + "\n\nbroken{\n",
+        "between": '[\n{"user_id": "u1"}\n,\n{"user_id": "u2"}\n]\n', "twice": '{"u1": {},\n"u1": {"hours": {}}}', "scalar": "5", "blank": " \n", "nothing": "", "no_users": "{}", "none": "[ ]",
+    }
+    (tmp_path / "all").mkdir()
+    for name, text in texts.items():
+        (tmp_path / f"{name}.json").write_text(text)
+        (tmp_path / f"{name}.json.gz").write_bytes(gzip.compress(text.encode()))
+        (tmp_path / "all" / f"{name} {{1}} [2]%20.json").write_text(text)
+    seen = lambda path, **more: sorted(map(str, results.read_users(spark, str(path), **more).collect()))
+    for name in texts:
+        small = seen(tmp_path / f"{name}.json")
+        assert bool(small) == (name not in ("twice", "scalar", "blank", "nothing", "no_users", "none")), name
+        assert small == seen(tmp_path / f"{name}.json", large=0) == seen(tmp_path / f"{name}.json.gz"), name
+    assert len(seen(tmp_path / "all")) == 13 and seen(tmp_path / "all") == seen(tmp_path / "all", large=0) == seen(tmp_path / "all", large=200)
+    (tmp_path / "empty").mkdir()
+    assert seen(tmp_path / "empty") == []
+
+
 def test_keyed_users_and_sections(spark, tmp_path):
     people = spark.createDataFrame([("b", "B", 1), ("a", 'A"', 2)], "author_id string, display_name string, message_count long")
     documents.write_users_keyed(people, tmp_path / "users.json", keep_names=True)
